@@ -42,8 +42,7 @@ def default_text(df: DataFrame, cols, default: str = "n/a") -> DataFrame:
 
 def clamp_score(col: Column) -> Column:
     """A score as a double: negative, null or unparseable gives 0.0."""
-    score = col.try_cast("double")
-    return F.when(score < 0, F.lit(0.0)).otherwise(F.coalesce(score, F.lit(0.0)))
+    return F.greatest(F.coalesce(col.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def clamp_scores(df: DataFrame, cols) -> DataFrame:

@@ -69,12 +69,20 @@ def build_dim_topics(news: DataFrame, dim: DataFrame) -> DataFrame:
     return append_snapshot(not_in(topics, dim, "topic_name"), dim, "topic_key", ["topic_name"])
 
 
+def known_news(dim: DataFrame, articles: DataFrame) -> DataFrame:
+    """The part of the article dimension that a batch of articles can refer to.
+
+    The time of publication is part of the article key, so a day's load leaves all
+    years outside its own times unread and unshuffled.
+    """
+    return within_bounds(dim, articles, "news_time_published")
+
+
 def build_dim_news(articles: DataFrame, dim: DataFrame, news_time_key: int) -> DataFrame:
     """Articles to append, one row each: title, url and time tell them apart."""
     rows = articles.select(*ARTICLE_COLUMNS)
     order = [c for c in ARTICLE_COLUMNS if c not in ARTICLE_KEY]
-    known = within_bounds(dim, rows, "news_time_published")
-    new = insert_ignore(rows, known, ARTICLE_KEY, order)
+    new = insert_ignore(rows, known_news(dim, articles), ARTICLE_KEY, order)
     return append_snapshot(
         new, dim, "news_key", ARTICLE_KEY, {"news_time_key": F.lit(news_time_key).cast("long")}
     )
@@ -124,9 +132,8 @@ def link_topics(
         raise ValueError("keep is 'both' or 'either'")
     how = "inner" if keep == "both" else "left"
     rows = dedup_rows(topics.select(*ARTICLE_KEY, "topic_name", "news_topic_relevance_score"))
-    known = within_bounds(dim_news, topics, "news_time_published")
     with_topic = lookup(rows, dim_topics, {"topic_name": "topic_name"}, ["topic_key"], how)
-    linked = lookup(with_topic, known, {c: c for c in ARTICLE_KEY}, ["news_key"], how)
+    linked = lookup(with_topic, dim_news, {c: c for c in ARTICLE_KEY}, ["news_key"], how)
     return linked.where(F.col("news_key").isNotNull() | F.col("topic_key").isNotNull()).select(
         F.col("news_key").alias("news_topic_news_key"),
         F.col("topic_key").alias("news_topic_topic_key"),
@@ -147,7 +154,6 @@ def link_companies(
             "news_company_ticker_sentiment_label",
         )
     )
-    known = within_bounds(dim_news, mentions, "news_time_published")
     with_company = lookup(
         rows,
         latest_companies(dim_companies),
@@ -155,7 +161,7 @@ def link_companies(
         ["company_key"],
         how="inner",
     )
-    linked = lookup(with_company, known, {c: c for c in ARTICLE_KEY}, ["news_key"], "inner")
+    linked = lookup(with_company, dim_news, {c: c for c in ARTICLE_KEY}, ["news_key"], "inner")
     return linked.select(
         F.col("company_key").alias("news_company_company_key"),
         F.col("news_key").alias("news_company_news_key"),

@@ -19,7 +19,7 @@ COMPANIES = f"""
     select c_name as name, 'C' || c_custkey as ticker,
         case r_name when 'AMERICA' then 'NASDAQ' when 'EUROPE' then 'NYSE' else 'OTC' end
             as exchange,
-        case when c_acctbal > 9500 then ' ' else c_mktsegment end as sector,
+        case when c_acctbal > 9500 then chr(160) else c_mktsegment end as sector,
         n_name as industry, cast(c_nationkey as bigint) as sic, r_name as sic_sector,
         case when c_acctbal < 0 then 'EUR' else 'USD' end as currency,
         n_name || '; U.S.A' as location, c_acctbal > 5000 as is_delisted
@@ -28,7 +28,7 @@ COMPANIES = f"""
 
 # Articles, their tickers and their topics as the landed payload has them.
 ARTICLES = """
-    select 'Order ' || l_orderkey as news_title, '/orders/' || l_orderkey as news_url,
+    select 'Order ' || l_orderkey as news_title, '/orders/' || l_orderkey || '/' || l_linenumber as news_url,
         case when l_quantity > 2 then strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') else 'n/a' end
             as news_time_published,
         'P' || l_partkey as news_authors, 'line ' || l_linenumber as news_summary,

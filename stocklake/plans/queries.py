@@ -115,7 +115,7 @@ def latest_file_path(spark, sf):
 @query
 def unnest_envelope_rows(spark, sf):
     """Order lines as payload texts of two records each, and back to rows."""
-    line = table(spark, sf, "lineitem")
+    line = given.spread(table(spark, sf, "lineitem"))
     records = F.array(
         F.struct(F.lit("part").alias("kind"), F.col("l_partkey").alias("key")),
         F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").alias("key")),

@@ -14,6 +14,7 @@ from stocklake.functions.text import (
     null_defaults,
     rename,
     replace_text,
+    text_or_default,
     trim_columns,
 )
 from stocklake.operators.clean import dedup_rows
@@ -22,7 +23,6 @@ from stocklake.operators.explode import (
     explode_distinct,
     explode_structs_outer,
 )
-from stocklake.functions.text import text_or_default
 
 # Silver names of the landed fields.
 NEWS_NAMES = {
@@ -116,9 +116,10 @@ def clean_articles(bronze: DataFrame) -> DataFrame:
 def silver_news(bronze: DataFrame) -> DataFrame:
     """Distinct rows of article x ticker x topic."""
     return explode_distinct(
-        clean_articles(bronze),
+        bronze,
+        clean_articles,
         {"ticker_sentiment": MENTION_FIELDS, "topics": TOPIC_FIELDS},
-        identity=ARTICLE_KEY,
+        identity=text_or_default(F.col("url")),
     )
 
 
