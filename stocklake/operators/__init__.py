@@ -16,7 +16,7 @@ from stocklake.operators.joins import (
     within_bounds,
 )
 from stocklake.operators.keys import assign_keys, bucketed_keys, next_key
-from stocklake.operators.latest import latest_by, latest_versions
+from stocklake.operators.latest import latest_by, latest_versions, top_rows
 from stocklake.operators.quality import (
     fk_violations,
     length_violations,
@@ -51,6 +51,7 @@ __all__ = [
     "range_violations",
     "split_explode",
     "table_counts",
+    "top_rows",
     "unique_violations",
     "within_bounds",
 ]

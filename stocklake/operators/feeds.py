@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stocklake.operators.latest import top_rows
+
 
 def capped_windows(df: DataFrame, ts: str, id_col: str, cap: int = 1000) -> DataFrame:
     """What a feed that returns at most ``cap`` rows per window yields for each day.
@@ -13,20 +15,18 @@ def capped_windows(df: DataFrame, ts: str, id_col: str, cap: int = 1000) -> Data
     day is taken as two halves, 00:00 to 12:00 (2) and 12:01 to 23:59 (3), each cut
     to its ``cap`` latest rows. Ties go to the smaller id.
 
-    The halves are cut first, which Spark already does on the map side, so a busy
-    day never meets in one task: a day taken whole loses nothing by it, and whether
-    a day reaches the cap still shows in the at most 2 x cap rows that are left.
+    The halves are cut first, so a busy day never meets in one task: a day taken
+    whole loses nothing by it, and whether a day reaches the cap still shows in the
+    at most 2 x cap rows that are left.
     """
     stamp = F.col(ts)
     morning = (F.hour(stamp) < 12) | ((F.hour(stamp) == 12) & (F.minute(stamp) == 0))
     halves = df.where(stamp.isNotNull()).withColumns(
         {"base_date": F.to_date(stamp), "_half": F.when(morning, 2).otherwise(3)}
     )
-    latest = Window.partitionBy("base_date", "_half").orderBy(stamp.desc(), F.col(id_col))
-    cut = halves.withColumn("_rank", F.row_number().over(latest)).where(
-        F.col("_rank") <= cap
-    )
+    newest = [stamp.desc(), F.col(id_col)]
+    cut = top_rows(halves, ["base_date", "_half"], newest, cap, salt_by=[id_col])
     day_rows = F.count("*").over(Window.partitionBy("base_date"))
     return cut.withColumn(
         "time_zone", F.when(day_rows < cap, F.lit(1)).otherwise(F.col("_half"))
-    ).drop("_half", "_rank")
+    ).drop("_half")

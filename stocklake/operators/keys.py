@@ -21,11 +21,13 @@ def assign_keys(
     The rows are range-sorted once into a staged table in the shared folder. A row's
     key is its place within its file plus the sizes of the files before, so the only
     thing numbered in one task is the list of files. A retried task reads the same
-    files again and therefore gives the same keys.
+    files again and therefore gives the same keys. Rows that tie on the natural key
+    are told apart by a hash of the rest; drop copies first.
     """
     spark = df.sparkSession
     path = staging_path(spark, "keys")
-    order = [F.col(c) for c in order_cols]
+    rest = [c for c in df.columns if c not in order_cols]
+    order = [F.col(c) for c in order_cols] + ([F.xxhash64(*rest)] if rest else [])
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
 
     staged = spark.read.schema(df.schema).parquet(path)
@@ -48,7 +50,7 @@ def bucketed_keys(
     natural_key: list[str],
     key_name: str,
     prefix: int = 0,
-    buckets: int = 4096,
+    buckets: int = 1 << 16,
 ) -> DataFrame:
     """Unique, repeatable keys with gaps, from one shuffle and nothing staged.
 
