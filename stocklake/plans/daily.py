@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +12,13 @@ from stocklake import schemas
 from stocklake.functions.dates import as_date
 from stocklake.plans import gold, silver, source_db
 from stocklake.sources.files import (
+    if_found,
     read_json_array,
     read_json_lines,
     read_latest_json_array,
     read_partition,
     read_table,
+    read_texts,
 )
 from stocklake.sources.payloads import candles_from_text, unnest_envelope
 from stocklake.sources.writers import append_table, write_json_lines, write_partition
@@ -56,12 +57,8 @@ class Paths:
 def landed_records(spark: SparkSession, folder: str, run_date, schema) -> DataFrame:
     """The day's array payloads, or the folder's newest document if there is no such day."""
     day = f"{folder}/dt={as_date(run_date).isoformat()}"
-    try:
-        return read_json_array(spark, day, schema, one_document_per_line=True)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return read_latest_json_array(spark, folder, schema)
+    rows = if_found(lambda: read_json_array(spark, day, schema, one_document_per_line=True))
+    return read_latest_json_array(spark, folder, schema) if rows is None else rows
 
 
 def run_source_db(spark: SparkSession, run_date, paths: Paths, load_ts) -> None:
@@ -103,19 +100,19 @@ def run_source_db(spark: SparkSession, run_date, paths: Paths, load_ts) -> None:
     )
 
 
-def land_bronze(spark: SparkSession, run_date, paths: Paths) -> None:
+def land_bronze(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -> None:
     """The day's news and candle payloads, and today's companies, to bronze."""
     news_day, company_day = _days(run_date)
-    news = spark.read.text(f"{paths.landing('news')}/dt={news_day}")
+
+    def texts(name: str) -> DataFrame:
+        return read_texts(spark, f"{paths.landing(name)}/dt={news_day}", missing_ok)
+
     write_partition(
-        unnest_envelope(news.select("value"), "feed", schemas.NEWS_ENVELOPE),
+        unnest_envelope(texts("news"), "feed", schemas.NEWS_ENVELOPE),
         paths.bronze("news"),
         news_day,
     )
-    candles = spark.read.text(f"{paths.landing('ohlcs')}/dt={news_day}")
-    write_partition(
-        candles_from_text(candles.select("value")), paths.bronze("ohlcs"), news_day
-    )
+    write_partition(candles_from_text(texts("ohlcs")), paths.bronze("ohlcs"), news_day)
     tables = {
         name: read_table(spark, paths.source(name), schema)
         for name, schema in schemas.SOURCE_TABLES.items()
@@ -198,7 +195,7 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
 
 def run_warehouse(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=False) -> None:
     """Bronze, silver and gold of one run date, in this order."""
-    land_bronze(spark, run_date, paths)
+    land_bronze(spark, run_date, paths, missing_ok)
     refine_silver(spark, run_date, paths, missing_ok)
     load_gold(spark, run_date, paths, load_ts, missing_ok)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,13 +57,29 @@ def read_latest_json_array(
     return read_json_array(spark, path, schema)
 
 
-def _read_parquet(spark, paths, schema, missing_ok, **options):
+def if_found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist."""
     try:
-        return spark.read.schema(schema).options(**options).parquet(paths)
+        return read()
     except AnalysisException as error:
-        if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _read_or_empty(spark, read, schema, missing_ok):
+    if not missing_ok:
+        return read()
+    found = if_found(read)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def read_texts(spark: SparkSession, path: str, missing_ok=False) -> DataFrame:
+    """Payload texts, one per line, in a column ``value``."""
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    return _read_or_empty(
+        spark, lambda: spark.read.text(path).select("value"), schema, missing_ok
+    )
 
 
 def read_partition(
@@ -74,11 +92,13 @@ def read_partition(
     """
     full = T.StructType(schema.fields + [T.StructField("dt", T.DateType())])
     leaf = f"{root}/dt={as_date(run_date).isoformat()}"
-    return _read_parquet(spark, leaf, full, missing_ok, basePath=root)
+    reader = spark.read.schema(full).option("basePath", root)
+    return _read_or_empty(spark, lambda: reader.parquet(leaf), full, missing_ok)
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, missing_ok=False
 ) -> DataFrame:
     """A whole Parquet table under its declared schema."""
-    return _read_parquet(spark, path, schema, missing_ok)
+    reader = spark.read.schema(schema)
+    return _read_or_empty(spark, lambda: reader.parquet(path), schema, missing_ok)
