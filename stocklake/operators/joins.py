@@ -54,11 +54,13 @@ def within_bounds(target: DataFrame, batch: DataFrame, col: str) -> DataFrame:
     """Only the rows of ``target`` whose value lies between the batch's extremes.
 
     For an equality join on ``col`` this loses nothing, and it keeps the history of
-    a large table out of the shuffle.
+    a large table out of the shuffle. The two extremes are fetched first: as
+    literals they reach the scan, where a subquery would not skip any row group.
     """
-    low = batch.agg(F.min(col)).scalar()
-    high = batch.agg(F.max(col)).scalar()
-    return target.where((F.col(col) >= low) & (F.col(col) <= high))
+    low, high = batch.agg(F.min(col), F.max(col)).first()
+    if low is None:
+        return target.where(F.lit(False))
+    return target.where(F.col(col).between(low, high))
 
 
 def fanout_counts(left: DataFrame, right: DataFrame, on: list[str], name: str) -> DataFrame:

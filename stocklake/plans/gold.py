@@ -32,7 +32,8 @@ def build_dim_companies(silver: DataFrame, dim: DataFrame, load_ts: Column) -> D
     )
     identity = ["company_ticker", "company_is_delisted", "company_update_time_stamp"]
     order = [c for c in stamped.columns if c not in identity]
-    new = insert_ignore(stamped, dim, identity, order)
+    same_load = dim.where(F.col("company_update_time_stamp") == load_ts)
+    new = insert_ignore(stamped, same_load, identity, order)
     return append_snapshot(new, dim, "company_key", identity[:2] + order)
 
 

@@ -134,7 +134,7 @@ ORACLES = {
         where cast(ts as date) <> date '2024-01-15' or event_type = 'click'""",
     "daily_partition_scan": """
         select event_id, user_id, value from events where cast(ts as date) = date '2024-01-15'""",
-    "unnest_envelope_rows": """
+    "unnest_envelope": """
         select 'part' as kind, l_partkey as key from lineitem
         union all select 'supplier', l_suppkey from lineitem""",
     "event_properties": """
@@ -154,17 +154,17 @@ ORACLES = {
     "export_json": """
         select to_json(struct_pack(c_custkey := c_custkey, c_mktsegment := c_mktsegment,
             c_name := c_name, c_nationkey := c_nationkey))::varchar as json_row from customer""",
-    "http_dates": """
+    "http_date": """
         select o_orderkey, strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S GMT') as http_date
         from orders""",
-    "table_row_counts": " union all ".join(
+    "table_counts": " union all ".join(
         f"select '{t}' as table_name, count(*) as n_rows from {t}"
         for t in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents")
     ),
     "dim_projection": """
         select c_custkey as company_key, c_name as company_name,
             c_mktsegment as company_industry_name from customer""",
-    "clean_part_rows": """
+    "clean_rows": """
         select distinct p_brand as brand, p_type as part_type from part where p_size > 10""",
     "bad_cast_to_default": """
         select doc_id, coalesce(nullif(trim(source), ''), 'n/a') as source,
@@ -212,19 +212,19 @@ ORACLES = {
     "surrogate_keys": """
         select 1000 + row_number() over (order by o_orderpriority, o_orderdate, o_orderkey)
             as order_key, o_orderpriority, o_orderkey from orders""",
-    "union_feeds": """
+    "union_sources": """
         select c_custkey as k, c_name as n from customer where c_mktsegment = 'BUILDING'
         union all select s_suppkey, s_name from supplier""",
-    "insert_ignore_parts": """
+    "insert_ignore": """
         select p_brand, p_type, p_partkey from (
             select *, row_number() over (
                 partition by p_brand, p_type order by p_size > 10, p_partkey) as rn
             from part) where rn = 1""",
-    "append_company_snapshot": """
+    "append_snapshot": """
         select row_number() over (order by load_day, company_name) as company_key, * from (
             select s_name as company_name, date '2024-01-01' as load_day from supplier
             union all select c_name, date '2024-01-02' from customer)""",
-    "split_explode_text": """
+    "split_explode": """
         select doc_id, unnest(string_split(text, ', ')) as item from documents""",
     "dim_time": """
         select row_number() over (order by d) as time_key, d as time_date,
@@ -236,18 +236,18 @@ ORACLES = {
             strftime(d, '%B') as time_month, cast(quarter(d) as varchar) as time_quarter,
             cast(year(d) as int) as time_year
         from (select event_id, cast(ts as date) as d from events)""",
-    "unique_key_violations": """
+    "unique_violations": """
         select p_brand, p_type, count(*) as n_dup from part group by 1, 2 having count(*) > 1""",
-    "fk_key_violations": """
+    "fk_violations": """
         select o_orderkey, o_custkey from orders where o_custkey not in
             (select c_custkey from customer where c_mktsegment <> 'FURNITURE')""",
-    "not_null_column_violations": """
+    "not_null_violations": """
         with x as (
             select c_name, c_nationkey from orders left join
                 (select * from customer where c_acctbal < 0) on o_custkey = c_custkey)
         select 'c_name' as column_name, count(*) as n_null from x where c_name is null
         union all select 'c_nationkey', count(*) from x where c_nationkey is null""",
-    "int_range_violations": """
+    "range_violations": """
         select o_orderkey, cast(floor(o_totalprice * 10000) as bigint) as candle_volume
         from orders where floor(o_totalprice * 10000) > 2147483647""",
     "normalise_regions": f"""
@@ -271,7 +271,7 @@ ORACLES = {
                 min(case when p_size <= 10 then 1 else 2 end) as batch from part group by 1, 2)""",
     "silver_ohlcs": f"select distinct * from ({SILVER_CANDLES})",
     "silver_news": SILVER_NEWS,
-    "silver_companies": f"""
+    "normalise_companies": f"""
         select distinct trim(name, ' ') as company_name, ticker as company_ticker,
             is_delisted as company_is_delisted, 'Common Stock' as company_category,
             currency as company_currency,

@@ -57,7 +57,8 @@ REGISTERED = {}
 
 
 def query(fn):
-    REGISTERED[fn.__name__] = fn
+    """Register under the function's name, without the ``q_`` that avoids a clash."""
+    REGISTERED[fn.__name__.removeprefix("q_")] = fn
     return fn
 
 
@@ -108,12 +109,12 @@ def daily_partition_scan(spark, sf):
 
 
 @query
-def latest_file_path(spark, sf):
+def q_latest_file(spark, sf):
     return latest_file(spark, sf, "parquet")
 
 
 @query
-def unnest_envelope_rows(spark, sf):
+def q_unnest_envelope(spark, sf):
     """Order lines as payload texts of two records each, and back to rows."""
     line = given.spread(table(spark, sf, "lineitem"))
     records = F.array(
@@ -148,13 +149,13 @@ def export_json(spark, sf):
 
 
 @query
-def http_dates(spark, sf):
+def q_http_date(spark, sf):
     orders = table(spark, sf, "orders")
     return orders.select("o_orderkey", http_date(F.col("o_orderdate")).alias("http_date"))
 
 
 @query
-def table_row_counts(spark, sf):
+def q_table_counts(spark, sf):
     names = ["customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
     return table_counts({name: table(spark, sf, name) for name in names})
 
@@ -172,7 +173,7 @@ def dim_projection(spark, sf):
 
 
 @query
-def clean_part_rows(spark, sf):
+def q_clean_rows(spark, sf):
     part = table(spark, sf, "part")
     kind = (
         F.when(F.col("p_size") <= 5, " \t")
@@ -327,7 +328,7 @@ def surrogate_keys(spark, sf):
 
 
 @query
-def union_feeds(spark, sf):
+def q_union_sources(spark, sf):
     customer = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
     supplier = table(spark, sf, "supplier")
     return union_sources(
@@ -337,7 +338,7 @@ def union_feeds(spark, sf):
 
 
 @query
-def insert_ignore_parts(spark, sf):
+def q_insert_ignore(spark, sf):
     """Load small parts, then all others on top, one per brand and type."""
     part = table(spark, sf, "part").select("p_brand", "p_type", "p_partkey")
     sizes = table(spark, sf, "part")
@@ -349,7 +350,7 @@ def insert_ignore_parts(spark, sf):
 
 
 @query
-def append_company_snapshot(spark, sf):
+def q_append_snapshot(spark, sf):
     """Suppliers as the first snapshot, customers appended after them."""
     supplier = table(spark, sf, "supplier").select(F.col("s_name").alias("company_name"))
     customer = table(spark, sf, "customer").select(F.col("c_name").alias("company_name"))
@@ -367,7 +368,7 @@ def append_company_snapshot(spark, sf):
 
 
 @query
-def split_explode_text(spark, sf):
+def q_split_explode(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return split_explode(docs, "text", ", ", out="item")
 
@@ -388,19 +389,19 @@ def calendar_of_events(spark, sf):
 
 
 @query
-def unique_key_violations(spark, sf):
+def q_unique_violations(spark, sf):
     return unique_violations(table(spark, sf, "part"), ["p_brand", "p_type"])
 
 
 @query
-def fk_key_violations(spark, sf):
+def q_fk_violations(spark, sf):
     parent = table(spark, sf, "customer").where("c_mktsegment <> 'FURNITURE'")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return fk_violations(orders, parent, "o_custkey", "c_custkey")
 
 
 @query
-def not_null_column_violations(spark, sf):
+def q_not_null_violations(spark, sf):
     customer = table(spark, sf, "customer").where("c_acctbal < 0")
     orders = lookup(
         table(spark, sf, "orders"),
@@ -412,7 +413,7 @@ def not_null_column_violations(spark, sf):
 
 
 @query
-def int_range_violations(spark, sf):
+def q_range_violations(spark, sf):
     volumes = table(spark, sf, "orders").select(
         "o_orderkey", F.floor(F.col("o_totalprice") * 10000).alias("candle_volume")
     )
@@ -504,7 +505,7 @@ def silver_news(spark, sf):
 
 
 @query
-def silver_companies(spark, sf):
+def q_normalise_companies(spark, sf):
     """Untidy company texts from customers and their places."""
     source = given.companies(spark, sf)
     untidy = {c: F.concat(F.lit(" "), F.col(c), F.lit("  ")) for c in ("name", "sector")}

@@ -26,12 +26,12 @@ def test_query_agrees_with_sql(spark, conn, name):
 
 
 def test_every_query_has_sql_but_the_file_listing():
-    assert set(QUERIES) - set(ORACLES) == {"latest_file_path"}
+    assert set(QUERIES) - set(ORACLES) == {"latest_file"}
     assert set(ORACLES) <= set(QUERIES)
 
 
-def test_latest_file_path_names_a_table(spark):
-    assert QUERIES["latest_file_path"](spark, SF).first().path.endswith(".parquet")
+def test_latest_file_names_a_table(spark):
+    assert QUERIES["latest_file"](spark, SF).first().path.endswith(".parquet")
 
 
 def test_entry(spark):
@@ -42,8 +42,8 @@ def test_entry(spark):
 
 HEAVY = [
     "silver_news", "silver_ohlcs", "fact_candles", "fact_news_topics", "fact_news_companies",
-    "dim_news", "insert_ignore_parts", "latest_keep_last", "latest_by_row_number",
-    "capped_window_fetch", "new_topics_not_in", "clean_part_rows", "surrogate_keys",
+    "dim_news", "insert_ignore", "latest_keep_last", "latest_by_row_number",
+    "capped_window_fetch", "new_topics_not_in", "clean_rows", "surrogate_keys",
 ]
 
 
