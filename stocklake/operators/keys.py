@@ -31,11 +31,13 @@ def assign_keys(
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
 
     staged = spark.read.schema(df.schema).parquet(path)
-    file_no = F.regexp_extract("_metadata.file_name", r"part-(\d+)-", 1).cast("int")
     rows = staged.select(
-        "*", file_no.alias("_file"), F.col("_metadata.row_index").alias("_row")
+        "*",
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
     )
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    file_no = F.regexp_extract("_file", r"part-(\d+)-", 1).cast("int")
+    before = Window.orderBy(file_no, "_file").rowsBetween(Window.unboundedPreceding, -1)
     files = rows.groupBy("_file").agg(F.count("*").alias("_n"))
     offsets = files.select(
         "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")

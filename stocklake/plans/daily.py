@@ -178,15 +178,17 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
     append_table(
         gold.build_dim_news(articles, dim("dim_news"), time_key), paths.gold("dim_news")
     )
-    known_news = gold.known_news(dim("dim_news"), articles)
+    keyed = gold.key_articles(articles, gold.known_news(dim("dim_news"), articles))
     write_partition(
-        gold.build_fact_news_topics(topics, known_news, dim("dim_topics"), time_key),
+        gold.build_fact_news_topics(
+            silver.news_topics(keyed, by=["news_key"]), dim("dim_topics"), time_key
+        ),
         paths.gold("fact_news_topics"),
         news_day,
     )
     write_partition(
         gold.build_fact_news_companies(
-            silver.news_mentions(articles), known_news, dim("dim_companies"), time_key
+            silver.news_mentions(keyed, by=["news_key"]), dim("dim_companies"), time_key
         ),
         paths.gold("fact_news_companies"),
         news_day,

@@ -122,65 +122,71 @@ def build_fact_candles(
     )
 
 
-def link_topics(
-    topics: DataFrame, dim_news: DataFrame, dim_topics: DataFrame, keep: str = "both"
-) -> DataFrame:
-    """Keys of article and topic per distinct topic row.
+def key_articles(rows: DataFrame, dim_news: DataFrame) -> DataFrame:
+    """Add ``news_key`` to known articles; the others are dropped.
 
-    ``keep="both"`` wants both keys, ``keep="either"`` at least one of them.
+    Best done before the arrays are exploded: then one row per article is shuffled,
+    and everything after it moves a number instead of title, url and time.
     """
-    if keep not in ("both", "either"):
-        raise ValueError("keep is 'both' or 'either'")
-    how = "inner" if keep == "both" else "left"
+    return lookup(rows, dim_news, {c: c for c in ARTICLE_KEY}, ["news_key"], "inner")
+
+
+def link_topics(keyed: DataFrame, dim_topics: DataFrame) -> DataFrame:
+    """Distinct article and topic keys with their score."""
+    rows = dedup_rows(keyed.select("news_key", "topic_name", "news_topic_relevance_score"))
+    linked = lookup(rows, dim_topics, {"topic_name": "topic_name"}, ["topic_key"], "inner")
+    return _topic_links(linked)
+
+
+def link_topics_either(
+    topics: DataFrame, dim_news: DataFrame, dim_topics: DataFrame
+) -> DataFrame:
+    """Distinct topic rows with both keys, also those that lack one of the two."""
     rows = dedup_rows(topics.select(*ARTICLE_KEY, "topic_name", "news_topic_relevance_score"))
-    with_topic = lookup(rows, dim_topics, {"topic_name": "topic_name"}, ["topic_key"], how)
-    linked = lookup(with_topic, dim_news, {c: c for c in ARTICLE_KEY}, ["news_key"], how)
-    return linked.where(F.col("news_key").isNotNull() | F.col("topic_key").isNotNull()).select(
+    with_topic = lookup(rows, dim_topics, {"topic_name": "topic_name"}, ["topic_key"])
+    linked = lookup(with_topic, dim_news, {c: c for c in ARTICLE_KEY}, ["news_key"])
+    return _topic_links(
+        linked.where(F.col("news_key").isNotNull() | F.col("topic_key").isNotNull())
+    )
+
+
+def _topic_links(linked: DataFrame) -> DataFrame:
+    return linked.select(
         F.col("news_key").alias("news_topic_news_key"),
         F.col("topic_key").alias("news_topic_topic_key"),
         "news_topic_relevance_score",
     )
 
 
-def link_companies(
-    mentions: DataFrame, dim_news: DataFrame, dim_companies: DataFrame
-) -> DataFrame:
-    """Keys of article and company per distinct mention; both must be known."""
-    rows = dedup_rows(
-        mentions.select(
-            *ARTICLE_KEY,
-            "news_ticker",
-            "news_company_relevance_score",
-            "news_company_ticker_sentiment_score",
-            "news_company_ticker_sentiment_label",
-        )
-    )
-    with_company = lookup(
-        rows,
+def link_companies(keyed: DataFrame, dim_companies: DataFrame) -> DataFrame:
+    """Distinct article and company keys with their scores; the company must be known."""
+    linked = lookup(
+        keyed,
         latest_companies(dim_companies),
         {"news_ticker": "company_ticker"},
         ["company_key"],
         how="inner",
     )
-    linked = lookup(with_company, dim_news, {c: c for c in ARTICLE_KEY}, ["news_key"], "inner")
-    return linked.select(
-        F.col("company_key").alias("news_company_company_key"),
-        F.col("news_key").alias("news_company_news_key"),
-        *schemas.FACT_NEWS_COMPANIES.names[3:],
+    return dedup_rows(
+        linked.select(
+            F.col("company_key").alias("news_company_company_key"),
+            F.col("news_key").alias("news_company_news_key"),
+            *schemas.FACT_NEWS_COMPANIES.names[3:],
+        )
     )
 
 
 def build_fact_news_topics(
-    topics: DataFrame, dim_news: DataFrame, dim_topics: DataFrame, run_time_key: int
+    keyed: DataFrame, dim_topics: DataFrame, run_time_key: int
 ) -> DataFrame:
-    links = link_topics(topics, dim_news, dim_topics)
+    links = link_topics(keyed, dim_topics)
     return bucketed_keys(links, links.columns, "news_topic_key", run_time_key)
 
 
 def build_fact_news_companies(
-    mentions: DataFrame, dim_news: DataFrame, dim_companies: DataFrame, run_time_key: int
+    keyed: DataFrame, dim_companies: DataFrame, run_time_key: int
 ) -> DataFrame:
-    links = link_companies(mentions, dim_news, dim_companies)
+    links = link_companies(keyed, dim_companies)
     return bucketed_keys(links, links.columns, "news_company_key", run_time_key)
 
 

@@ -45,6 +45,7 @@ from stocklake.sources import (
     read_json_array,
     read_json_lines,
     read_partition,
+    read_table,
     union_sources,
     unnest_envelope,
     write_days,
@@ -498,9 +499,16 @@ def silver_ohlcs(spark, sf):
     )
 
 
+def _bronze_news(spark, sf):
+    """The landed articles as the bronze table the jobs read, a few columns at a time."""
+    path = staging_path(spark, "bronze-news")
+    given.news(spark, sf).write.parquet(path)
+    return read_table(spark, path, schemas.NEWS)
+
+
 @query
 def silver_news(spark, sf):
-    rows = silver.silver_news(given.news(spark, sf))
+    rows = silver.silver_news(_bronze_news(spark, sf))
     return rows.withColumn("news_authors", F.array_join("news_authors", "|"))
 
 
@@ -548,64 +556,62 @@ def _dim_topics(spark, topics):
 
 @query
 def dim_news(spark, sf):
-    rows = _dim_news(spark, sf, silver.clean_articles(given.news(spark, sf)))
+    rows = _dim_news(spark, sf, silver.clean_articles(_bronze_news(spark, sf)))
     return rows.withColumn("news_authors", F.array_join("news_authors", "|"))
 
 
 @query
 def dim_news_compat(spark, sf):
     """How many article rows a load without deduplication would write per title."""
-    rows = silver.silver_news(given.news(spark, sf))
+    rows = silver.silver_news(_bronze_news(spark, sf))
     return rows.groupBy("news_title").agg(F.count("*").alias("n_copies"))
 
 
 @query
 def dim_topics(spark, sf):
-    topics = silver.news_topics(silver.clean_articles(given.news(spark, sf)))
+    topics = silver.news_topics(silver.clean_articles(_bronze_news(spark, sf)))
     known = _dim_topics(spark, topics.where("topic_name in ('R', 'F')"))
     return known.unionAll(gold.build_dim_topics(topics, known))
 
 
 @query
 def fact_news_topics(spark, sf):
-    articles = silver.clean_articles(given.news(spark, sf))
-    topics = silver.news_topics(articles)
-    return gold.link_topics(topics, _dim_news(spark, sf, articles), _dim_topics(spark, topics))
+    articles = silver.clean_articles(_bronze_news(spark, sf))
+    dim = _dim_topics(spark, silver.news_topics(articles))
+    keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
+    return gold.link_topics(silver.news_topics(keyed, by=["news_key"]), dim)
 
 
 @query
 def fact_news_topics_either(spark, sf):
     """Only articles labelled R and topics of articles labelled A are known."""
-    articles = silver.clean_articles(given.news(spark, sf))
+    articles = silver.clean_articles(_bronze_news(spark, sf))
     label = F.col("news_overall_sentiment_label")
     some_topics = silver.news_topics(articles.where(label == "A"))
-    return gold.link_topics(
+    return gold.link_topics_either(
         silver.news_topics(articles),
         _dim_news(spark, sf, articles.where(label == "R")),
         _dim_topics(spark, some_topics),
-        keep="either",
     )
 
 
 @query
 def fact_news_topics_compat(spark, sf):
-    rows = silver.silver_news(given.news(spark, sf))
+    rows = silver.silver_news(_bronze_news(spark, sf))
     return gold.title_join_counts(rows, rows, ["topic_name", "news_topic_relevance_score"])
 
 
 @query
 def fact_news_companies(spark, sf):
-    articles = silver.clean_articles(given.news(spark, sf))
-    return gold.link_companies(
-        silver.news_mentions(articles),
-        _dim_news(spark, sf, articles),
-        given.dim_companies(spark, sf),
-    )
+    articles = silver.clean_articles(_bronze_news(spark, sf))
+    keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
+    mentions = silver.news_mentions(keyed, by=["news_key"])
+    return gold.link_companies(mentions, given.dim_companies(spark, sf))
 
 
 @query
 def fact_news_companies_compat(spark, sf):
-    rows = silver.silver_news(given.news(spark, sf))
+    rows = silver.silver_news(_bronze_news(spark, sf))
     known = lookup(
         rows,
         gold.latest_companies(given.dim_companies(spark, sf)),

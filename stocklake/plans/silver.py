@@ -123,17 +123,15 @@ def silver_news(bronze: DataFrame) -> DataFrame:
     )
 
 
-def news_mentions(articles: DataFrame) -> DataFrame:
-    """Article key and ticker columns of cleaned articles, without the topics."""
-    narrow = articles.select(*ARTICLE_KEY, "ticker_sentiment")
+def news_mentions(articles: DataFrame, by=tuple(ARTICLE_KEY)) -> DataFrame:
+    """The ticker columns of cleaned articles and what they are told apart by."""
+    narrow = articles.select(*by, "ticker_sentiment")
     return explode_structs_outer(narrow, "ticker_sentiment", MENTION_FIELDS)
 
 
-def news_topics(articles: DataFrame) -> DataFrame:
-    """Article key and topic columns of cleaned articles, without the tickers."""
-    return explode_structs_outer(
-        articles.select(*ARTICLE_KEY, "topics"), "topics", TOPIC_FIELDS
-    )
+def news_topics(articles: DataFrame, by=tuple(ARTICLE_KEY)) -> DataFrame:
+    """The topic columns of cleaned articles and what they are told apart by."""
+    return explode_structs_outer(articles.select(*by, "topics"), "topics", TOPIC_FIELDS)
 
 
 def silver_candles(bronze: DataFrame) -> DataFrame:

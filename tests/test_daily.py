@@ -200,11 +200,10 @@ def test_facts_from_silver_are_those_from_articles(spark, run, rows):
     """Exploding each array by itself gives the facts the product in silver holds."""
     tables = daily.warehouse_tables(spark, run[1])
     news = read_partition(spark, run[1].silver("news"), DAY, schemas.SILVER_NEWS)
-    topics = gold.build_fact_news_topics(news, tables["dim_news"], tables["dim_topics"], 1)
+    keyed = gold.key_articles(news, tables["dim_news"])
+    topics = gold.build_fact_news_topics(keyed, tables["dim_topics"], 1)
     assert rows(topics) == rows(tables["fact_news_topics"].drop("dt"))
-    companies = gold.build_fact_news_companies(
-        news, tables["dim_news"], tables["dim_companies"], 1
-    )
+    companies = gold.build_fact_news_companies(keyed, tables["dim_companies"], 1)
     assert rows(companies) == rows(tables["fact_news_companies"].drop("dt"))
 
 
@@ -262,15 +261,12 @@ def test_unmatched_candles_are_counted(spark, run):
 def test_link_topics_either(spark, run, rows):
     tables = daily.warehouse_tables(spark, run[1])
     news = read_partition(spark, run[1].silver("news"), DAY, schemas.SILVER_NEWS)
-    links = gold.link_topics(
+    links = gold.link_topics_either(
         news,
         tables["dim_news"].where("news_title = 'two'"),
         tables["dim_topics"].where("topic_name = 'IPO'"),
-        keep="either",
     )
     assert rows(links) == [(4, 2, 1.0), (4, None, 0.0), (None, 2, 0.5), (None, 2, 0.5), (None, 2, 1.0)]
-    with pytest.raises(ValueError):
-        gold.link_topics(news, tables["dim_news"], tables["dim_topics"], keep="all")
 
 
 def test_title_join_counts(spark, run, rows):
