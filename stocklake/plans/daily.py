@@ -113,11 +113,8 @@ def land_bronze(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -
         news_day,
     )
     write_partition(candles_from_text(texts("ohlcs")), paths.bronze("ohlcs"), news_day)
-    tables = {
-        name: read_table(spark, paths.source(name), schema)
-        for name, schema in schemas.SOURCE_TABLES.items()
-    }
-    write_partition(source_db.company_snapshot(**tables), paths.bronze("companies"), company_day)
+    snapshot = source_db.company_snapshot(**source_tables(spark, paths))
+    write_partition(snapshot, paths.bronze("companies"), company_day)
 
 
 def refine_silver(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -> None:
@@ -159,11 +156,12 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
     )
     time_key = gold.time_key(dim("dim_time"), news_day)
 
+    latest = gold.latest_companies(dim("dim_companies"))
     candles = read_partition(
         spark, paths.silver("ohlcs"), news_day, schemas.SILVER_CANDLES, missing_ok
     ).drop("dt")
     write_partition(
-        gold.build_fact_candles(candles, dim("dim_companies"), time_key),
+        gold.build_fact_candles(candles, latest, time_key),
         paths.gold("fact_candles"),
         time_key,
         schemas.PARTITIONS["fact_candles"],
@@ -188,7 +186,7 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
     )
     write_partition(
         gold.build_fact_news_companies(
-            silver.news_mentions(keyed, by=["news_key"]), dim("dim_companies"), time_key
+            silver.news_mentions(keyed, by=["news_key"]), latest, time_key
         ),
         paths.gold("fact_news_companies"),
         news_day,
@@ -220,6 +218,13 @@ def init_warehouse(spark: SparkSession, paths: Paths, replace=False) -> None:
         (writer.partitionBy(column) if column else writer).parquet(paths.gold(name))
 
 
+def source_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    return {
+        name: read_table(spark, paths.source(name), schema, missing_ok=True)
+        for name, schema in schemas.SOURCE_TABLES.items()
+    }
+
+
 def warehouse_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     return {
         name: read_table(spark, paths.gold(name), schema, missing_ok=True)

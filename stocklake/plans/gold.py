@@ -17,6 +17,7 @@ from stocklake.operators.keys import bucketed_keys
 from stocklake.operators.latest import latest_by
 from stocklake.operators.upsert import append_snapshot, insert_ignore
 from stocklake.plans.silver import ARTICLE_KEY
+from stocklake.session import stage
 
 ARTICLE_COLUMNS = schemas.DIM_NEWS.names[1:-1]
 
@@ -38,11 +39,16 @@ def build_dim_companies(silver: DataFrame, dim: DataFrame, load_ts: Column) -> D
 
 
 def latest_companies(dim: DataFrame) -> DataFrame:
-    """The version of each ticker loaded last; within a load the highest key."""
+    """Ticker and key of the version loaded last; within a load the highest key.
+
+    Staged, as it is far smaller than the history of snapshots it is taken from and
+    every fact is joined to it.
+    """
     versions = dim.select("company_ticker", "company_update_time_stamp", "company_key")
-    return latest_by(
+    latest = latest_by(
         versions, ["company_ticker"], ["company_update_time_stamp", "company_key"]
     )
+    return stage(latest.select("company_ticker", "company_key"), "companies")
 
 
 def dates_frame(spark: SparkSession, run_date) -> DataFrame:
@@ -91,11 +97,11 @@ def build_dim_news(articles: DataFrame, dim: DataFrame, news_time_key: int) -> D
 
 def build_fact_candles(
     candles: DataFrame,
-    dim_companies: DataFrame,
+    companies: DataFrame,
     candle_time_key: int,
     unmatched: Observation | None = None,
 ) -> DataFrame:
-    """Candles of known companies.
+    """Candles of known ``companies`` (see ``latest_companies``).
 
     With an observation, the numbers of candles read and of those without a company
     (``n_read``, ``n_unmatched``) are counted by the same job that writes the rest.
@@ -103,7 +109,7 @@ def build_fact_candles(
     how = "inner" if unmatched is None else "left"
     joined = lookup(
         candles,
-        latest_companies(dim_companies),
+        companies,
         {"company_ticker": "company_ticker"},
         ["company_key"],
         how=how,
@@ -158,11 +164,11 @@ def _topic_links(linked: DataFrame) -> DataFrame:
     )
 
 
-def link_companies(keyed: DataFrame, dim_companies: DataFrame) -> DataFrame:
+def link_companies(keyed: DataFrame, companies: DataFrame) -> DataFrame:
     """Distinct article and company keys with their scores; the company must be known."""
     linked = lookup(
         keyed,
-        latest_companies(dim_companies),
+        companies,
         {"news_ticker": "company_ticker"},
         ["company_key"],
         how="inner",
@@ -184,9 +190,9 @@ def build_fact_news_topics(
 
 
 def build_fact_news_companies(
-    keyed: DataFrame, dim_companies: DataFrame, run_time_key: int
+    keyed: DataFrame, companies: DataFrame, run_time_key: int
 ) -> DataFrame:
-    links = link_companies(keyed, dim_companies)
+    links = link_companies(keyed, companies)
     return bucketed_keys(links, links.columns, "news_company_key", run_time_key)
 
 

@@ -540,7 +540,8 @@ def q_normalise_companies(spark, sf):
 @query
 def fact_candles(spark, sf):
     candles = silver.silver_candles(candles_from_text(given.candle_payloads(spark, sf)))
-    facts = gold.build_fact_candles(candles, given.dim_companies(spark, sf), 7)
+    companies = gold.latest_companies(given.dim_companies(spark, sf))
+    facts = gold.build_fact_candles(candles, companies, 7)
     return facts.withColumn(
         "candle_time_stamp", F.col("candle_time_stamp").cast("timestamp_ntz")
     ).drop("candle_key")
@@ -606,7 +607,7 @@ def fact_news_companies(spark, sf):
     articles = silver.clean_articles(_bronze_news(spark, sf))
     keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
     mentions = silver.news_mentions(keyed, by=["news_key"])
-    return gold.link_companies(mentions, given.dim_companies(spark, sf))
+    return gold.link_companies(mentions, gold.latest_companies(given.dim_companies(spark, sf)))
 
 
 @query

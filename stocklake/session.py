@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,3 +54,15 @@ def shared_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, so never overwritten."""
     return f"{shared_dir(spark)}/stocklake/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For a small side of a join that a plan can only guess the size of: the planner
+    knows the size of a written table. So it broadcasts one that is below the
+    threshold without shuffling the other side first, and sort-merges any other.
+    """
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stocklake import schemas
 from stocklake.operators import latest_by
-from stocklake.plans import daily, gold, serving, silver, source_db
+from stocklake.plans import checks, daily, gold, serving, silver, source_db
 from stocklake.sources import read_partition
 
 RUN = datetime.date(2025, 9, 16)
@@ -203,7 +203,8 @@ def test_facts_from_silver_are_those_from_articles(spark, run, rows):
     keyed = gold.key_articles(news, tables["dim_news"])
     topics = gold.build_fact_news_topics(keyed, tables["dim_topics"], 1)
     assert rows(topics) == rows(tables["fact_news_topics"].drop("dt"))
-    companies = gold.build_fact_news_companies(keyed, tables["dim_companies"], 1)
+    latest = gold.latest_companies(tables["dim_companies"])
+    companies = gold.build_fact_news_companies(keyed, latest, 1)
     assert rows(companies) == rows(tables["fact_news_companies"].drop("dt"))
 
 
@@ -253,7 +254,8 @@ def test_unmatched_candles_are_counted(spark, run):
     tables = daily.warehouse_tables(spark, run[1])
     candles = read_partition(spark, run[1].silver("ohlcs"), DAY, schemas.SILVER_CANDLES)
     seen = Observation()
-    facts = gold.build_fact_candles(candles.drop("dt"), tables["dim_companies"], 1, seen)
+    latest = gold.latest_companies(tables["dim_companies"])
+    facts = gold.build_fact_candles(candles.drop("dt"), latest, 1, seen)
     assert facts.count() == 2
     assert seen.get == {"n_read": 3, "n_unmatched": 1}
 
@@ -289,6 +291,37 @@ def test_serving(spark, run):
     assert serving.preview(tables["fact_news_topics"], 3).count() == 3
 
 
+def test_sql_over_the_views(spark, run):
+    serving.register_views(daily.warehouse_tables(spark, run[1]))
+    joined = spark.sql(
+        """select company_ticker, count(*) n from fact_candles
+        join dim_companies on candle_company_key = company_key group by 1 order by 1"""
+    )
+    assert [tuple(r) for r in joined.collect()] == [("AAA", 1), ("BBB", 1)]
+
+
+def test_constraints(spark, run, rows):
+    tables = daily.source_tables(spark, run[1]) | daily.warehouse_tables(spark, run[1])
+    # One volume is beyond INT, and two SIC ids have the same texts; both are kept.
+    assert rows(checks.constraint_report(tables)) == [
+        ("fact_candles", "integer candle_volume", 1),
+        ("sic_industries", "unique sic_industry, sic_sector", 1),
+    ]
+    broken = {
+        "regions": tables["regions"].unionAll(tables["regions"].where("region_id = 1")),
+        "exchanges": tables["exchanges"].withColumn("exchange_region_id", F.col("exchange_id")),
+        "dim_topics": tables["dim_topics"].withColumn("topic_key", F.lit(None).cast("long")),
+        "industries": tables["industries"].withColumn("industry_name", F.repeat(F.lit("x"), 201)),
+    }
+    assert rows(checks.constraint_report(broken)) == [
+        ("dim_topics", "not null topic_key", 3),
+        ("exchanges", "exchange_region_id in regions", 8),
+        ("industries", "length of industry_name", 2),
+        ("regions", "unique region_id", 1),
+        ("regions", "unique region_name", 1),
+    ]
+
+
 def test_served_candles_are_pruned_to_their_day(spark, run):
     tables = daily.warehouse_tables(spark, run[1])
     plan = serving.serve(tables, "fact_candles", candle_time_key=1)._jdf.queryExecution().toString()
