@@ -442,7 +442,7 @@ def normalise_sic(spark, sf):
 @query
 def normalise_exchanges(spark, sf):
     regions = table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("region_id"), F.col("n_name").alias("region_name")
+        F.col("n_nationkey").cast("long").alias("region_id"), F.col("n_name").alias("region_name")
     )
     return source_db.normalise_exchanges(given.markets(spark, sf), regions)
 
