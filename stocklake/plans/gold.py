@@ -26,12 +26,13 @@ def build_dim_companies(silver: DataFrame, dim: DataFrame, load_ts: Column) -> D
     """A snapshot of the companies to append, stamped with ``load_ts``.
 
     Companies already loaded under this ``load_ts`` are left out, so the same load
-    can be repeated.
+    can be repeated. Ticker and delisting must be set.
     """
-    stamped = silver.select(*schemas.SILVER_COMPANIES.names).withColumn(
+    identity = ["company_ticker", "company_is_delisted", "company_update_time_stamp"]
+    known = silver.na.drop("any", subset=identity[:2])
+    stamped = known.select(*schemas.SILVER_COMPANIES.names).withColumn(
         "company_update_time_stamp", load_ts
     )
-    identity = ["company_ticker", "company_is_delisted", "company_update_time_stamp"]
     order = [c for c in stamped.columns if c not in identity]
     same_load = dim.where(F.col("company_update_time_stamp") == load_ts)
     new = insert_ignore(stamped, same_load, identity, order)

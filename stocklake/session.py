@@ -17,15 +17,22 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# For a big cluster, on top of SETTINGS: start every shuffle with many partitions and
+# let adaptive execution merge them to about the advisory size; read in larger splits.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 _local_root: str | None = None
 
 
 def build_session(app_name="stocklake", master=None, settings=None) -> SparkSession:
     """Session with UTC, ANSI and adaptive execution.
 
-    The number of shuffle partitions is left to the cluster: set
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` high there and
-    let adaptive execution merge the small ones.
+    Pass ``settings=CLUSTER_SETTINGS`` on a big cluster.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

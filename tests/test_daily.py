@@ -9,6 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stocklake import schemas
+from stocklake.__main__ import main as command
 from stocklake.operators import latest_by
 from stocklake.plans import checks, daily, gold, serving, silver, source_db
 from stocklake.sources import read_partition
@@ -214,6 +215,19 @@ def test_rerun_changes_nothing(spark, run, rows):
     assert snapshot(spark, run[1], rows) == before
 
 
+def test_command_line(spark, tmp_path, capsys):
+    land(tmp_path)
+    root = str(tmp_path)
+    for job in ("init", "run", "profile", "check"):
+        command([job, root, "--date", RUN.isoformat()])
+    out = capsys.readouterr().out
+    assert "|fact_news_topics   |7     |" in out and "integer candle_volume" in out
+    command(["export", root, "--out", f"{root}/export"])
+    assert spark.read.text(f"{root}/export/dim_topics").count() == 3
+    with pytest.raises(SystemExit):
+        command(["export", root])
+
+
 def test_second_day_adds_to_the_first(spark, tmp_path, rows):
     paths = daily.Paths(str(tmp_path))
     land(tmp_path)
