@@ -23,6 +23,8 @@ def _struct(columns: str, **nested: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, TYPES.get(t) or nested[t]) for n, t in pairs])
 
 
+# Names and types of all columns, layer by layer.
+
 # Landed payloads -----------------------------------------------------------
 
 MARKETS = _struct(

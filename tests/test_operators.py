@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +249,17 @@ def test_violations(spark, rows):
     assert rows(range_violations(df, "n", -(2**31), 2**31 - 1), "k") == [(1,), (2,)]
     assert rows(length_violations(df, "v", 3), "v") == [("long",)]
     assert rows(table_counts({"x": df, "y": df.limit(0)})) == [("x", 5), ("y", 0)]
+
+
+def test_cleaning_and_splitting_agree_with_pandas(spark):
+    rng = random.Random(11)
+    pool = ["", " ", "\t", " ", "a", " a", "a, b", "b,", ", ", "a, b, a", None, "\n\x1f"]
+    data = [(rng.choice(pool), rng.choice(pool)) for _ in range(2000)]
+    frame = pd.DataFrame(data, columns=["k", "v"])
+    kept = frame.replace(r"^\s*$", np.nan, regex=True).drop_duplicates().dropna()
+    pieces = kept.assign(v=kept["v"].str.split(", ")).explode("v")
+
+    cleaned = clean_rows(spark.createDataFrame(data, "k STRING, v STRING"))
+    assert sorted(map(tuple, cleaned.collect())) == sorted(map(tuple, kept.values))
+    exploded = split_explode(cleaned, "v")
+    assert sorted(map(tuple, exploded.collect())) == sorted(map(tuple, pieces.values))
