@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stocklake.session import stage
+
 
 def lookup(
     df: DataFrame, dim: DataFrame, on: dict[str, str], keep: list[str], how: str = "left"
@@ -31,10 +33,20 @@ def denormalise(fact: DataFrame, dims: list[tuple[DataFrame, dict, list]]) -> Da
     return fact
 
 
-def absent_from(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    """Rows with no equal key in ``other`` (NOT EXISTS); a null key counts as absent."""
+def absent_from(df: DataFrame, other: DataFrame, on, unique=False) -> DataFrame:
+    """Rows with no equal key in ``other`` (NOT EXISTS); a null key counts as absent.
+
+    Unless ``other`` is ``unique`` on the key, only its distinct keys are sent: a hot
+    key on this side of an anti join cannot be split. The extra grouping column keeps
+    that aggregate's shuffle from doubling as the join's, because adaptive execution
+    splits a hot key of ``df`` only behind a shuffle of the join's own.
+    """
     on = [on] if isinstance(on, str) else on
-    return df.join(other.select(*on), on, "left_anti")
+    keys = other.select(*on)
+    if not unique:
+        part = F.pmod(F.xxhash64(*on), F.lit(16)).alias("_part")
+        keys = keys.select(*on, part).distinct().select(*on)
+    return df.join(keys, on, "left_anti")
 
 
 def not_in(df: DataFrame, other: DataFrame, col: str) -> DataFrame:
@@ -66,10 +78,11 @@ def within_bounds(target: DataFrame, batch: DataFrame, col: str) -> DataFrame:
 def fanout_counts(left: DataFrame, right: DataFrame, on: list[str], name: str) -> DataFrame:
     """How many rows a many-to-many inner join gives each distinct left row.
 
-    Both sides are counted before they meet, so no pair is ever built.
+    Both sides are counted before they meet, so no pair is ever built. The counts of
+    ``right`` are staged: the join then shuffles for itself and can split a hot key.
     """
     lefts = left.groupBy(*left.columns).agg(F.count("*").alias("_left"))
-    rights = right.groupBy(*on).agg(F.count("*").alias("_right"))
+    rights = stage(right.groupBy(*on).agg(F.count("*").alias("_right")), "fanout")
     return (
         lefts.join(rights, on)
         .withColumn(name, F.col("_left") * F.col("_right"))

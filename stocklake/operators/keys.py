@@ -44,7 +44,8 @@ def assign_keys(
     )
     start = start if isinstance(start, Column) else F.lit(start)
     key = (start + F.col("_offset") + F.col("_row") + 1).cast("long")
-    return rows.join(offsets, "_file").select(key.alias(key_name), *df.columns)
+    # One row per file: as many as the shuffle had partitions, whatever they hold.
+    return rows.join(F.broadcast(offsets), "_file").select(key.alias(key_name), *df.columns)
 
 
 def bucketed_keys(

@@ -178,7 +178,7 @@ def q_clean_rows(spark, sf):
     part = table(spark, sf, "part")
     kind = (
         F.when(F.col("p_size") <= 5, " \t")
-        .when(F.col("p_size") <= 10, " ")
+        .when(F.col("p_size") <= 10, "\u00a0")
         .otherwise(F.col("p_type"))
     )
     return clean_rows(part.select(F.col("p_brand").alias("brand"), kind.alias("part_type")))
@@ -282,7 +282,7 @@ def new_topics_not_in(spark, sf):
     names = F.concat_ws(" ", "p_brand", "p_type").alias("topic_name")
     part = table(spark, sf, "part")
     known = part.where("p_size <= 10").select(names)
-    return dedup_rows(not_in(part.select(names), known, "topic_name"))
+    return not_in(dedup_rows(part.select(names)), known, "topic_name")
 
 
 @query
@@ -291,7 +291,7 @@ def dim_time_if_absent(spark, sf):
     ordered = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("time_date"))
     line = table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_quantity > 40")
     shipped = line.select(F.to_date("l_shipdate").alias("time_date"))
-    return dedup_rows(absent_from(ordered, shipped, "time_date"))
+    return absent_from(dedup_rows(ordered), shipped, "time_date")
 
 
 # Distinct, latest, keys ----------------------------------------------------------

@@ -35,7 +35,7 @@ from stocklake.operators import (
 
 def test_clean_rows(spark, rows):
     df = spark.createDataFrame(
-        [("a", "x"), ("a", "x"), ("a", " "), ("a", " "), (None, "x"), ("b", " y ")],
+        [("a", "x"), ("a", "x"), ("a", " "), ("a", "\u00a0"), (None, "x"), ("b", " y ")],
         "k STRING, v STRING",
     )
     assert rows(clean_rows(df)) == [("a", "x"), ("b", " y ")]
@@ -253,7 +253,7 @@ def test_violations(spark, rows):
 
 def test_cleaning_and_splitting_agree_with_pandas(spark):
     rng = random.Random(11)
-    pool = ["", " ", "\t", " ", "a", " a", "a, b", "b,", ", ", "a, b, a", None, "\n\x1f"]
+    pool = ["", " ", "\t", "\u00a0", "a", " a", "a, b", "b,", ", ", "a, b, a", None, "\n\x1f"]
     data = [(rng.choice(pool), rng.choice(pool)) for _ in range(2000)]
     frame = pd.DataFrame(data, columns=["k", "v"])
     kept = frame.replace(r"^\s*$", np.nan, regex=True).drop_duplicates().dropna()
