@@ -1,3 +1,106 @@
-"""SQL that the corpus queries must agree with, where SQL can express them."""
+"""SQL that the corpus queries must agree with, where SQL can express them.
 
-ORACLES: dict[str, str] = {}
+Language models, tokenizers and pattern positions cannot be written in it; those queries
+are held against brute force or held-out labels in ``tests/llm``.
+"""
+
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), c AS (SELECT d, n, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY d, n)
+SELECT p.page_id, p.n::BIGINT AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN c.first IS NULL OR p.page_id = c.first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id <> c.first THEN c.first END AS refers_to
+FROM p LEFT JOIN c ON p.d = c.d AND p.n = c.n""",
+    "op3_minhash": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^ \\t\\n\\x0B\\f\\r]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+), r AS (
+  SELECT a AS doc_id, a AS other FROM l UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a
+), c AS (SELECT doc_id, min(other) AS component FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.component, d.doc_id) AS component_id,
+  coalesce(c.component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id""",
+    "op4_decontaminate": f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), p AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS width, array_to_string(list_slice(w, i, i + 9), ' ') AS pattern
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)
+), o AS (
+  SELECT d.doc_id, d.i, d.width, p.item_id FROM (
+    SELECT doc_id, width, i, array_to_string(list_slice(w, i, i + width - 1), ' ') AS part
+    FROM (SELECT doc_id, w, width, unnest(generate_series(1, len(w) - width + 1)) AS i
+          FROM w, (SELECT DISTINCT width FROM p) WHERE len(w) >= width)
+  ) d JOIN p ON p.pattern = d.part AND p.width = d.width
+), h AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest(generate_series(i, i + width - 1)) AS place FROM o) GROUP BY doc_id
+), f AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM o) GROUP BY doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
+  coalesce(f.n, 0)::BIGINT AS n_items, sha256(coalesce(f.items, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AS contaminated
+FROM w LEFT JOIN h ON h.doc_id = w.doc_id LEFT JOIN f ON f.doc_id = w.doc_id""",
+    "op5_chat_format": """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), m AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\\\<\\[\\]]', '', 'g')) + CASE role
+    WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7
+    ELSE 16 + length(role) + length(regexp_replace(role, '[^\\\\<\\[\\]]', '', 'g')) END AS chars
+  FROM t
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars,
+  regexp_full_match(string_agg(role, ',' ORDER BY turn, role, text), '(system,)?user,assistant(,user,assistant)*') AS valid
+FROM m GROUP BY conv_id""",
+    "op8_line_dedup": f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {LOWER}) AS key FROM l
+), r AS (
+  SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), m AS (
+  SELECT k.*, r.holder IS NULL OR r.holder = k.doc_id AS keep FROM k LEFT JOIN r ON r.key = k.key
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (NOT keep))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keep), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
+    "op10_top_k": """
+WITH v AS (
+  SELECT vec_id, [floor(x::DOUBLE * 256) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
+}

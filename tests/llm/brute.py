@@ -98,3 +98,36 @@ def line_dedup(rows):
         kept = [x for x in lines if len(h := holders.get(key(x), ())) < 5 or max(h) == doc]
         out[doc] = len(lines), len(lines) - len(kept), "\n".join(kept)
     return out
+
+
+# ---- personal data -------------------------------------------------------------------
+
+
+def _luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (2 if i % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def base_spans(text):
+    """``(kind, start, end)`` of all valid pattern matches, by kind and place."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 16 <= len(digits) <= 19 and _luhn(digits):
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def spans_text(spans):
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
