@@ -20,7 +20,7 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a known language; a model is learned from the labelled ones."""
-    named = langid.identify(docs, langid.train(docs), keep=tuple(docs.columns))
+    named = langid.identify(docs, langid.train(docs), keep=docs.columns)
     sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return named.where(sure).select(*docs.columns)
 

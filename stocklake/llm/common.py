@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocklake.session import shared_dir
 
@@ -39,15 +40,22 @@ def reach(spark: SparkSession) -> None:
 
 
 def map_arrow(
-    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
+    schema: str | T.StructType,
 ) -> DataFrame:
     reach(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-def fields_of(df: DataFrame, names: Iterable[str]) -> list[str]:
-    """The columns as parts of a schema in DDL."""
-    return [f"`{name}` {df.schema[name].dataType.simpleString()}" for name in names]
+def packed(df: DataFrame, names: Iterable[str]) -> Column:
+    """The named columns as one struct ``row``, so that no name of theirs can clash."""
+    return F.struct(*[F.col(f"`{name}`") for name in names]).alias("row")
+
+
+def with_fields(df: DataFrame, names: Iterable[str], made: str) -> T.StructType:
+    """The schema of the named columns of ``df`` and those of ``made``, in DDL."""
+    return T.StructType([df.schema[name] for name in names] + T.StructType.fromDDL(made).fields)
 
 
 class Staging:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklake.llm.common import fields_of, map_arrow
+from stocklake.llm.common import map_arrow, packed, with_fields
 
 WINDOW = 10
 #: Windows of one broadcast table; a larger benchmark is searched for in several passes.
@@ -142,15 +142,14 @@ def decontaminate(
     }
     columns = [c for c in documents.columns if c not in results]
     state = documents.select(
-        *columns,
-        F.col("text").alias("_text"),
-        F.lit(None).cast("binary").alias("_hit"),
-        F.lit(None).cast("array<long>").alias("_items"),
+        packed(documents, columns),
+        "text",
+        F.lit(None).cast("binary").alias("hit"),
+        F.lit(None).cast("array<long>").alias("items"),
     )
-    plain = fields_of(state, columns)
 
     def search(held, batch):
-        for text, bits, had in zip(*(c.to_pylist() for c in batch.columns[-3:]), strict=True):
+        for text, bits, had in zip(*(batch[c].to_pylist() for c in ("text", "hit", "items")), strict=True):
             hit, items = held.value.search(words_of(text))
             if bits is not None:
                 hit |= np.unpackbits(np.frombuffer(bits, np.uint8), count=len(hit)).astype(bool)
@@ -162,7 +161,7 @@ def decontaminate(
                 found = [(np.packbits(hit).tobytes(), list(items)) for hit, items in search(held, batch)]
                 bits = pa.array([bits for bits, _ in found], pa.binary())
                 items = pa.array([items for _, items in found], pa.list_(pa.int64()))
-                yield pa.record_batch([*batch.columns[:-2], bits, items], names=batch.schema.names)
+                yield pa.record_batch([batch["row"], batch["text"], bits, items], names=batch.schema.names)
 
         return run
 
@@ -176,13 +175,11 @@ def decontaminate(
                 made = [
                     pa.array([row[i] for row in rows], kind) for i, kind in enumerate(results.values())
                 ]
-                yield pa.record_batch(
-                    [*batch.columns[:-3], *made], names=[*batch.schema.names[:-3], *results]
-                )
+                yield pa.record_batch([batch["row"], *made], names=["row", *results])
 
         return run
 
-    middle = ", ".join([*plain, "_text string, _hit binary, _items array<long>"])
+    middle = state.schema
     end = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     table: list = []
     for part in _tables(benchmark, width, table_windows):
@@ -190,7 +187,7 @@ def decontaminate(
             state = map_arrow(state, more(spark.sparkContext.broadcast(WuManber(table))), middle)
         table = part
     held = spark.sparkContext.broadcast(WuManber(table))
-    return map_arrow(state, last(held), ", ".join([*plain, end]))
+    return map_arrow(state, last(held), with_fields(state, ["row"], end)).select("row.*", *results)
 
 
 def _digest(items) -> str:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklake.llm.common import fields_of, held_out, map_arrow
+from stocklake.llm.common import held_out, map_arrow, packed, with_fields
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -151,26 +151,26 @@ def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], lis
     return langs, scores
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``df``'s columns ``keep`` with ``lang_pred`` and ``score``, a row for each row.
+def identify(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+    """``df``'s columns ``keep`` (at least one) with ``lang_pred`` and ``score``, a row for each row.
 
     A null text or one without a letter is ``und`` with score 0; so is any text if there
     was nothing to learn from. Ties go to the language that sorts first. The model is of
     fixed size (buckets x languages) and is broadcast; no shuffle.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
-    source = df.select(*keep, F.col(text).alias("_text"))
-    fields = fields_of(source, source.columns[:-1])
+    source = df.select(packed(df, keep), F.col(f"`{text}`").alias("text"))
 
     def run(batches):
         for batch in batches:
-            langs, scores = predict_texts(held.value, batch.column(batch.num_columns - 1).to_pylist())
+            langs, scores = predict_texts(held.value, batch["text"].to_pylist())
             yield pa.record_batch(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"],
+                [batch["row"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                names=["row", "lang_pred", "score"],
             )
 
-    return map_arrow(source, run, ", ".join([*fields, "lang_pred string", "score double"]))
+    made = map_arrow(source, run, with_fields(source, ["row"], "lang_pred string, score double"))
+    return made.select("row.*", "lang_pred", "score")
 
 
 def language_id(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -182,4 +182,4 @@ def language_id(documents: DataFrame, settings: Settings = Settings()) -> DataFr
     """
     model = train(documents.where(~held_out()), settings)
     rows = documents.select("doc_id", held_out().alias("held_out"), "text")
-    return identify(rows, model, keep=("doc_id", "held_out"))
+    return identify(rows, model, keep=["doc_id", "held_out"])

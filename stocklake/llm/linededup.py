@@ -16,12 +16,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklake.llm.common import Staging, fields_of, map_arrow
+from stocklake.llm.common import Staging, map_arrow, packed, with_fields
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 #: Stands for a null id: one document, below all others.
 NO_ID = -(1 << 63)
+MADE = ("n_lines", "n_dropped", "kept_sha256")
 CONTINUATION = bytes(range(0x80, 0xC0))
 
 
@@ -189,26 +190,24 @@ def dedup_lines(
         line_hashes(documents, min_chars)
         .join(repeated, "hash")
         .where("doc <> holder")
-        .groupBy(F.col("doc").alias("_doc"))
-        .agg(F.collect_set("hash").alias("_lost"))
+        .groupBy("doc")
+        .agg(F.collect_set("hash").alias("lost"))
     )
-    columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped", "kept_sha256", "text")]
+    columns = [c for c in documents.columns if c not in (*MADE, "text")]
     rows = (
-        documents.select(*columns, "text")
-        .withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-        .join(lost, "_doc", "left")
-        .select(*columns, "text", "_lost")
+        documents.select(
+            packed(documents, columns),
+            "text",
+            F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        )
+        .join(lost, "doc", "left")
+        .select("row", "text", "lost")
     )
-    schema = ", ".join([*fields_of(rows, columns), "text string, n_lines long, n_dropped long, kept_sha256 string"])
 
     def strip(batches):
         for batch in batches:
             texts, before, gone, shas = [], [], [], []
-            for text, lost in zip(
-                batch.column(batch.num_columns - 2).to_pylist(),
-                batch.column(batch.num_columns - 1).to_pylist(),
-                strict=True,
-            ):
+            for text, lost in zip(batch["text"].to_pylist(), batch["lost"].to_pylist(), strict=True):
                 lines = (text or "").encode("utf-8", "replace").split(b"\n")
                 kept = lines
                 if lost:
@@ -225,13 +224,14 @@ def dedup_lines(
                 shas.append(hashlib.sha256(joined).hexdigest())
             yield pa.record_batch(
                 [
-                    *batch.columns[:-2],
+                    batch["row"],
                     pa.array(texts, pa.string()),
                     pa.array(before, pa.int64()),
                     pa.array(gone, pa.int64()),
                     pa.array(shas, pa.string()),
                 ],
-                names=[*batch.schema.names[:-2], "text", "n_lines", "n_dropped", "kept_sha256"],
+                names=["row", "text", *MADE],
             )
 
-    return map_arrow(rows, strip, schema)
+    schema = with_fields(rows, ["row"], "text string, n_lines long, n_dropped long, kept_sha256 string")
+    return map_arrow(rows, strip, schema).select("row.*", "text", *MADE)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklake.llm.common import Staging
+from stocklake.llm.common import Staging, packed
 
 # Patterns with the same matches as the stated ones, in forms a regular expression engine
 # without memory runs in linear time: possessive repeats, starts only where a run starts.
@@ -249,8 +249,8 @@ def sanitised(documents: DataFrame, found: DataFrame) -> DataFrame:
     rest = lambda acc: F.concat(
         F.concat_ws("", acc["out"]), F.substring(text, acc["at"].cast("int") + 1, F.length(text))
     )
-    rows = documents.withColumn("_row", F.xxhash64("doc_id", text))
-    spans = found.select(F.col("row").alias("_row"), "base", "terms").dropDuplicates(["_row"])
-    return rows.join(spans, "_row").withColumn("text", F.aggregate(marks, start, step, rest)).select(
-        *documents.columns
-    )
+    rest_of = [c for c in documents.columns if c != "text"]
+    rows = documents.select(packed(documents, rest_of), "text", F.xxhash64("doc_id", text).alias("key"))
+    spans = found.select(F.col("row").alias("key"), "base", "terms").dropDuplicates(["key"])
+    made = rows.join(spans, "key").withColumn("text", F.aggregate(marks, start, step, rest))
+    return made.select("row.*", "text").select(*[f"`{c}`" for c in documents.columns])

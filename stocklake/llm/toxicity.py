@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklake.llm.common import fields_of, held_out, map_arrow
+from stocklake.llm.common import held_out, map_arrow, packed, with_fields
 
 TOKEN = re.compile(r"[^\W_]+")
 GRAMS = (3, 4, 5)
@@ -440,28 +440,29 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings
     return fit([r.text for r in learned], [r.toxic for r in learned], settings)
 
 
-def score(df: DataFrame, network: Network, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``df``'s columns ``keep`` with ``score`` and ``predicted``, a row for each row.
+def score(df: DataFrame, network: Network, keep: list[str], text: str = "text") -> DataFrame:
+    """``df``'s columns ``keep`` (at least one) with ``score`` and ``predicted``, a row for each row.
 
     The network is of fixed size and broadcast; no shuffle. Texts are read whole, some
     at a time.
     """
     held = df.sparkSession.sparkContext.broadcast(network)
-    source = df.select(*keep, F.col(text).alias("_text"))
+    source = df.select(packed(df, keep), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         words = Words(held.value)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch["text"].to_pylist()
             scores: list[float] = []
             for start in range(0, len(texts), 128):
                 scores.extend(score_texts(held.value, words, texts[start : start + 128]))
+            predicted = pa.array([int(x >= 0.5) for x in scores], pa.int32())
             yield pa.record_batch(
-                [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32())],
-                names=[*batch.schema.names[:-1], "score", "predicted"],
+                [batch["row"], pa.array(scores, pa.float64()), predicted], names=["row", "score", "predicted"]
             )
 
-    return map_arrow(source, run, ", ".join([*fields_of(source, source.columns[:-1]), "score double, predicted int"]))
+    made = map_arrow(source, run, with_fields(source, ["row"], "score double, predicted int"))
+    return made.select("row.*", "score", "predicted")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -475,4 +476,4 @@ def toxicity(documents: DataFrame, labels: DataFrame, settings: Settings = Setti
     """
     network = train(documents.where(~held_out()), labels, settings)
     rows = documents.select("doc_id", held_out().alias("held_out"), "text")
-    return score(rows, network, keep=("doc_id", "held_out"))
+    return score(rows, network, keep=["doc_id", "held_out"])
