@@ -28,7 +28,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def reach(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and give
+    memory back when they can.
 
     Enough where all machines see that folder; elsewhere ship the package, as with
     ``--py-files``.
@@ -37,15 +38,26 @@ def reach(spark: SparkSession) -> None:
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in known:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    environment.setdefault("MALLOC_ARENA_MAX", "1")
+
+
+Batches = Iterator[pa.RecordBatch]
 
 
 def map_arrow(
-    df: DataFrame,
-    run: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
-    schema: str | T.StructType,
+    df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.StructType, rows: int = 256
 ) -> DataFrame:
+    """``df.mapInArrow`` that hands over batches of at most ``rows`` rows: a batch of
+    Spark's has thousands, too many for whole documents and what is made of them."""
     reach(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def cut(batches: Batches) -> Batches:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                yield batch.slice(start, rows)
+
+    return df.mapInArrow(lambda batches: run(cut(batches)), schema)
 
 
 def packed(df: DataFrame, names: Iterable[str]) -> Column:

@@ -45,7 +45,7 @@ class _WordHashes(dict):
     """64-bit hashes of words; forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         out = xxhash.xxh3_64_intdigest(word)
         if len(word) < 64:
@@ -189,7 +189,7 @@ def _banded(signed: DataFrame, bands: int, rows: int) -> DataFrame:
                 [pa.array(keys.view(np.int64).ravel()), repeat("doc"), repeat("n")], names=["key", "doc", "n"]
             )
 
-    return map_arrow(signed.select("doc", "n", "signature"), run, "key long, doc long, n long")
+    return map_arrow(signed.select("doc", "n", "signature"), run, "key long, doc long, n long", 2048)
 
 
 def _verified(
@@ -245,7 +245,7 @@ def _forest(edges: DataFrame) -> DataFrame:
             names=["a", "b"],
         )
 
-    return map_arrow(edges.select("a", "b"), run, "a long, b long")
+    return map_arrow(edges.select("a", "b"), run, "a long, b long", 10_000)
 
 
 def components(edges: DataFrame, staging: Staging, label: str) -> DataFrame:

@@ -8,7 +8,9 @@ spreads the levels out so that later pieces find a window they fill up.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,17 +24,52 @@ WINDOW = 2048
 END_ID = 1
 #: Sequence ids hold the number of the task above so many bits.
 TASK_BITS = 40
-CACHED_WORDS = 600_000
+CACHED_PIECES = 400_000
 #: The tokenizer's own token that stands between words encoded together.
 BETWEEN, BETWEEN_ID = "<|startoftext|>", 49406
 
 
+#: Letters, and all characters, of texts that are cut into the vocabulary's pieces here;
+#: such texts need no normalisation but lower case.
+LETTERS = r"a-z\u00df-\u00f6\u00f8-\u00ff"
+SIMPLE = re.compile(r"[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+#: The pieces of the vocabulary's own pattern, for such characters.
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign by which byte-level vocabularies write a byte: visible Latin-1 characters
+    stand for themselves, the rest are numbered from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+class _Pieces(dict):
+    """Ids of pieces, merged by the tokenizer's model; forgotten when there are too many."""
+
+    def __init__(self, model):
+        self.model = model
+        self.signs = _byte_signs()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > CACHED_PIECES:
+            self.clear()
+        signs = piece if piece.isascii() else "".join(map(self.signs.__getitem__, piece.encode()))
+        out = array("H", [token.id for token in self.model.tokenize(signs)]).tobytes()
+        if len(piece) <= 64:
+            self[piece] = out
+        return out
+
+
 class WordTokenizer:
-    """Token ids of texts, with the tokenizer run once per distinct word.
+    """Token ids of texts, with the vocabulary's merges run once per distinct piece.
 
-    The vocabulary's rules never look across white space, so the ids of a text are those
-    of its words in order. New words of a batch are encoded in one call, kept apart by a
-    special token; words that hold a special token's text are encoded alone.
+    Texts of simple characters are cut into pieces by the vocabulary's pattern and merged
+    by the tokenizer's model. In other texts this is done word by word, as the rules never
+    look across white space; words of other characters go through the whole tokenizer,
+    many in one call with a special token between them, or alone if they hold the text of
+    a special token.
     """
 
     def __init__(self, path: str):
@@ -40,39 +77,52 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.pieces = _Pieces(self.tokenizer.model)
+
+    def _simple(self, text: str) -> bytes | None:
+        if "<|" in text or not SIMPLE.fullmatch(text):
+            return None
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text.lower())))
 
-    def _encode(self, text: str) -> np.ndarray:
+    def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for start in range(0, len(plain), 4096):
-            part = plain[start : start + 4096]
-            ids = self._encode(BETWEEN.join(w.decode("utf-8", "replace") for w in part))
+    def _by_word(self, text: str) -> bytes:
+        """Ids of a text by its words."""
+        words = [w.decode("utf-8", "replace") for w in text.encode("utf-8", "replace").split()]
+        known, hard = {}, []
+        for word in set(words):
+            known[word] = self._simple(word)
+            if known[word] is None:
+                if "<|" in word:
+                    known[word] = self._whole(word).tobytes()
+                else:
+                    hard.append(word)
+        for start in range(0, len(hard), 4096):
+            part = hard[start : start + 4096]
+            ids = self._whole(BETWEEN.join(part))
             cuts = np.nonzero(ids == BETWEEN_ID)[0]
             begins = np.concatenate(([0], cuts + 1)).tolist()
             ends = np.concatenate((cuts, [len(ids)])).tolist()
             raw = ids.tobytes()
             for word, begin, end in zip(part, begins, ends, strict=True):
-                self.known[word] = raw[2 * begin : 2 * end]
-        for word in words:
-            if b"<|" in word:
-                self.known[word] = self._encode(word.decode("utf-8", "replace")).tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text, as unsigned 16-bit numbers."""
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        split = [(text or "").encode("utf-8", "replace").split() for text in texts]
-        new = set().union(*split).difference(self.known)
-        self._learn(list(new))
-        known = self.known.__getitem__
-        for words in split:
-            yield np.frombuffer(b"".join(map(known, words)), "<u2")
-        for word in new:
-            if len(word) > 64:
-                del self.known[word]
+                known[word] = raw[2 * begin : 2 * end]
+        return b"".join(map(known.__getitem__, words))
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a text, as unsigned 16-bit numbers."""
+        ids = self._simple(text or "")
+        return np.frombuffer(self._by_word(text) if ids is None else ids, "<u2")
+
+
+#: Of this Python worker; what it has learned serves its later tasks.
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def tokenizer_at(path: str) -> WordTokenizer:
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 class SumOfSquares:
@@ -112,7 +162,7 @@ class SumOfSquares:
             yield from self.windows[level]
 
 
-class _Pieces:
+class _Rows:
     """Rows of the result."""
 
     def __init__(self, first: int):
@@ -171,27 +221,24 @@ def pack(documents: DataFrame, tokenizer: str, size: int = WINDOW, end_id: int =
     """
 
     def run(batches):
-        words = WordTokenizer(tokenizer)
+        words = tokenizer_at(tokenizer)
         bins = SumOfSquares(size)
-        out = _Pieces(TaskContext.get().partitionId() << TASK_BITS)
+        out = _Rows(TaskContext.get().partitionId() << TASK_BITS)
         end = np.array([end_id], "<u2")
         for batch in batches:
-            docs, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-            for start in range(0, len(docs), 256):
-                part = slice(start, start + 256)
-                for doc, ids in zip(docs[part], words.encode(texts[part]), strict=True):
-                    ids = np.concatenate((ids, end))
-                    total, at = len(ids), 0
-                    while total - at >= size:
-                        out.close([(doc, at, ids[at : at + size], total)])
-                        at += size
-                    if at < total:
-                        level, window = bins.place(total - at)
-                        window.append((doc, at, ids[at:].copy(), total))
-                        if level + total - at == size:
-                            out.close(window)
-                        else:
-                            bins.put(level + total - at, window)
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                ids = np.concatenate((words.encode(text), end))
+                total, at = len(ids), 0
+                while total - at >= size:
+                    out.close([(doc, at, ids[at : at + size], total)])
+                    at += size
+                if at < total:
+                    level, window = bins.place(total - at)
+                    window.append((doc, at, ids[at:].copy(), total))
+                    if level + total - at == size:
+                        out.close(window)
+                    else:
+                        bins.put(level + total - at, window)
             yield out.take()
         for window in _relay(bins.drain(), size):
             out.close(window)

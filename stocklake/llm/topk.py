@@ -177,8 +177,8 @@ def top_k(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     rows = sound.where(F.col("dim").isin(list(table)))
     wanted = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
-    pivoted = staging.write(map_arrow(blocked(rows, 2), measured(True), kinds), "pivoted")
-    asking = staging.write(map_arrow(blocked(wanted, 3), measured(False), kinds), "asking")
+    pivoted = staging.write(map_arrow(blocked(rows, 2), measured(True), kinds, 4096), "pivoted")
+    asking = staging.write(map_arrow(blocked(wanted, 3), measured(False), kinds, 4096), "asking")
     left = asking.withColumnRenamed("block", "query_block").withColumn("block", numbers(2))
     right = pivoted.withColumn("query_block", numbers(3))
 

@@ -170,7 +170,7 @@ class Network:
 class Words:
     """Rows of projected inputs by word; forgotten when there are too many."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __init__(self, network: Network):
         self.network = network
