@@ -31,6 +31,9 @@ BLOCK = 512
 #: A pair at the limit agrees in fewer slots than this share in about 1 of 10**6 cases.
 AGREE = 0.55
 
+#: Times that unsettled buckets are verified against a member drawn at random.
+PASSES = 2
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -263,12 +266,11 @@ def components(edges: DataFrame, staging: Staging, label: str) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("least"))
         least = least.select("a", F.least("a", "least").alias("least"))
         star = both.join(least, "a").where("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        star = staging.write(_forest(star).distinct(), f"{label}-{turn}")
-        roots = star.select(F.col("b").alias("root")).distinct()
-        unsettled = star.join(roots, F.col("a") == F.col("root"), "left_semi").limit(1).count()
-        twice = star.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        links = star
-        if not unsettled and not twice:
+        links = staging.write(_forest(star).distinct(), f"{label}-{turn}")
+        ends = links.select("a", F.lit(1).alias("up")).union(links.select("b", F.lit(0)).distinct())
+        # A node with two links up, or with links up and down, is not settled.
+        settled = ends.groupBy("a").agg(F.sum("up").alias("up"), F.count("*").alias("ends"))
+        if settled.where("up > 1 or (up = 1 and ends > 1)").isEmpty():
             break
     return links.select(F.col("a").alias("doc"), F.col("b").alias("component")).union(
         links.select("b", "b").distinct()
@@ -310,6 +312,21 @@ def _cross_block_pairs(rows: DataFrame, slots: int, percent: int) -> DataFrame:
     return dealt.groupBy("key", "low", "high").applyInPandas(compare, "a long, b long").distinct()
 
 
+def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets with their component so far."""
+    return rows.join(found, "doc", "left").select(
+        "key", "doc", "n", F.coalesce("component", "doc").alias("component")
+    )
+
+
+def _unsettled(labelled: DataFrame) -> DataFrame:
+    """Members of the buckets in which pairs are left that may link two components."""
+    keys = labelled.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    return labelled.join(keys.where("members > 2 and low <> high").select("key"), "key", "left_semi")
+
+
 def near_duplicates(
     documents: DataFrame,
     words: int = WORDS,
@@ -328,9 +345,12 @@ def near_duplicates(
     Sets that are equal are one class, found by a 128-bit hash of the set with a map-side
     minimum, so copies cost nothing further on. Of the classes' signatures, bands make
     buckets; each member is verified against the bucket's least member (pairs grow with
-    the members, not their square). Buckets that still hold several components are
-    compared block by block on signatures and the rest is verified, so no link is lost but
-    by banding itself: at the limit 4 * 10**-6 of the pairs share no band of 32 x 4.
+    the members, not their square). In buckets that still hold several components, members
+    outside the component of a member drawn at random are verified against it, PASSES
+    times; a text shares many buckets with its near copies and meets another in each.
+    What is still open is compared block by block on signatures and the rest is verified,
+    so no link is lost but by banding itself (at the limit 4 * 10**-6 of the pairs share
+    no band of 32 x 4) or by AGREE.
     """
     spark = documents.sparkSession
     staging = Staging(spark, "near-dup")
@@ -360,16 +380,23 @@ def near_duplicates(
     links = staging.write(_verified(stars, texts, words, percent, staging, "star"), "links")
     found = staging.write(components(links, staging, "round"), "components")
 
-    labelled = (
-        banded.join(buckets.select("key"), "key", "left_semi")
-        .join(found, "doc", "left")
-        .select("key", "doc", "n", F.coalesce("component", "doc").alias("component"))
-    )
-    open_keys = labelled.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("members > 2 and low <> high").select("key")
-    rest = labelled.join(open_keys, "key", "left_semi").join(signed.select("doc", "signature"), "doc")
-    missed = _cross_block_pairs(rest, slots, percent)
+    labelled = _labelled(banded.join(buckets.select("key"), "key", "left_semi"), found)
+    rest = staging.write(_unsettled(labelled).drop("component"), "rest")
+    for turn in range(PASSES):
+        lead = F.struct(F.xxhash64(F.lit(turn), "key", "doc"), "doc", "n", "component")
+        labelled = _labelled(rest, found)
+        leads = labelled.groupBy("key").agg(F.min(lead).alias("lead"))
+        stars = (
+            labelled.join(leads, "key")
+            .where((F.col("component") != F.col("lead.component")) & near)
+            .select(F.least("doc", "lead.doc").alias("a"), F.greatest("doc", "lead.doc").alias("b"))
+            .distinct()
+        )
+        more = _verified(stars, texts, words, percent, staging, f"star-{turn}")
+        links = links.union(staging.write(more, f"links-{turn}"))
+        found = staging.write(components(links, staging, f"round-{turn}"), f"components-{turn}")
+    open_rows = _unsettled(_labelled(rest, found)).join(signed.select("doc", "signature"), "doc")
+    missed = _cross_block_pairs(open_rows, slots, percent)
     missed = _verified(missed, texts, words, percent, staging, "cross")
     found = components(links.union(staging.write(missed, "missed")), staging, "last")
 

@@ -1,0 +1,108 @@
+import gzip
+import hashlib
+import random
+
+from stocklake.llm import warc
+
+SCHEMA = "page_id long, url string, html string, _sha string, refers_to string, _first int"
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)
+
+
+def expected(rows):
+    first = {}
+    for page, _, html in rows:
+        if len((html or "").encode()) >= 1000 and page is not None:
+            first[html] = max(page, first.get(html, page))
+    out = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        revisit = html in first and page != first[html]
+        out.append((page, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response",
+                    first[html] if revisit else None))
+    return sorted(out, key=repr)
+
+
+def test_edges(spark):
+    big, wide = "<html>" + "x" * 2000, "é" * 500
+    rows = [(1, "http://a/é\r\nX: y", big), (2, None, big), (3, "http://b", None), (4, "", ""), (5, "u", "a" * 999)]
+    rows += [(6, "u", "a" * 999), (7, "u", wide), (8, "u", wide), (None, "u", "nobody"), (9, "u", big), (9, "u", big)]
+    rows += [(10, "u", "WARC/1.1\r\n\r\n\r\nWARC/1.0\r\n" * 60), (11, "u", "\x1f\x8b\x08 \x00" * 300), (12, "u", "y" * 500_000)]
+    got = warc.archive_pages(pages_of(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == expected(rows)
+
+
+def test_empty(spark):
+    assert warc.archive_pages(pages_of(spark, [(1, "u", "x")]).limit(0)).count() == 0
+
+
+def archive(n, plain=False):
+    records = [warc.record_bytes(i, "http://x/", f"payload {i} ".encode() * (5 + i)) for i in range(n)]
+    return records if plain else [gzip.compress(r, mtime=0) for r in records]
+
+
+def ids(found):
+    return [f.headers["warc-record-id"] for f in found if isinstance(f, warc.Record)]
+
+
+def named(*numbers):
+    return [f"<urn:page:{i}>" for i in numbers]
+
+
+def test_sound_archives():
+    for plain in (False, True):
+        found = list(warc.salvage(b"".join(archive(5, plain))))
+        assert ids(found) == named(*range(5)) and len(found) == 5
+    assert list(warc.salvage(b"")) == []
+
+
+def test_flipped_byte_loses_one_record():
+    for plain in (False, True):
+        for hurt in range(5):
+            parts = archive(5, plain)
+            bad = bytearray(parts[hurt])
+            bad[len(bad) - 12] ^= 0xFF
+            start = sum(map(len, parts[:hurt]))
+            parts[hurt] = bytes(bad)
+            found = list(warc.salvage(b"".join(parts)))
+            assert ids(found) == named(*(i for i in range(5) if i != hurt))
+            gaps = [f for f in found if isinstance(f, warc.Gap)]
+            assert [(g.offset, g.length) for g in gaps] == [(start, len(bad))] and gaps[0].reason
+
+
+def test_cut_and_foreign_bytes():
+    parts = archive(4)
+    data = parts[0] + b"junk \x1f\x8b\x08 more" + parts[1][:20] + parts[2] + parts[3][:-5]
+    found = list(warc.salvage(data))
+    assert ids(found) == named(0, 2)
+    gaps = [(g.offset, g.length) for g in found if isinstance(g, warc.Gap)]
+    inside = len(parts[0]) + 13 + 20
+    assert gaps == [(len(parts[0]), 13 + 20), (inside + len(parts[2]), len(parts[3]) - 5)]
+
+
+def test_damage_inside_a_member():
+    good, bad = archive(2, plain=True)
+    member = gzip.compress(good.replace(b"WARC/1.1", b"WXRC/1.1") + bad, mtime=0)
+    found = list(warc.salvage(member))
+    assert ids(found) == named(1) and [g.reason for g in found if isinstance(g, warc.Gap)] == ["in member: no version line"]
+
+
+def test_random_damage_covers_every_byte():
+    rng = random.Random(4)
+    for _ in range(30):
+        data = bytearray(b"".join(archive(6, plain=rng.random() < 0.5)))
+        for _ in range(rng.randrange(4)):
+            data[rng.randrange(len(data))] = rng.randrange(256)
+        found = list(warc.salvage(bytes(data)))
+        assert sum(f.length for f in found if not (isinstance(f, warc.Gap) and f.reason.startswith("in "))) == len(data)
+
+
+def test_gaps_are_reported_by_the_reader(spark, tmp_path):
+    parts = archive(3)
+    (tmp_path / "a.warc.gz").write_bytes(parts[0] + b"?" * 7 + parts[1])
+    (tmp_path / "b.warc.gz").write_bytes(b"")
+    rows = warc.read_archives(spark, f"file://{tmp_path}").collect()
+    assert [(r.offset, r.length) for r in rows if r.quarantined] == [(len(parts[0]), 7)]
+    assert sorted(r.record_id for r in rows if r.record_id) == named(0, 1)
