@@ -21,6 +21,11 @@ def parse(argv=None) -> argparse.Namespace:
         default=datetime.date.today(),
         help="run date; news and candles are those of the day before",
     )
+    parser.add_argument(
+        "--load-ts",
+        type=datetime.datetime.fromisoformat,
+        help="stamp of the loaded rows; the start of the run date unless given",
+    )
     parser.add_argument("--missing-ok", action="store_true", help="accept a day without data")
     parser.add_argument("--out", help="folder to export to")
     parser.add_argument("--candle-time-key", type=int, default=1, help="day of candles to export")
@@ -34,19 +39,22 @@ def main(argv=None) -> None:
     args = parse(argv)
     spark = build_session()
     paths = daily.Paths(args.root.rstrip("/"))
-    load_ts = datetime.datetime.now().replace(microsecond=0)
+    load_ts = args.load_ts or datetime.datetime.combine(args.date, datetime.time())
     if args.job == "init":
         daily.init_warehouse(spark, paths)
     if args.job in ("run", "source"):
-        daily.run_source_db(spark, args.date, paths, load_ts)
+        daily.run_source_db(spark, args.date, paths, load_ts, args.missing_ok)
     if args.job in ("run", "warehouse"):
         daily.run_warehouse(spark, args.date, paths, load_ts, args.missing_ok)
+    if args.job not in ("profile", "check", "export"):
+        return
     tables = daily.warehouse_tables(spark, paths)
     if args.job == "profile":
         serving.profile(tables).show(truncate=False)
     if args.job == "check":
         report = checks.constraint_report(daily.source_tables(spark, paths) | tables)
-        report.show(1000, truncate=False)
+        for row in report.toLocalIterator():
+            print(*row, sep=" | ")
     if args.job == "export":
         serving.export_warehouse(tables, args.out, args.candle_time_key)
 

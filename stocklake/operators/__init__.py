@@ -6,7 +6,7 @@ from stocklake.operators.explode import (
     explode_structs_outer,
     split_explode,
 )
-from stocklake.operators.feeds import capped_windows
+from stocklake.operators.feeds import label_windows
 from stocklake.operators.joins import (
     absent_from,
     denormalise,
@@ -32,7 +32,7 @@ __all__ = [
     "append_snapshot",
     "assign_keys",
     "bucketed_keys",
-    "capped_windows",
+    "label_windows",
     "clean_rows",
     "dedup_rows",
     "denormalise",

@@ -1,32 +1,55 @@
-"""Feeds that hand out at most so many rows per time window."""
+"""Fetch windows of feeds that hand out at most so many rows per request."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklake.operators.latest import top_rows
+# How a window is labelled.
+WHOLE_DAY, FIRST_HALF, SECOND_HALF, HOUR, MINUTE = 1, 2, 3, 4, 5
 
 
-def capped_windows(df: DataFrame, ts: str, id_col: str, cap: int = 1000) -> DataFrame:
-    """What a feed that returns at most ``cap`` rows per window yields for each day.
+def label_windows(df: DataFrame, ts: str, cap: int = 1000) -> DataFrame:
+    """Every row with the window to fetch it by, so that windows stay below ``cap`` rows.
 
-    A day with fewer than ``cap`` rows is taken whole (``time_zone`` 1). Any other
-    day is taken as two halves, 00:00 to 12:00 (2) and 12:01 to 23:59 (3), each cut
-    to its ``cap`` latest rows. Ties go to the smaller id.
+    A day with fewer than ``cap`` rows is one window (``time_zone`` 1). Otherwise it is
+    its halves, 00:00 to 12:00 (2) and 12:01 to 23:59 (3), if both are below the cap,
+    else its hours (4), else its minutes (5). A minute is never split, so one above the cap is
+    a window as it is. ``window_start`` is where the window begins. No row is dropped; one
+    without time has no window.
 
-    The halves are cut first, so a busy day never meets in one task: a day taken
-    whole loses nothing by it, and whether a day reaches the cap still shows in the
-    at most 2 x cap rows that are left.
+    Rows are counted per minute, map-side first, and the choice is made on those counts:
+    at most 1,440 rows per day, which are then joined back by day.
     """
     stamp = F.col(ts)
-    morning = (F.hour(stamp) < 12) | ((F.hour(stamp) == 12) & (F.minute(stamp) == 0))
-    halves = df.where(stamp.isNotNull()).withColumns(
-        {"base_date": F.to_date(stamp), "_half": F.when(morning, 2).otherwise(3)}
+    minutes = (
+        df.where(stamp.isNotNull())
+        .groupBy(F.date_trunc("minute", stamp).alias("_minute"))
+        .agg(F.count("*").alias("_n"))
     )
-    newest = [stamp.desc(), F.col(id_col)]
-    cut = top_rows(halves, ["base_date", "_half"], newest, cap, salt_by=[id_col])
-    day_rows = F.count("*").over(Window.partitionBy("base_date"))
-    return cut.withColumn(
-        "time_zone", F.when(day_rows < cap, F.lit(1)).otherwise(F.col("_half"))
-    ).drop("_half")
+    morning = F.date_format("_minute", "HH:mm") <= "12:00"
+    hours = minutes.groupBy(F.date_trunc("hour", "_minute").alias("_hour")).agg(
+        F.sum("_n").alias("_n"), F.sum(F.when(morning, F.col("_n")).otherwise(0)).alias("_am")
+    )
+    days = hours.groupBy(F.to_date("_hour").alias("base_date")).agg(
+        F.sum("_n").alias("_day"), F.sum("_am").alias("_am"), F.max("_n").alias("_hour")
+    )
+    grain = (
+        F.when(F.col("_day") < cap, WHOLE_DAY)
+        .when(F.greatest("_am", F.col("_day") - F.col("_am")) < cap, FIRST_HALF)
+        .when(F.col("_hour") < cap, HOUR)
+        .otherwise(MINUTE)
+    )
+    chosen = days.select("base_date", grain.alias("_grain"))
+    joined = df.withColumn("base_date", F.to_date(stamp)).join(chosen, "base_date", "left")
+    first_half = F.date_format(stamp, "HH:mm") <= "12:00"
+    day = F.date_trunc("day", stamp)
+    start = (
+        F.when(F.col("_grain") == MINUTE, F.date_trunc("minute", stamp))
+        .when(F.col("_grain") == HOUR, F.date_trunc("hour", stamp))
+        .when((F.col("_grain") == FIRST_HALF) & ~first_half, day + F.expr("interval 721 minutes"))
+        .otherwise(day)
+    )
+    half = F.when(first_half, FIRST_HALF).otherwise(SECOND_HALF)
+    label = F.when(F.col("_grain") == FIRST_HALF, half).otherwise(F.col("_grain"))
+    return joined.select(*df.columns, "base_date", label.alias("time_zone"), start.alias("window_start"))

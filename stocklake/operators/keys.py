@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklake.session import staging_path
+from stocklake.session import stage, staging_path
 
 
 def next_key(target: DataFrame, key: str) -> Column:
@@ -44,8 +44,10 @@ def assign_keys(
     )
     start = start if isinstance(start, Column) else F.lit(start)
     key = (start + F.col("_offset") + F.col("_row") + 1).cast("long")
-    # One row per file: as many as the shuffle had partitions, whatever they hold.
-    return rows.join(F.broadcast(offsets), "_file").select(key.alias(key_name), *df.columns)
+    # One row per file: as many as the shuffle had partitions. Staged, so that its size
+    # is known and the planner decides how to join.
+    offsets = stage(offsets, "key-offsets")
+    return rows.join(offsets, "_file").select(key.alias(key_name), *df.columns)
 
 
 def bucketed_keys(
@@ -60,11 +62,12 @@ def bucketed_keys(
     For fact loads: rows are numbered within hash buckets of their natural key, and
     bucket b takes the numbers b + 1, b + 1 + buckets, and so on. ``prefix`` (the
     day's key) goes above bit 40, so each day has its own numbers and a rerun of a
-    day gives the same ones. Drop copies first: rows equal in ``natural_key`` meet
-    in one bucket.
+    day gives the same ones; a bucket too full for the numbers below that bit is an
+    error. Drop copies first: rows equal in ``natural_key`` meet in one bucket.
     """
     bucket = F.pmod(F.xxhash64(*natural_key), F.lit(buckets))
     within = Window.partitionBy("_bucket").orderBy(*natural_key)
     number = (F.row_number().over(within).cast("long") - 1) * buckets + F.col("_bucket") + 1
-    key = F.lit(prefix << 40) + number
+    full = F.raise_error(F.lit(f"{key_name}: a bucket of day {prefix} has no numbers left"))
+    key = F.lit(prefix << 40) + F.when(number < 1 << 40, number).otherwise(full.cast("long"))
     return df.withColumn("_bucket", bucket).select(key.alias(key_name), *df.columns)

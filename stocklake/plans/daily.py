@@ -54,18 +54,34 @@ class Paths:
         return f"{self.root}/gold/{table}"
 
 
-def landed_records(spark: SparkSession, folder: str, run_date, schema) -> DataFrame:
-    """The day's array payloads, or the folder's newest document if there is no such day."""
+def landed_records(
+    spark: SparkSession, folder: str, run_date, schema, missing_ok=False
+) -> DataFrame:
+    """The day's array payloads, or the folder's newest document if there is no such day.
+
+    Neither of them is an error unless ``missing_ok``.
+    """
     day = f"{folder}/dt={as_date(run_date).isoformat()}"
     rows = if_found(lambda: read_json_array(spark, day, schema, one_document_per_line=True))
-    return read_latest_json_array(spark, folder, schema) if rows is None else rows
+    if rows is not None:
+        return rows
+    newest = if_found(lambda: read_latest_json_array(spark, folder, schema, missing_ok))
+    if newest is None and not missing_ok:
+        raise FileNotFoundError(f"no landed payloads in {folder}")
+    return spark.createDataFrame([], schema) if newest is None else newest
 
 
-def run_source_db(spark: SparkSession, run_date, paths: Paths, load_ts) -> None:
+def run_source_db(
+    spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=False
+) -> None:
     """Newest markets and companies payloads into the five source tables."""
     stamp = F.lit(load_ts).cast("timestamp")
-    markets = landed_records(spark, paths.landing("markets"), run_date, schemas.MARKETS)
-    companies = landed_records(spark, paths.landing("companies"), run_date, schemas.COMPANIES)
+
+    def landed(name: str, schema) -> DataFrame:
+        return landed_records(spark, paths.landing(name), run_date, schema, missing_ok)
+
+    markets = landed("markets", schemas.MARKETS)
+    companies = landed("companies", schemas.COMPANIES)
 
     def land(name: str, rows: DataFrame) -> DataFrame:
         path = paths.processed(name, run_date)
@@ -101,7 +117,12 @@ def run_source_db(spark: SparkSession, run_date, paths: Paths, load_ts) -> None:
 
 
 def land_bronze(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -> None:
-    """The day's news and candle payloads, and today's companies, to bronze."""
+    """The day's news and candle payloads, and today's companies, to bronze.
+
+    A missing day, a broken payload or one without its records is an error;
+    ``missing_ok`` accepts the first only. A payload that is an error report has to be
+    landed anew or taken out of the day's folder.
+    """
     news_day, company_day = _days(run_date)
 
     def texts(name: str) -> DataFrame:
@@ -219,15 +240,17 @@ def init_warehouse(spark: SparkSession, paths: Paths, replace=False) -> None:
 
 
 def source_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    """All source tables; one that was never loaded is an error."""
     return {
-        name: read_table(spark, paths.source(name), schema, missing_ok=True)
+        name: read_table(spark, paths.source(name), schema)
         for name, schema in schemas.SOURCE_TABLES.items()
     }
 
 
 def warehouse_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    """All warehouse tables; one that was never written is an error."""
     return {
-        name: read_table(spark, paths.gold(name), schema, missing_ok=True)
+        name: read_table(spark, paths.gold(name), schema)
         for name, schema in schemas.WAREHOUSE_TABLES.items()
     }
 

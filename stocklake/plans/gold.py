@@ -25,18 +25,17 @@ ARTICLE_COLUMNS = schemas.DIM_NEWS.names[1:-1]
 def build_dim_companies(silver: DataFrame, dim: DataFrame, load_ts: Column) -> DataFrame:
     """A snapshot of the companies to append, stamped with ``load_ts``.
 
-    Companies already loaded under this ``load_ts`` are left out, so the same load
-    can be repeated. Ticker and delisting must be set.
+    A load is known by the day of its stamp: companies already loaded on that day are
+    left out, so a day's load can be repeated at any hour. Ticker and delisting must be
+    set.
     """
-    identity = ["company_ticker", "company_is_delisted", "company_update_time_stamp"]
-    known = silver.na.drop("any", subset=identity[:2])
-    stamped = known.select(*schemas.SILVER_COMPANIES.names).withColumn(
-        "company_update_time_stamp", load_ts
-    )
-    order = [c for c in stamped.columns if c not in identity]
-    same_load = dim.where(F.col("company_update_time_stamp") == load_ts)
-    new = insert_ignore(stamped, same_load, identity, order)
-    return append_snapshot(new, dim, "company_key", identity[:2] + order)
+    identity = ["company_ticker", "company_is_delisted"]
+    rows = silver.na.drop("any", subset=identity).select(*schemas.SILVER_COMPANIES.names)
+    order = [c for c in rows.columns if c not in identity]
+    same_load = dim.where(F.to_date("company_update_time_stamp") == F.to_date(load_ts))
+    new = insert_ignore(rows, same_load, identity, order)
+    stamped = new.withColumn("company_update_time_stamp", load_ts)
+    return append_snapshot(stamped, dim, "company_key", identity + order)
 
 
 def latest_companies(dim: DataFrame) -> DataFrame:
@@ -123,7 +122,8 @@ def build_fact_candles(
     rows = joined.withColumnRenamed("company_key", "candle_company_key").withColumn(
         "candle_time_key", F.lit(candle_time_key).cast("long")
     )
-    natural = ["candle_company_key", *schemas.SILVER_CANDLES.names[1:]]
+    # Numbered by ticker, which does not change with the load of companies.
+    natural = schemas.SILVER_CANDLES.names
     return bucketed_keys(rows, natural, "candle_key", candle_time_key).select(
         *schemas.FACT_CANDLES.names
     )

@@ -125,12 +125,27 @@ NORMALISED_COMPANIES = f"""
     where currency = 'USD'
 """
 
+COMPANY_SNAPSHOT = """
+    select c_name as company_name, 'C' || c_custkey as company_ticker,
+        c_acctbal > 5000 as company_is_delisted, c_mktsegment as company_category,
+        case when c_acctbal < 0 then 'EUR' else 'USD' end as company_currency,
+        cast(null as varchar) as company_location, 'X ' || x.n_name as company_exchange_name,
+        r.r_name as company_region_name, i.n_name as company_industry_name,
+        'S ' || i.n_regionkey as company_industry_sector, s.r_name as company_sic_industry,
+        lower(s.r_name) as company_sic_sector
+    from customer
+    left join nation x on x.n_nationkey = c_nationkey
+    left join region r on r.r_regionkey = case when x.n_nationkey >= 5 then x.n_regionkey end
+    left join nation i on c_acctbal >= 0 and i.n_nationkey = c_nationkey
+    left join region s on c_acctbal <= 9000 and s.r_regionkey = c_custkey % 7
+"""
+
 ORACLES = {
     "roundtrip_json_array": """
-        select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders""",
+        select * from orders""",
     "roundtrip_jsonl": "select * from part",
     "roundtrip_parquet_partition": """
-        select event_id, user_id, event_type, value, cast(ts as date) as dt from events
+        select *, cast(ts as date) as dt from events
         where cast(ts as date) <> date '2024-01-15' or event_type = 'click'""",
     "daily_partition_scan": """
         select event_id, user_id, value from events where cast(ts as date) = date '2024-01-15'""",
@@ -142,18 +157,31 @@ ORACLES = {
     "capped_window_fetch": """
         with e as (
             select event_id, ts, cast(ts as date) as base_date,
-                case when hour(ts) < 12 or (hour(ts) = 12 and minute(ts) = 0) then 2 else 3 end
-                    as half
-            from events),
+                case when strftime(ts, '%H:%M') <= '12:00' then 2 else 3 end as half from events),
         n as (
             select *, count(*) over (partition by base_date) as day_n,
-                row_number() over (partition by base_date, half order by ts desc, event_id) as rn
-            from e)
-        select event_id, base_date, case when day_n < 150 then 1 else half end as time_zone
-        from n where day_n < 150 or rn <= 150""",
+                count(*) over (partition by base_date, half) as half_n,
+                count(*) over (partition by base_date, hour(ts)) as hour_n from e),
+        g as (
+            select base_date, case when max(day_n) < 150 then 1 when max(half_n) < 150 then 2
+                when max(hour_n) < 150 then 4 else 5 end as grain from n group by base_date)
+        select event_id, e.base_date, cast(case when grain = 2 then half else grain end as int) as time_zone,
+            case when grain = 1 or grain = 2 and half = 2 then date_trunc('day', ts)
+                when grain = 2 then date_trunc('day', ts) + interval 721 minutes
+                when grain = 4 then date_trunc('hour', ts) else date_trunc('minute', ts) end
+                ::timestamp as window_start
+        from e join g on g.base_date = e.base_date""",
     "export_json": """
-        select to_json(struct_pack(c_custkey := c_custkey, c_mktsegment := c_mktsegment,
-            c_name := c_name, c_nationkey := c_nationkey))::varchar as json_row from customer""",
+        select to_json(struct_pack(o_custkey := o_custkey,
+            o_orderdate := strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S GMT'),
+            o_orderkey := o_orderkey, o_orderpriority := o_orderpriority,
+            o_orderstatus := o_orderstatus, o_totalprice := o_totalprice))::varchar as json_row
+        from orders""",
+    "pretty_documents": "select * from supplier",
+    "latest_document": "select * from nation",
+    "rejected_payloads": """
+        select case o_orderkey % 7 when 0 then 'broken' when 1 then 'no array' else 'sound' end
+            as reason, count(*) as n_payloads from orders group by 1""",
     "http_date": """
         select o_orderkey, strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S GMT') as http_date
         from orders""",
@@ -213,7 +241,7 @@ ORACLES = {
         select 1000 + row_number() over (order by o_orderpriority, o_orderdate, o_orderkey)
             as order_key, o_orderpriority, o_orderkey from orders""",
     "union_sources": """
-        select c_custkey as k, c_name as n from customer where c_mktsegment = 'BUILDING'
+        select c_custkey as k, c_name as n from customer
         union all select s_suppkey, s_name from supplier""",
     "insert_ignore": """
         select p_brand, p_type, p_partkey from (
@@ -266,9 +294,29 @@ ORACLES = {
     "normalise_source_companies": NORMALISED_COMPANIES,
     "load_source_table": """
         select row_number() over (order by batch, industry_name, industry_sector)
-            as industry_id, industry_name, industry_sector
+            as industry_id, industry_name, industry_sector,
+            timestamp '2024-01-01 00:00:00' as database_update_timestamp
         from (select p_brand as industry_name, p_type as industry_sector,
                 min(case when p_size <= 10 then 1 else 2 end) as batch from part group by 1, 2)""",
+    "company_snapshot": COMPANY_SNAPSHOT,
+    "dim_companies_reloads": f"""
+        with n as (select count(*) as n from customer)
+        select row_number() over (order by company_ticker) as company_key, company_name,
+            company_ticker, company_is_delisted, timestamp '2024-01-01 01:00:00' as loaded
+        from ({COMPANY_SNAPSHOT})
+        union all
+        select n + row_number() over (order by company_ticker), company_name, company_ticker,
+            company_is_delisted, timestamp '2024-01-02 01:00:00' from ({COMPANY_SNAPSHOT}), n""",
+    "served_companies": f"""
+        select to_json(struct_pack(company_exchange_name := company_exchange_name,
+            company_industry_name := company_industry_name,
+            company_industry_sector := company_industry_sector,
+            company_is_delisted := company_is_delisted, company_key := company_key,
+            company_name := company_name, company_sic_industry := company_sic_industry,
+            company_sic_sector := company_sic_sector, company_ticker := company_ticker,
+            company_update_time_stamp := 'Mon, 01 Jan 2024 00:00:00 GMT'))::varchar as json_row
+        from (select row_number() over (order by company_ticker) as company_key, *
+              from ({COMPANY_SNAPSHOT})) where company_key = 42""",
     "silver_ohlcs": f"select distinct * from ({SILVER_CANDLES})",
     "silver_news": SILVER_NEWS,
     "normalise_companies": f"""
@@ -281,7 +329,8 @@ ORACLES = {
             industry as company_sic_industry, sic_sector as company_sic_sector
         from ({COMPANIES})""",
     "fact_candles": f"""
-        select company_key as candle_company_key, c.* exclude (company_ticker),
+        select cast(7 as bigint) as key_day, cast(1 as bigint) as key_copies,
+            company_key as candle_company_key, c.* exclude (company_ticker),
             cast(7 as bigint) as candle_time_key
         from (select distinct * from ({SILVER_CANDLES})) c
         join ({LATEST_COMPANIES}) on ticker = company_ticker""",
@@ -292,7 +341,7 @@ ORACLES = {
         select row_number() over (order by topic_name not in ('R', 'F'), topic_name)
             as topic_key, topic_name from (select distinct topic_name from ({TOPIC_ROWS}))""",
     "fact_news_topics": f"""
-        select news_key as news_topic_news_key, topic_key as news_topic_topic_key,
+        select cast(7 as bigint) as key_day, cast(1 as bigint) as key_copies, news_key as news_topic_news_key, topic_key as news_topic_topic_key,
             news_topic_relevance_score
         from ({TOPIC_ROWS}) join ({DIM_NEWS}) using (news_title, news_url, news_time_published)
         join (select topic_name, row_number() over (order by topic_name) as topic_key
@@ -318,7 +367,7 @@ ORACLES = {
         select f.news_title, f.topic_name, f.news_topic_relevance_score, count(*) as n_rows
         from s f join s d on d.news_title = f.news_title group by 1, 2, 3""",
     "fact_news_companies": f"""
-        select company_key as news_company_company_key, news_key as news_company_news_key,
+        select cast(7 as bigint) as key_day, cast(1 as bigint) as key_copies, company_key as news_company_company_key, news_key as news_company_news_key,
             news_company_relevance_score, news_company_ticker_sentiment_score,
             news_company_ticker_sentiment_label
         from (select distinct news_title, news_url, news_time_published, news_ticker,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stocklake import schemas
@@ -18,12 +18,12 @@ from stocklake.operators import (
     absent_from,
     append_snapshot,
     assign_keys,
-    capped_windows,
     clean_rows,
     dedup_rows,
     denormalise,
     fk_violations,
     insert_ignore,
+    label_windows,
     latest_by,
     latest_versions,
     lookup,
@@ -39,6 +39,8 @@ from stocklake.plans import standins as given
 from stocklake.plans.standins import table
 from stocklake.session import staging_path
 from stocklake.sources import (
+    append_table,
+    candle_envelope,
     candles_from_text,
     export_rows,
     latest_file,
@@ -46,6 +48,7 @@ from stocklake.sources import (
     read_json_lines,
     read_partition,
     read_table,
+    rejected_payloads,
     union_sources,
     unnest_envelope,
     write_days,
@@ -68,7 +71,7 @@ def query(fn):
 
 @query
 def roundtrip_json_array(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "orders").drop("o_orderdate")
+    rows = table(spark, sf, "orders")
     path = staging_path(spark, "json-array")
     write_json_array(rows, path)
     return read_json_array(spark, path, rows.schema, one_document_per_line=True)
@@ -83,7 +86,7 @@ def roundtrip_jsonl(spark, sf):
 
 
 def _events_by_day(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    events = table(spark, sf, "events")
     path = staging_path(spark, "events")
     write_days(events.withColumn("dt", F.to_date("ts")), path)
     return path, events.schema
@@ -99,7 +102,7 @@ def roundtrip_parquet_partition(spark, sf):
         & (F.col("event_type") == "click")
     )
     write_partition(clicks.select(*schema.names), path, "2024-01-15")
-    return spark.read.schema(day.schema).parquet(path).drop("ts")
+    return spark.read.schema(day.schema).parquet(path)
 
 
 @query
@@ -109,15 +112,55 @@ def daily_partition_scan(spark, sf):
     return day.select("event_id", "user_id", "value")
 
 
+def _land_documents(rows: DataFrame, number: Column, folder: str) -> None:
+    """Pretty documents, a file each, of the rows with the same number."""
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    records = rows.select(number.alias("document"), record.alias("record"))
+    array = F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]"))
+    documents = records.groupBy("document").agg(array.alias("value"))
+    documents.write.mode("append").partitionBy("document").text(folder)
+
+
+@query
+def pretty_documents(spark, sf):
+    """Suppliers as array documents of up to 100 records, and back."""
+    rows = table(spark, sf, "supplier")
+    folder = staging_path(spark, "documents")
+    _land_documents(rows, F.floor(F.col("s_suppkey") / 100), folder)
+    return read_json_array(spark, f"{folder}/*", rows.schema)
+
+
 @query
-def q_latest_file(spark, sf):
-    return latest_file(spark, sf, "parquet")
+def latest_document(spark, sf):
+    """The nations' document lands after many of suppliers; the newest one is read."""
+    suppliers, nations = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    folder = staging_path(spark, "documents")
+    _land_documents(suppliers, F.floor(F.col("s_suppkey") / 100), folder)
+    _land_documents(nations, F.lit(-1), folder)
+    newest = latest_file(spark, f"{folder}/*", "txt").first()["path"]
+    return read_json_array(spark, newest, nations.schema)
+
+
+@query
+def q_rejected_payloads(spark, sf):
+    """Candle payloads of which some are cut short and some are error reports."""
+    key = F.col("o_orderkey")
+    whole = F.concat(F.lit('{"results": [{"T": "C'), "o_custkey", F.lit('", "t": "'), key, F.lit('"}]}'))
+    landed = table(spark, sf, "orders").select(
+        F.when(key % 7 == 0, F.substring(whole, F.lit(1), F.length(whole) - 2))
+        .when(key % 7 == 1, '{"error": "limit reached"}')
+        .otherwise(whole)
+        .alias("value")
+    )
+    rejected = rejected_payloads(landed, "results", candle_envelope())
+    sound = candles_from_text(landed, skip_rejected=True).agg(F.count("*").alias("n_payloads"))
+    return rejected.unionByName(sound.withColumn("reason", F.lit("sound")))
 
 
 @query
 def q_unnest_envelope(spark, sf):
     """Order lines as payload texts of two records each, and back to rows."""
-    line = given.spread(table(spark, sf, "lineitem"))
+    line = table(spark, sf, "lineitem")
     records = F.array(
         F.struct(F.lit("part").alias("kind"), F.col("l_partkey").alias("key")),
         F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").alias("key")),
@@ -137,16 +180,16 @@ def event_properties(spark, sf):
 
 @query
 def capped_window_fetch(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "ts")
-    return capped_windows(events, "ts", "event_id", cap=150).select(
-        "event_id", "base_date", "time_zone"
-    )
+    """Every event with the window a feed of at most 150 rows is asked for."""
+    labelled = label_windows(table(spark, sf, "events").select("event_id", "ts"), "ts", cap=150)
+    start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return labelled.select("event_id", "base_date", "time_zone", start)
 
 
 @query
 def export_json(spark, sf):
-    customer = table(spark, sf, "customer")
-    return export_rows(customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    """Orders with their date in HTTP form and their price."""
+    return export_rows(table(spark, sf, "orders"))
 
 
 @query
@@ -330,8 +373,7 @@ def surrogate_keys(spark, sf):
 
 @query
 def q_union_sources(spark, sf):
-    customer = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
-    supplier = table(spark, sf, "supplier")
+    customer, supplier = table(spark, sf, "customer"), table(spark, sf, "supplier")
     return union_sources(
         customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("n")),
         supplier.select(F.col("s_name").alias("n"), F.col("s_suppkey").alias("k")),
@@ -485,7 +527,82 @@ def load_source_table(spark, sf):
             given.stamp("2024-01-01"),
             "industry_id",
         )
-    return loaded.drop("database_update_timestamp")
+    stamp = F.col("database_update_timestamp").cast("timestamp_ntz")
+    return loaded.withColumn("database_update_timestamp", stamp)
+
+
+def _source_tables(spark, sf) -> dict[str, DataFrame]:
+    """Customers as source companies: exchanges and industries by nation, SIC by number.
+
+    Some companies have no industry or SIC id, some an id that no table has, and some
+    exchanges no region.
+    """
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    customer, key = table(spark, sf, "customer"), F.col("c_nationkey").cast("long")
+    balance = F.col("c_acctbal")
+    return {
+        "companies": customer.select(
+            F.col("c_name").alias("company_name"),
+            F.concat(F.lit("C"), F.col("c_custkey")).alias("company_ticker"),
+            (balance > 5000).alias("company_is_delisted"),
+            F.col("c_mktsegment").alias("company_category"),
+            F.when(balance < 0, "EUR").otherwise("USD").alias("company_currency"),
+            F.lit(None).cast("string").alias("company_location"),
+            key.alias("company_exchange_id"),
+            F.when(balance >= 0, key).alias("company_industry_id"),
+            F.when(balance <= 9000, F.col("c_custkey") % 7).alias("company_sic_id"),
+        ),
+        "exchanges": nation.select(
+            F.col("n_nationkey").cast("long").alias("exchange_id"),
+            F.when(F.col("n_nationkey") >= 5, F.col("n_regionkey")).cast("long").alias("exchange_region_id"),
+            F.concat(F.lit("X "), F.col("n_name")).alias("exchange_name"),
+        ),
+        "regions": region.select(
+            F.col("r_regionkey").cast("long").alias("region_id"), F.col("r_name").alias("region_name")
+        ),
+        "industries": nation.select(
+            F.col("n_nationkey").cast("long").alias("industry_id"),
+            F.col("n_name").alias("industry_name"),
+            F.concat(F.lit("S "), F.col("n_regionkey")).alias("industry_sector"),
+        ),
+        "sic_industries": region.select(
+            F.col("r_regionkey").alias("sic_id"),
+            F.col("r_name").alias("sic_industry"),
+            F.lower("r_name").alias("sic_sector"),
+        ),
+    }
+
+
+@query
+def company_snapshot(spark, sf):
+    return source_db.company_snapshot(**_source_tables(spark, sf))
+
+
+@query
+def dim_companies_reloads(spark, sf):
+    """Loads of one day at two hours, then of the next: the repeated one adds nothing."""
+    rows = source_db.company_snapshot(**_source_tables(spark, sf))
+    path = staging_path(spark, "dim-companies")
+    given.empty(spark, schemas.DIM_COMPANIES).write.parquet(path)
+    for at in ("2024-01-01 01:00:00", "2024-01-01 05:00:00", "2024-01-02 01:00:00"):
+        loaded = read_table(spark, path, schemas.DIM_COMPANIES)
+        append_table(gold.build_dim_companies(rows, loaded, F.lit(at).cast("timestamp")), path)
+    stamp = F.col("company_update_time_stamp").cast("timestamp_ntz")
+    return (
+        read_table(spark, path, schemas.DIM_COMPANIES)
+        .select("company_key", "company_name", "company_ticker", "company_is_delisted", stamp.alias("loaded"))
+    )
+
+
+@query
+def served_companies(spark, sf):
+    """One company by its key, with the served columns, as exported JSON."""
+    loaded = gold.build_dim_companies(
+        source_db.company_snapshot(**_source_tables(spark, sf)),
+        given.empty(spark, schemas.DIM_COMPANIES),
+        given.stamp("2024-01-01"),
+    )
+    return export_rows(serving.serve({"dim_companies": loaded}, "dim_companies", company_key=" 42 "))
 
 
 # Silver -------------------------------------------------------------------------------
@@ -499,17 +616,11 @@ def silver_ohlcs(spark, sf):
     )
 
 
-LANDED = {}
-
-
 def _bronze_news(spark, sf):
-    """The articles as the bronze table the jobs read, landed once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in LANDED:
-        path = staging_path(spark, "bronze-news")
-        given.news(spark, sf).write.parquet(path)
-        LANDED[key] = path
-    return read_table(spark, LANDED[key], schemas.NEWS)
+    """The articles as the bronze table the jobs read."""
+    path = staging_path(spark, "bronze-news")
+    given.news(spark, sf).write.parquet(path)
+    return read_table(spark, path, schemas.NEWS)
 
 
 @query
@@ -550,7 +661,13 @@ def fact_candles(spark, sf):
     facts = gold.build_fact_candles(candles, companies, 7)
     return facts.withColumn(
         "candle_time_stamp", F.col("candle_time_stamp").cast("timestamp_ntz")
-    ).drop("candle_key")
+    ).select(*_key_checks("candle_key"), "*").drop("candle_key")
+
+
+def _key_checks(key: str) -> list[Column]:
+    """What a load's keys promise: the day above bit 40, and no key twice."""
+    copies = F.count("*").over(Window.partitionBy(key))
+    return [F.shiftright(key, 40).alias("key_day"), copies.alias("key_copies")]
 
 
 def _dim_news(spark, sf, articles):
@@ -586,7 +703,8 @@ def fact_news_topics(spark, sf):
     articles = silver.clean_articles(_bronze_news(spark, sf))
     dim = _dim_topics(spark, silver.news_topics(articles))
     keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
-    return gold.link_topics(silver.news_topics(keyed, by=["news_key"]), dim)
+    facts = gold.build_fact_news_topics(silver.news_topics(keyed, by=["news_key"]), dim, 7)
+    return facts.select(*_key_checks("news_topic_key"), "*").drop("news_topic_key")
 
 
 @query
@@ -613,7 +731,9 @@ def fact_news_companies(spark, sf):
     articles = silver.clean_articles(_bronze_news(spark, sf))
     keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
     mentions = silver.news_mentions(keyed, by=["news_key"])
-    return gold.link_companies(mentions, gold.latest_companies(given.dim_companies(spark, sf)))
+    companies = gold.latest_companies(given.dim_companies(spark, sf))
+    facts = gold.build_fact_news_companies(mentions, companies, 7)
+    return facts.select(*_key_checks("news_company_key"), "*").drop("news_company_key")
 
 
 @query

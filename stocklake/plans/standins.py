@@ -17,15 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when the input has fewer parts than there are cores.
-
-    A file of a single row group cannot be split; big tables pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def text(col: str) -> Column:
     return F.col(col).cast("string")
 
@@ -84,7 +75,7 @@ def companies(spark, sf_dir) -> DataFrame:
 
 def news(spark, sf_dir) -> DataFrame:
     """One article per order line: up to two tickers and two topics each."""
-    line = spread(table(spark, sf_dir, "lineitem"))
+    line = table(spark, sf_dir, "lineitem")
     published = F.date_format("l_shipdate", "yyyyMMdd'T'HHmmss")
     discount, quantity = text("l_discount"), F.col("l_quantity")
     sentiment = (F.col("l_tax") - 0.04).cast("string")
@@ -139,8 +130,7 @@ def candle_payloads(spark, sf_dir) -> DataFrame:
     pairs = [part for k, v in record.items() for part in (F.lit(k), v.cast("string"))]
     results = F.array(F.create_map(*pairs))
     payload = F.create_map(F.lit("results"), results)
-    orders = spread(table(spark, sf_dir, "orders"))
-    return orders.select(F.to_json(payload).alias("value"))
+    return table(spark, sf_dir, "orders").select(F.to_json(payload).alias("value"))
 
 
 def dim_companies(spark, sf_dir) -> DataFrame:

@@ -10,8 +10,10 @@ from stocklake.sources.files import (
 )
 from stocklake.sources.jdbc import read_jdbc, write_jdbc
 from stocklake.sources.payloads import (
+    candle_envelope,
     candles_from_text,
     import_raw_candles,
+    rejected_payloads,
     union_sources,
     unnest_envelope,
 )
@@ -27,6 +29,7 @@ from stocklake.sources.writers import (
 
 __all__ = [
     "append_table",
+    "candle_envelope",
     "candles_from_text",
     "export_all",
     "export_rows",
@@ -38,6 +41,7 @@ __all__ = [
     "read_latest_json_array",
     "read_partition",
     "read_table",
+    "rejected_payloads",
     "union_sources",
     "unnest_envelope",
     "write_days",

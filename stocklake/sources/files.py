@@ -12,47 +12,62 @@ from pyspark.sql import types as T
 from stocklake.functions.dates import as_date
 
 
+def _json_reader(spark: SparkSession, schema, skip_broken: bool):
+    """A broken record ends the read, or with ``skip_broken`` is left out."""
+    mode = "DROPMALFORMED" if skip_broken else "FAILFAST"
+    return spark.read.schema(schema).option("mode", mode)
+
+
 def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType, one_document_per_line=False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    one_document_per_line=False,
+    skip_broken=False,
 ) -> DataFrame:
     """Rows of JSON array documents.
 
     A pretty-printed document cannot be split, so each such file is one task. With
     ``one_document_per_line`` (what ``write_json_array`` lands) files are splittable.
     """
-    return (
-        spark.read.schema(schema).option("multiLine", not one_document_per_line).json(path)
-    )
+    reader = _json_reader(spark, schema, skip_broken)
+    return reader.option("multiLine", not one_document_per_line).json(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_lines(
+    spark: SparkSession, path: str, schema: T.StructType, skip_broken=False
+) -> DataFrame:
     """One record per line; blank lines are skipped."""
-    return spark.read.schema(schema).json(path)
+    return _json_reader(spark, schema, skip_broken).json(path)
 
 
 def latest_file(spark: SparkSession, directory: str, extension: str = "json") -> DataFrame:
-    """One row: the path changed last among the files with this extension.
+    """One row: the path changed last among the folder's own files with this extension.
 
-    Only path and modification time are selected, so no file content is read.
-    ``path`` is null when there is no such file.
+    Files in folders below it, such as those of a day, do not count. Only path and
+    modification time are selected, so no file content is read. ``path`` is null when
+    there is no such file.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{extension}")
-        .load(directory)
-        .select("path", "modificationTime")
-    )
-    return files.agg(
+    pattern = f"{directory}/*.{extension}"
+    files = if_found(lambda: spark.read.format("binaryFile").load(pattern))
+    if files is None:
+        return spark.createDataFrame([(None,)], "path STRING")
+    return files.select("path", "modificationTime").agg(
         F.max_by("path", F.struct("modificationTime", "path")).alias("path")
     )
 
 
 def read_latest_json_array(
-    spark: SparkSession, directory: str, schema: T.StructType
+    spark: SparkSession, directory: str, schema: T.StructType, missing_ok=False
 ) -> DataFrame:
-    """Rows of the newest ``.json`` document in a folder; no rows if there is none."""
+    """Rows of the newest ``.json`` document in a folder.
+
+    A folder without one is an error unless ``missing_ok``, which gives no rows.
+    """
     path = latest_file(spark, directory).first()["path"]
     if path is None:
+        if not missing_ok:
+            raise FileNotFoundError(f"no .json document in {directory}")
         return spark.createDataFrame([], schema)
     return read_json_array(spark, path, schema)
 

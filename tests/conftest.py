@@ -9,11 +9,17 @@ from stocklake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
     session = build_session(
         "tests",
         "local[4]",
-        {"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"},
+        {
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"file://{folder}/shared",
+            "spark.sql.warehouse.dir": f"file://{folder}/warehouse",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -210,11 +210,34 @@ def test_facts_from_silver_are_those_from_articles(spark, run, rows):
 
 
 def test_rerun_changes_nothing(spark, run, rows):
+    """Not even at another hour of the day."""
     before = snapshot(spark, run[1], rows)
-    daily.run_warehouse(spark, RUN, run[1], "2025-09-16 01:00:00")
+    daily.run_all(spark, RUN, run[1], "2025-09-16 05:00:00")
     assert snapshot(spark, run[1], rows) == before
 
 
+def test_missing_payloads_are_an_error(spark, tmp_path):
+    paths = daily.Paths(str(tmp_path))
+    land(tmp_path)
+    (tmp_path / "landing/markets/dt=2020-01-01").mkdir()
+    for document in (tmp_path / "landing/markets").glob("*.json"):
+        document.rename(tmp_path / "landing/markets/dt=2020-01-01" / document.name)
+    with pytest.raises(FileNotFoundError):
+        daily.run_source_db(spark, RUN, paths, "2025-09-16 01:00:00")
+    daily.run_source_db(spark, RUN, paths, "2025-09-16 01:00:00", missing_ok=True)
+    with pytest.raises(AnalysisException):
+        daily.warehouse_tables(spark, daily.Paths(str(tmp_path / "mistyped")))
+
+
+def test_error_payload_stops_the_day(spark, tmp_path):
+    paths = daily.Paths(str(tmp_path))
+    land(tmp_path)
+    daily.run_source_db(spark, RUN, paths, "2025-09-16 01:00:00")
+    (tmp_path / f"landing/ohlcs/dt={DAY}/more.json").write_text('{"error": "limit reached"}')
+    with pytest.raises(Exception, match="no array 'results'"):
+        daily.land_bronze(spark, RUN, paths)
+
+
 def test_command_line(spark, tmp_path, capsys):
     land(tmp_path)
     root = str(tmp_path)

@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,6 @@ from stocklake.operators import (
     append_snapshot,
     assign_keys,
     bucketed_keys,
-    capped_windows,
     clean_rows,
     denormalise,
     explode_distinct,
@@ -19,6 +19,7 @@ from stocklake.operators import (
     fanout_counts,
     fk_violations,
     insert_ignore,
+    label_windows,
     latest_by,
     latest_versions,
     length_violations,
@@ -83,34 +84,43 @@ def test_explode_distinct_equals_distinct_of_explode(spark, rows):
     assert rows(split) == sorted(expected, key=repr)
 
 
-def test_capped_windows_against_brute_force(spark):
+def test_windows_against_brute_force(spark):
     rng = random.Random(3)
     cap, data = 20, []
-    # Below, at and above the cap; one half alone above it.
-    for day, n, hours in ((1, 19, 24), (2, 20, 24), (3, 90, 24), (4, 25, 6), (5, 45, 13)):
+    # Below, at and above the cap; one half, one hour, one minute alone above it.
+    for day, n, hours in ((1, 19, 24), (2, 20, 24), (3, 90, 24), (4, 25, 6), (5, 45, 13), (6, 90, 2)):
         for _ in range(n):
             hour, minute = rng.randrange(hours), rng.choice([0, 0, 1, 30])
-            data.append((len(data), f"2024-01-0{day} {hour:02}:{minute:02}:00"))
+            data.append((len(data), f"2024-01-0{day} {hour:02}:{minute:02}:07"))
+    data.append((len(data), None))
     df = spark.createDataFrame(data, "id INT, at STRING").select(
         "id", F.col("at").cast("timestamp").alias("ts")
     )
-    got = {(r.id, r.time_zone) for r in capped_windows(df, "ts", "id", cap).collect()}
+    got = {r.id: (r.time_zone, r.window_start) for r in label_windows(df, "ts", cap).collect()}
 
-    expected = set()
+    def windows(at):
+        half = (2, at[:10] + " 00:00") if at[11:16] <= "12:00" else (3, at[:10] + " 12:01")
+        return [(1, at[:10] + " 00:00")], [half], [(4, at[:13] + ":00")], [(5, at[:16])]
+
+    expected = {len(data) - 1: (None, None)}
     by_day = {}
-    for i, at in data:
-        by_day.setdefault(at[:10], []).append((at[11:16], i))
+    for i, at in data[:-1]:
+        by_day.setdefault(at[:10], []).append((i, at))
     for feed in by_day.values():
-        windows = {1: feed}
-        if len(feed) >= cap:
-            windows = {
-                2: [r for r in feed if r[0] <= "12:00"],
-                3: [r for r in feed if r[0] > "12:00"],
-            }
-        for zone, window in windows.items():
-            newest = sorted(sorted(window, key=lambda r: r[1]), key=lambda r: r[0], reverse=True)
-            expected |= {(i, zone) for _, i in newest[:cap]}
-    assert got == expected
+        for level in range(4):
+            labels = {i: windows(at)[level][0] for i, at in feed}
+            if level == 3 or max(Counter(labels.values()).values()) < cap:
+                break
+        expected.update(labels)
+    assert {i: (z, s and f"{s:%Y-%m-%d %H:%M}") for i, (z, s) in got.items()} == expected
+    assert {z for z, _ in got.values()} == {None, 1, 2, 3, 4, 5}
+
+
+def test_bucket_without_numbers_left_is_an_error(spark):
+    df = spark.range(3).select(F.lit(1).alias("n"))
+    with pytest.raises(Exception, match="no numbers left"):
+        bucketed_keys(df, ["n"], "k", prefix=7, buckets=1 << 40).where("k is null or k > 0").collect()
+
 
 
 def test_lookup_and_denormalise(spark, rows):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stocklake import schemas
 from stocklake.session import shared_dir, staging_path
 from stocklake.sources import (
+    candle_envelope,
     candles_from_text,
     export_all,
     export_rows,
@@ -20,6 +21,7 @@ from stocklake.sources import (
     read_json_lines,
     read_latest_json_array,
     read_partition,
+    rejected_payloads,
     union_sources,
     unnest_envelope,
     write_days,
@@ -69,7 +71,9 @@ def test_latest_file_by_time_and_extension(spark, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()
     schema = schemas.MARKETS
-    assert read_latest_json_array(spark, str(empty), schema).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_latest_json_array(spark, str(empty), schema)
+    assert read_latest_json_array(spark, str(empty), schema, missing_ok=True).count() == 0
 
 
 def test_latest_file_reads_no_content(spark, tmp_path):
@@ -113,11 +117,34 @@ def test_write_days_replaces_the_days_given(spark, tmp_path, rows):
 def test_unnest_envelope(spark, rows):
     texts = ['{"feed": [{"title": "a"}, {"title": "b"}]}', '{"feed": []}', '{"error": 1}']
     df = spark.createDataFrame([(t,) for t in texts], "value STRING")
-    feed = unnest_envelope(df, "feed", schemas.NEWS_ENVELOPE)
+    with pytest.raises(Exception, match="no array 'feed'"):
+        unnest_envelope(df, "feed", schemas.NEWS_ENVELOPE).collect()
+    feed = unnest_envelope(df, "feed", schemas.NEWS_ENVELOPE, skip_rejected=True)
     assert feed.columns == schemas.NEWS.names
     assert rows(feed, "title") == [("a",), ("b",)]
     structs = spark.createDataFrame([([(1, "x")],), (None,)], "results ARRAY<STRUCT<a: INT, b: STRING>>")
-    assert rows(unnest_envelope(structs, "results")) == [(1, "x")]
+    assert rows(unnest_envelope(structs, "results", skip_rejected=True)) == [(1, "x")]
+    with pytest.raises(Exception, match="no array 'results'"):
+        unnest_envelope(structs, "results").collect()
+
+
+def test_rejected_payloads(spark, rows):
+    texts = ['{"results": [{"T": "A", "t": 1}, {"T": "B"', '{"error": "limit reached"}', "", "[1]"]
+    texts += ['{"results": []}', '{"results": [{"T": "A", "t": 1}]}', '{"results": null}']
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    counts = dict(rows(rejected_payloads(df, "results", candle_envelope())))
+    assert counts["no array"] >= 2 and sum(counts.values()) == 5
+    assert rows(candles_from_text(df, skip_rejected=True), "ticker") == [("A",)]
+    for text in texts[:2]:
+        with pytest.raises(Exception, match="no array 'results'"):
+            candles_from_text(df.where(F.col("value") == text)).collect()
+
+
+def test_broken_records_are_an_error(spark, tmp_path, rows):
+    (tmp_path / "x.json").write_text('{"id": 1}\n{"id": 2\n{"id": 3}\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_json_lines(spark, str(tmp_path), "id INT").collect()
+    assert rows(read_json_lines(spark, str(tmp_path), "id INT", skip_broken=True)) == [(1,), (3,)]
 
 
 def test_candle_text_with_both_cases(spark, rows):
