@@ -27,12 +27,12 @@ ROWS = 4
 ELEMENTS = 1 << 16
 #: Members of an unsettled bucket compared in one task; a larger bucket takes a task for
 #: each pair of blocks.
-BLOCK = 512
+BLOCK = 1024
 #: A pair at the limit agrees in fewer slots than this share in about 1 of 10**6 cases.
 AGREE = 0.55
 
 #: Times that unsettled buckets are verified against a member drawn at random.
-PASSES = 2
+PASSES = 1
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -181,18 +181,20 @@ def sign(df: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS
 
 
 def _banded(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``key, doc, n``: a row for each set and band."""
+    """``key, band, doc, n``: a row for each set and band."""
 
     def run(batches):
         for batch in batches:
             raw = b"".join(batch["signature"].to_pylist())
             keys = band_keys(np.frombuffer(raw, np.uint32).reshape(-1, bands * rows), bands, rows)
             repeat = lambda c: pa.array(np.repeat(batch[c].to_numpy(), bands))
+            number = pa.array(np.tile(np.arange(bands, dtype=np.int32), len(keys)))
             yield pa.record_batch(
-                [pa.array(keys.view(np.int64).ravel()), repeat("doc"), repeat("n")], names=["key", "doc", "n"]
+                [pa.array(keys.view(np.int64).ravel()), number, repeat("doc"), repeat("n")],
+                names=["key", "band", "doc", "n"],
             )
 
-    return map_arrow(signed.select("doc", "n", "signature"), run, "key long, doc long, n long", 2048)
+    return map_arrow(signed.select("doc", "n", "signature"), run, "key long, band int, doc long, n long", 2048)
 
 
 def _verified(
@@ -277,37 +279,88 @@ def components(edges: DataFrame, staging: Staging, label: str) -> DataFrame:
     )
 
 
-def _cross_block_pairs(rows: DataFrame, slots: int, percent: int) -> DataFrame:
-    """Pairs of unsettled buckets that are not in one component yet and whose sizes and
-    signatures may reach the limit. A bucket is dealt to blocks of about BLOCK members and
-    each pair of blocks is a group of its own."""
+def _sets(texts: DataFrame, words: int, slots: int) -> DataFrame:
+    """``doc, shingles, signature`` of texts that have words."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(text, words) for text in batch["text"].to_pylist()]
+            signatures: list = [None] * len(sets)
+            for group in _groups(sets):
+                for i, made in zip(group, superminhash([sets[i] for i in group], slots), strict=True):
+                    signatures[i] = made.tobytes()
+            raw = pa.array([found.tobytes() for found in sets], pa.binary())
+            yield pa.record_batch(
+                [batch["doc"], raw, pa.array(signatures, pa.binary())], names=["doc", "shingles", "signature"]
+            )
+
+    return map_arrow(texts, run, "doc long, shingles binary, signature binary")
+
+
+def linked_pairs(
+    docs: np.ndarray,
+    component: np.ndarray,
+    side: np.ndarray,
+    sets: list[np.ndarray],
+    signatures: np.ndarray,
+    band: int,
+    rows: int,
+    percent: int,
+) -> list[tuple[int, int]]:
+    """Links that join components of a bucket's members, where ``side`` differs or all
+    are on one side.
+
+    A pair is looked at in the first band that its members share, if its signatures and
+    sizes may reach the limit, and confirmed on the full sets. Members that a link has
+    joined are not compared again.
+    """
+    component, links = component.copy(), []
+    size = np.array([len(found) for found in sets])
+    both_sides = (side != side[0]).any()
+    for i in range(len(docs)):
+        fits = (component != component[i]) & (docs > docs[i])
+        fits &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
+        if both_sides:
+            fits &= side != side[i]
+        at = np.nonzero(fits)[0]
+        same = signatures[at] == signatures[i]
+        shared = same.reshape(len(at), signatures.shape[1] // rows, rows).all(axis=2)
+        at = at[(same.mean(axis=1) >= AGREE) & (shared.argmax(axis=1) == band)]
+        for k in at:
+            if component[k] == component[i]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if 100 * both >= percent * (size[i] + size[k] - both):
+                links.append((int(docs[i]), int(docs[k])))
+                component[component == component[k]] = component[i]
+    return links
+
+
+def _cross_links(rows: DataFrame, band_rows: int, percent: int) -> DataFrame:
+    """Links within unsettled buckets that join components. A bucket is dealt to blocks
+    of about BLOCK members, and each pair of blocks is a group of its own."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = rows.join(sizes, "key").withColumn("blocks", blocks)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "doc"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.select("key", "doc", "n", "component", "signature", "block", other.alias("other")).select(
-        "key",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        "block", "doc", "n", "component", "signature",
+    columns = ["key", "band", "doc", "component", "shingles", "signature", "block"]
+    dealt = dealt.select(*columns, other.alias("other")).select(
+        *columns, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        signatures = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, slots)
-        doc, n, comp = (group[c].to_numpy() for c in ("doc", "n", "component"))
-        block = group["block"].to_numpy()
-        first, second = [], []
-        for i in range(len(doc)):
-            fits = (comp != comp[i]) & (doc > doc[i])
-            fits &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-            if (block != block[0]).any():
-                fits &= block != block[i]
-            at = np.nonzero(fits)[0]
-            at = at[(signatures[at] == signatures[i]).mean(axis=1) >= AGREE]
-            first.extend([doc[i]] * len(at))
-            second.extend(doc[at])
-        return pd.DataFrame({"a": first, "b": second}, dtype="int64")
+        links = linked_pairs(
+            group["doc"].to_numpy(),
+            group["component"].to_numpy(),
+            group["block"].to_numpy(),
+            [np.frombuffer(raw, np.uint64) for raw in group["shingles"]],
+            np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(group), -1),
+            int(group["band"].iloc[0]),
+            band_rows,
+            percent,
+        )
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     return dealt.groupBy("key", "low", "high").applyInPandas(compare, "a long, b long").distinct()
 
@@ -315,7 +368,7 @@ def _cross_block_pairs(rows: DataFrame, slots: int, percent: int) -> DataFrame:
 def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets with their component so far."""
     return rows.join(found, "doc", "left").select(
-        "key", "doc", "n", F.coalesce("component", "doc").alias("component")
+        "key", "band", "doc", "n", F.coalesce("component", "doc").alias("component")
     )
 
 
@@ -348,9 +401,9 @@ def near_duplicates(
     the members, not their square). In buckets that still hold several components, members
     outside the component of a member drawn at random are verified against it, PASSES
     times; a text shares many buckets with its near copies and meets another in each.
-    What is still open is compared block by block on signatures and the rest is verified,
-    so no link is lost but by banding itself (at the limit 4 * 10**-6 of the pairs share
-    no band of 32 x 4) or by AGREE.
+    What is still open is compared block by block, each pair once, on signatures and then
+    on the full sets; the blocks give back links only. So no link is lost but by banding
+    itself (at the limit 4 * 10**-6 of the pairs share no band of 32 x 4) or by AGREE.
     """
     spark = documents.sparkSession
     staging = Staging(spark, "near-dup")
@@ -395,10 +448,11 @@ def near_duplicates(
         more = _verified(stars, texts, words, percent, staging, f"star-{turn}")
         links = links.union(staging.write(more, f"links-{turn}"))
         found = staging.write(components(links, staging, f"round-{turn}"), f"components-{turn}")
-    open_rows = _unsettled(_labelled(rest, found)).join(signed.select("doc", "signature"), "doc")
-    missed = _cross_block_pairs(open_rows, slots, percent)
-    missed = _verified(missed, texts, words, percent, staging, "cross")
-    found = components(links.union(staging.write(missed, "missed")), staging, "last")
+    open_rows = staging.write(_unsettled(_labelled(rest, found)), "open")
+    named = staging.write(open_rows.select("doc").distinct(), "open-named")
+    sets = _sets(texts.join(named, "doc", "left_semi"), words, slots).dropDuplicates(["doc"])
+    missed = staging.write(_cross_links(open_rows.join(sets, "doc"), rows, percent), "missed")
+    found = components(links.union(missed), staging, "last")
 
     return (
         classed.join(found.select(F.col("doc").alias("first"), "component"), "first", "left")

@@ -79,10 +79,24 @@ def test_large_set_is_signed_in_parts(monkeypatch):
 
 
 def test_blocks_of_one_bucket_meet(spark, monkeypatch):
-    """Pairs within and across blocks of an unsettled bucket are all looked at once."""
+    """Members within and across blocks of an unsettled bucket all come together."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
-    signature = np.arange(4, dtype=np.uint32).tobytes()
-    rows = [(1, doc, 10, doc, signature) for doc in range(10)]
-    df = spark.createDataFrame(rows, "key long, doc long, n long, component long, signature binary")
-    pairs = table(minhash._cross_block_pairs(df, 4, 75), "a", "b")
-    assert pairs == sorted(((a, b) for a in range(10) for b in range(a + 1, 10)), key=repr)
+    found = np.arange(20, dtype=np.uint64)
+    signature = minhash.superminhash([found], 4)[0].tobytes()
+    rows = [(1, 0, doc, doc, found.tobytes(), signature) for doc in range(10)]
+    schema = "key long, band int, doc long, component long, shingles binary, signature binary"
+    links = table(minhash._cross_links(spark.createDataFrame(rows, schema), 4, 75), "a", "b")
+    parent = list(range(10))
+    for a, b in links:
+        parent = [parent[a] if p == parent[b] else p for p in parent]
+    assert len(set(parent)) == 1
+
+
+def test_each_pair_is_compared_in_its_first_band():
+    sets = [np.arange(k, k + 40, dtype=np.uint64) for k in (0, 2, 4, 300)]
+    signatures = minhash.superminhash(sets, 32)
+    first = (signatures[0] == signatures[1]).reshape(8, 4).all(axis=1).argmax()
+    args = np.arange(4), np.arange(4), np.zeros(4), sets, signatures
+    links = [minhash.linked_pairs(*args, band, 4, 75) for band in range(8)]
+    assert [(0, 1) in found for found in links] == [band == first for band in range(8)]
+    assert all(3 not in pair for found in links for pair in found)
