@@ -4,6 +4,7 @@ from stocklake.operators.clean import clean_rows, dedup_rows
 from stocklake.operators.explode import (
     explode_distinct,
     explode_structs_outer,
+    exploded_counts,
     split_explode,
 )
 from stocklake.operators.feeds import label_windows
@@ -38,6 +39,7 @@ __all__ = [
     "denormalise",
     "explode_distinct",
     "explode_structs_outer",
+    "exploded_counts",
     "fanout_counts",
     "fk_violations",
     "insert_ignore",

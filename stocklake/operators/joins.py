@@ -62,27 +62,36 @@ def not_in(df: DataFrame, other: DataFrame, col: str) -> DataFrame:
     return absent_from(df, values, col).where(clear & (F.col(col).isNotNull() | empty))
 
 
-def within_bounds(target: DataFrame, batch: DataFrame, col: str) -> DataFrame:
+def within_bounds(
+    target: DataFrame, batch: DataFrame, col: str, stand_in: str | None = None
+) -> DataFrame:
     """Only the rows of ``target`` whose value lies between the batch's extremes.
 
+    ``stand_in`` is a value that stands for a missing one: it sets no bound, and rows of
+    ``target`` that have it are kept.
+
     For an equality join on ``col`` this loses nothing, and it keeps the history of
     a large table out of the shuffle. The two extremes are fetched first: as
     literals they reach the scan, where a subquery would not skip any row group.
     """
-    low, high = batch.agg(F.min(col), F.max(col)).first()
-    if low is None:
-        return target.where(F.lit(False))
-    return target.where(F.col(col).between(low, high))
+    real = batch if stand_in is None else batch.where(F.col(col) != stand_in)
+    low, high = real.agg(F.min(col), F.max(col)).first()
+    inside = F.lit(False) if low is None else F.col(col).between(low, high)
+    return target.where(inside if stand_in is None else inside | (F.col(col) == stand_in))
 
 
-def fanout_counts(left: DataFrame, right: DataFrame, on: list[str], name: str) -> DataFrame:
+def fanout_counts(
+    left: DataFrame, right: DataFrame, on: list[str], name: str, copies: str | None = None
+) -> DataFrame:
     """How many rows a many-to-many inner join gives each distinct left row.
 
-    Both sides are counted before they meet, so no pair is ever built. The counts of
-    ``right`` are staged: the join then shuffles for itself and can split a hot key.
+    Both sides are counted before they meet, so no pair is ever built; a column
+    ``copies`` says how many rows each row stands for. The counts of ``right`` are
+    staged: the join then shuffles for itself and can split a hot key.
     """
-    lefts = left.groupBy(*left.columns).agg(F.count("*").alias("_left"))
-    rights = stage(right.groupBy(*on).agg(F.count("*").alias("_right")), "fanout")
+    many = F.sum(copies) if copies else F.count("*")
+    lefts = left.groupBy(*[c for c in left.columns if c != copies]).agg(many.alias("_left"))
+    rights = stage(right.groupBy(*on).agg(many.alias("_right")), "fanout")
     return (
         lefts.join(rights, on)
         .withColumn(name, F.col("_left") * F.col("_right"))

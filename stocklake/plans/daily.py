@@ -139,22 +139,34 @@ def land_bronze(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -
 
 
 def refine_silver(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -> None:
-    """Bronze days to silver days."""
+    """Bronze days to silver days.
+
+    News are kept as distinct articles with their arrays, which is all gold reads; their
+    product of tickers and topics is written by ``write_news_product``.
+    """
     news_day, company_day = _days(run_date)
     for name, day, schema, clean in (
-        ("news", news_day, schemas.NEWS, silver.silver_news),
+        ("articles", news_day, schemas.NEWS, silver.silver_articles),
         ("ohlcs", news_day, schemas.CANDLES, silver.silver_candles),
         ("companies", company_day, schemas.SILVER_COMPANIES, silver.silver_companies),
     ):
-        bronze = read_partition(spark, paths.bronze(name), day, schema, missing_ok)
+        landed = paths.bronze("news" if name == "articles" else name)
+        bronze = read_partition(spark, landed, day, schema, missing_ok)
         write_partition(clean(bronze), paths.silver(name), day)
 
 
+def write_news_product(spark: SparkSession, run_date, paths: Paths, missing_ok=False) -> None:
+    """The day's news as rows of article x ticker x topic, for readers who need them."""
+    news_day, _ = _days(run_date)
+    bronze = read_partition(spark, paths.bronze("news"), news_day, schemas.NEWS, missing_ok)
+    write_partition(silver.silver_news(bronze), paths.silver("news"), news_day)
+
+
 def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=False) -> None:
     """Silver days to dimensions and facts; a repeated run changes nothing.
 
-    The news facts come from the cleaned articles, each array exploded on its own:
-    the same distinct rows as in silver, without its product of tickers and topics.
+    The news facts come from the silver articles, each array exploded on its own: the
+    same distinct rows as from their product of tickers and topics, without building it.
     """
     news_day, company_day = _days(run_date)
     stamp = F.lit(load_ts).cast("timestamp")
@@ -188,8 +200,9 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
         schemas.PARTITIONS["fact_candles"],
     )
 
-    bronze_news = read_partition(spark, paths.bronze("news"), news_day, schemas.NEWS, missing_ok)
-    articles = silver.clean_articles(bronze_news)
+    articles = read_partition(
+        spark, paths.silver("articles"), news_day, schemas.SILVER_ARTICLES, missing_ok
+    ).drop("dt")
     topics = silver.news_topics(articles)
     append_table(
         gold.build_dim_topics(topics, dim("dim_topics")), paths.gold("dim_topics")

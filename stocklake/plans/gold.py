@@ -19,6 +19,8 @@ from stocklake.operators.upsert import append_snapshot, insert_ignore
 from stocklake.plans.silver import ARTICLE_KEY
 from stocklake.session import stage
 
+#: Stands for a time that could not be read.
+MISSING = "n/a"
 ARTICLE_COLUMNS = schemas.DIM_NEWS.names[1:-1]
 
 
@@ -80,9 +82,10 @@ def known_news(dim: DataFrame, articles: DataFrame) -> DataFrame:
     """The part of the article dimension that a batch of articles can refer to.
 
     The time of publication is part of the article key, so a day's load leaves all
-    years outside its own times unread and unshuffled.
+    years outside its own times unread and unshuffled. Articles without a time are
+    looked up among those without.
     """
-    return within_bounds(dim, articles, "news_time_published")
+    return within_bounds(dim, articles, "news_time_published", stand_in=MISSING)
 
 
 def build_dim_news(articles: DataFrame, dim: DataFrame, news_time_key: int) -> DataFrame:
@@ -197,13 +200,17 @@ def build_fact_news_companies(
     return bucketed_keys(links, links.columns, "news_company_key", run_time_key)
 
 
-def title_join_counts(facts: DataFrame, news: DataFrame, value_cols: list[str]) -> DataFrame:
+def title_join_counts(
+    facts: DataFrame, news: DataFrame, value_cols: list[str], copies: str | None = None
+) -> DataFrame:
     """How often a load that joins facts to articles by title alone repeats each fact.
 
     Such a load has one article row per silver row and matches every one of the same
     title, so k silver rows of a title become k x k facts. The rows are counted
     (``n_rows``), not built. ``facts`` are the silver rows a load would keep,
-    ``news`` all of them.
+    ``news`` all of them; with ``copies`` both may be counts of them.
     """
-    facts = facts.select("news_title", *value_cols)
-    return fanout_counts(facts, news.select("news_title"), ["news_title"], "n_rows")
+    count = [copies] if copies else []
+    facts = facts.select("news_title", *value_cols, *count)
+    news = news.select("news_title", *count)
+    return fanout_counts(facts, news, ["news_title"], "n_rows", copies)

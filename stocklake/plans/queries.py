@@ -687,8 +687,8 @@ def dim_news(spark, sf):
 @query
 def dim_news_compat(spark, sf):
     """How many article rows a load without deduplication would write per title."""
-    rows = silver.silver_news(_bronze_news(spark, sf))
-    return rows.groupBy("news_title").agg(F.count("*").alias("n_copies"))
+    rows = silver.news_copies(_bronze_news(spark, sf))
+    return rows.groupBy("news_title").agg(F.sum("copies").alias("n_copies"))
 
 
 @query
@@ -722,8 +722,10 @@ def fact_news_topics_either(spark, sf):
 
 @query
 def fact_news_topics_compat(spark, sf):
-    rows = silver.silver_news(_bronze_news(spark, sf))
-    return gold.title_join_counts(rows, rows, ["topic_name", "news_topic_relevance_score"])
+    bronze = _bronze_news(spark, sf)
+    topics, rows = silver.news_copies(bronze, "topics"), silver.news_copies(bronze)
+    values = ["topic_name", "news_topic_relevance_score"]
+    return gold.title_join_counts(topics, rows, values, "copies")
 
 
 @query
@@ -738,15 +740,17 @@ def fact_news_companies(spark, sf):
 
 @query
 def fact_news_companies_compat(spark, sf):
-    rows = silver.silver_news(_bronze_news(spark, sf))
+    bronze = _bronze_news(spark, sf)
+    mentions, rows = silver.news_copies(bronze, "ticker_sentiment"), silver.news_copies(bronze)
     known = lookup(
-        rows,
+        mentions,
         gold.latest_companies(given.dim_companies(spark, sf)),
         {"news_ticker": "company_ticker"},
         ["company_key"],
         "inner",
     )
-    return gold.title_join_counts(known, rows, ["company_key", "news_company_relevance_score"])
+    values = ["company_key", "news_company_relevance_score"]
+    return gold.title_join_counts(known, rows, values, "copies")
 
 
 # Whole runs ----------------------------------------------------------------------------

@@ -22,6 +22,7 @@ from stocklake.operators.explode import (
     distinct_items,
     explode_distinct,
     explode_structs_outer,
+    exploded_counts,
 )
 
 # Silver names of the landed fields.
@@ -113,14 +114,25 @@ def clean_articles(bronze: DataFrame) -> DataFrame:
     )
 
 
+ARRAYS = {"ticker_sentiment": MENTION_FIELDS, "topics": TOPIC_FIELDS}
+
+
+def silver_articles(bronze: DataFrame) -> DataFrame:
+    """The distinct cleaned articles with their arrays: what the warehouse is loaded from."""
+    return dedup_rows(clean_articles(bronze))
+
+
 def silver_news(bronze: DataFrame) -> DataFrame:
     """Distinct rows of article x ticker x topic."""
-    return explode_distinct(
-        bronze,
-        clean_articles,
-        {"ticker_sentiment": MENTION_FIELDS, "topics": TOPIC_FIELDS},
-        identity=text_or_default(F.col("url")),
-    )
+    url = text_or_default(F.col("url"))
+    return explode_distinct(bronze, clean_articles, ARRAYS, identity=url)
+
+
+def news_copies(bronze: DataFrame, keep: str | None = None) -> DataFrame:
+    """Titles, with the items of one array if asked for, and how many rows of
+    ``silver_news`` each stands for (``copies``)."""
+    url = text_or_default(F.col("url"))
+    return exploded_counts(bronze, clean_articles, ARRAYS, url, ["news_title"], keep)
 
 
 def news_mentions(articles: DataFrame, by=tuple(ARTICLE_KEY)) -> DataFrame:

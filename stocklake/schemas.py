@@ -111,6 +111,20 @@ SILVER_NEWS = _struct(
     " news_topic_relevance_score DOUBLE"
 )
 
+SILVER_ARTICLES = T.StructType(
+    SILVER_NEWS.fields[:8]
+    + _struct(
+        "ticker_sentiment MENTIONS, topics TOPICS",
+        MENTIONS=T.ArrayType(
+            _struct(
+                "ticker STRING, relevance_score DOUBLE, ticker_sentiment_score DOUBLE,"
+                " ticker_sentiment_label STRING"
+            )
+        ),
+        TOPICS=T.ArrayType(_struct("topic STRING, relevance_score DOUBLE")),
+    ).fields
+)
+
 # Gold ------------------------------------------------------------------------
 
 DIM_TIME = _struct(

@@ -126,6 +126,7 @@ def run(spark, tmp_path_factory):
     land(root)
     paths = daily.Paths(str(root))
     daily.run_all(spark, RUN, paths, "2025-09-16 01:00:00")
+    daily.write_news_product(spark, RUN, paths)
     return root, paths
 
 
@@ -386,7 +387,10 @@ def test_missing_day_is_an_error_unless_allowed(spark, run, rows):
         daily.refine_silver(spark, weekend + datetime.timedelta(days=7), run[1])
     daily.refine_silver(spark, weekend, run[1], missing_ok=True)
     sunday = weekend - datetime.timedelta(days=1)
-    assert read_partition(spark, run[1].silver("news"), sunday, schemas.SILVER_NEWS).count() == 0
+    for name, schema in (("articles", schemas.SILVER_ARTICLES), ("news", schemas.SILVER_NEWS)):
+        if name == "news":
+            daily.write_news_product(spark, weekend, run[1])
+        assert read_partition(spark, run[1].silver(name), sunday, schema).count() == 0
     assert snapshot(spark, run[1], rows) == before
 
 

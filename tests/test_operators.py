@@ -166,6 +166,8 @@ def test_within_bounds(spark, rows):
     batch = spark.createDataFrame([("b",), ("e",)], "k STRING")
     assert rows(within_bounds(target, batch, "k")) == [("c",), ("e",)]
     assert rows(within_bounds(target, batch.limit(0), "k")) == []
+    assert ("a",) not in rows(within_bounds(target, batch, "k"))
+    assert rows(within_bounds(target, batch, "k", stand_in="a")) == [("a",), ("c",), ("e",)]
 
 
 def test_fanout_counts_equal_the_join(spark, rows):
