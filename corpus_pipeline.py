@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stocklake.llm import decontam, langid, linededup, minhash, packing
 from stocklake.llm.common import Staging, load
+from stocklake.llm.common import packed as packed_row
 from stocklake.llm.queries import tokenizer_path
 
 #: Documents whose best language is less likely than this are rejected, as are those
@@ -20,15 +21,18 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a known language; a model is learned from the labelled ones."""
-    named = langid.identify(docs, langid.train(docs), keep=docs.columns)
+    whole = docs.select(packed_row(docs, docs.columns), "text")
+    named = langid.identify(whole, langid.train(docs), keep=["row"])
     sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return named.where(sure).select(*docs.columns)
+    return named.where(sure).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop repeated lines; ``n_chars`` follows the text."""
-    out = linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    out = linededup.dedup_lines(docs.select(packed_row(docs, others), "doc_id", "text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of the benchmark."""
-    searched = decontam.decontaminate(docs, load(spark, sf_dir, "benchmark"))
-    return searched.where("not contaminated").select(*docs.columns)
+    whole = docs.select(packed_row(docs, docs.columns), "text")
+    searched = decontam.decontaminate(whole, load(spark, sf_dir, "benchmark"))
+    return searched.where("not contaminated").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -152,12 +152,13 @@ def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], lis
 
 
 def identify(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``df``'s columns ``keep`` (at least one) with ``lang_pred`` and ``score``, a row for each row.
+    """``df``'s columns ``keep`` (at least one; those named as the results are replaced) with ``lang_pred`` and ``score``, a row for each row.
 
     A null text or one without a letter is ``und`` with score 0; so is any text if there
     was nothing to learn from. Ties go to the language that sorts first. The model is of
     fixed size (buckets x languages) and is broadcast; no shuffle.
     """
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
     held = df.sparkSession.sparkContext.broadcast(model)
     source = df.select(packed(df, keep), F.col(f"`{text}`").alias("text"))
 
