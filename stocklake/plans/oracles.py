@@ -334,6 +334,11 @@ ORACLES = {
             cast(7 as bigint) as candle_time_key
         from (select distinct * from ({SILVER_CANDLES})) c
         join ({LATEST_COMPANIES}) on ticker = company_ticker""",
+    "served_candles": f"""
+        select company_key as candle_company_key, c.* exclude (company_ticker),
+            cast(42 as bigint) as candle_time_key
+        from (select distinct * from ({SILVER_CANDLES}) where not candle_is_otc) c
+        join ({LATEST_COMPANIES}) on ticker = company_ticker""",
     "dim_news": DIM_NEWS,
     "dim_news_compat": f"""
         select news_title, count(*) as n_copies from ({SILVER_NEWS}) group by 1""",

@@ -664,6 +664,20 @@ def fact_candles(spark, sf):
     ).select(*_key_checks("candle_key"), "*").drop("candle_key")
 
 
+@query
+def served_candles(spark, sf):
+    """Facts of two days as the daily run writes them; one day is served by its key."""
+    candles = silver.silver_candles(candles_from_text(given.candle_payloads(spark, sf)))
+    companies = gold.latest_companies(given.dim_companies(spark, sf))
+    path, column = staging_path(spark, "fact-candles"), schemas.PARTITIONS["fact_candles"]
+    for key, day in ((41, candles.where("candle_is_otc")), (42, candles.where("not candle_is_otc"))):
+        write_partition(gold.build_fact_candles(day, companies, key), path, key, column)
+    facts = read_table(spark, path, schemas.FACT_CANDLES)
+    served = serving.serve({"fact_candles": facts}, "fact_candles", candle_time_key="42")
+    stamp = F.col("candle_time_stamp").cast("timestamp_ntz")
+    return served.withColumn("candle_time_stamp", stamp).drop("candle_key")
+
+
 def _key_checks(key: str) -> list[Column]:
     """What a load's keys promise: the day above bit 40, and no key twice."""
     copies = F.count("*").over(Window.partitionBy(key))

@@ -76,6 +76,11 @@ def test_day_scan_prunes_partitions_and_columns(spark):
     assert {path.split("/")[-2] for path in df.inputFiles()} == {"dt=2024-01-15"}
 
 
+def test_served_day_is_one_partition(spark):
+    df = QUERIES["served_candles"](spark, SF)
+    assert re.search(r"PartitionFilters: \[isnotnull\(candle_time_key#\d+L\), \(candle_time_key#\d+L = 42\)\]", plan_of(df))
+
+
 def test_compat_counts_build_no_pairs(spark):
     """Facts counted per title and value meet one staged count per title."""
     plan = plan_of(QUERIES["fact_news_topics_compat"](spark, SF))
