@@ -25,6 +25,8 @@ TOKEN = re.compile(r"[^\W_]+")
 GRAMS = (3, 4, 5)
 #: Weight of a standard error of evidence in an embedding.
 EVIDENCE = 0.3
+#: Texts of the sample that must hold a word or n-gram for it to count.
+MIN_TEXTS = 4
 
 
 @dataclass(frozen=True)
@@ -250,6 +252,7 @@ class _Trainer:
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         self.mean = {k: np.zeros_like(v) for k, v in network.p.items()}
         self.square = {k: np.zeros_like(v) for k, v in network.p.items()}
+        self.silent: dict[str, np.ndarray] = {}
         self.steps = 0
         self.rng = np.random.default_rng(s.seed)
 
@@ -260,7 +263,9 @@ class _Trainer:
 
     def prime(self, documents: list[np.ndarray], labels: np.ndarray) -> None:
         """Start the first coordinate of each embedding at the evidence for its row: the
-        log odds of occurring in toxic and in other texts, in standard errors."""
+        log odds of occurring in toxic and in other texts, in standard errors. Rows that
+        few texts hold, or none, stay at zero: they would only help to know the texts by
+        heart, and a new text has many of them."""
         toxic = labels == 1
         for key, rows_of in (("word", lambda used: self.word_ids[used]), ("gram", lambda used: self._grams_of(used)[0])):
             table = self.network.p[key]
@@ -271,6 +276,8 @@ class _Trainer:
             yes, no = held[1] + 0.5, held[0] + 0.5
             odds = np.log(yes / (toxic.sum() + 1)) - np.log(no / ((~toxic).sum() + 1))
             table[:, 0] = EVIDENCE * odds / np.sqrt(1 / yes + 1 / no)
+            self.silent[key] = held.sum(axis=0) < MIN_TEXTS
+            table[self.silent[key]] = 0
 
     def project(self, used: np.ndarray):
         grams, sizes = self._grams_of(used)
@@ -344,6 +351,8 @@ class _Trainer:
         grads["word"] = self._summed(self.word_ids[used], drows[:, : s.word_dim] * drop, s.word_rows)
         spread = np.repeat(drows[:, s.word_dim :] / sizes[:, None], sizes, axis=0)
         grads["gram"] = self._summed(grams, spread, s.gram_rows)
+        for key, silent in self.silent.items():
+            grads[key][silent] = 0
         self._adam(grads)
 
     @staticmethod
@@ -441,28 +450,34 @@ def _calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None
 def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Network:
     """Learn ``labels.toxic`` (1 or 0; others and nulls are left out) on a bounded sample.
 
-    The driver gets at most about ``2 * sample`` texts of at most ``sample_chars`` code points.
+    The sample is drawn from the labels alone, about ``2 * sample`` ids, one row each (a
+    document with both labels counts as toxic). So it is small enough to be broadcast, no
+    text is shuffled but those found, and the driver gets at most as many texts, of at
+    most ``sample_chars`` code points.
     """
-    known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic")
-    texts = documents.where((F.length("text") <= settings.sample_chars) & (F.length("text") > 0))
-    rows = texts.select("doc_id", "text").join(known, "doc_id")
-    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sound = labels.where("toxic in (0, 1) and doc_id is not null")
+    known = sound.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     steps = 1 << 30
     share = F.coalesce(
         *[F.when(F.col("toxic") == t, F.lit(min(steps, settings.sample * steps // n))) for t, n in sizes.items()],
         F.lit(0),
     )
     spot = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(steps))
-    learned = rows.where(spot < share).orderBy("doc_id", "text").collect()
+    texts = documents.where((F.length("text") <= settings.sample_chars) & (F.length("text") > 0))
+    rows = texts.select("doc_id", "text").join(F.broadcast(known.where(spot < share)), "doc_id")
+    learned = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    learned.sort(key=lambda r: r.doc_id)
     return fit([r.text for r in learned], [r.toxic for r in learned], settings)
 
 
 def score(df: DataFrame, network: Network, keep: list[str], text: str = "text") -> DataFrame:
-    """``df``'s columns ``keep`` (at least one) with ``score`` and ``predicted``, a row for each row.
+    """``df``'s columns ``keep`` (at least one; those named as the results are replaced) with ``score`` and ``predicted``, a row for each row.
 
     The network is of fixed size and broadcast; no shuffle. Texts are read whole, some
     at a time.
     """
+    keep = [c for c in keep if c not in ("score", "predicted")]
     held = df.sparkSession.sparkContext.broadcast(network)
     source = df.select(packed(df, keep), F.col(f"`{text}`").alias("text"))
 
@@ -491,6 +506,6 @@ def toxicity(documents: DataFrame, labels: DataFrame, settings: Settings = Setti
     rows are each scored, a null ``doc_id`` stays null, columns beyond those named are not
     looked at, an empty table gives no rows.
     """
-    network = train(documents.where(~held_out()), labels, settings)
+    network = train(documents.where(~held_out()), labels.where(~held_out()), settings)
     rows = documents.select("doc_id", held_out().alias("held_out"), "text")
     return score(rows, network, keep=["doc_id", "held_out"])

@@ -24,15 +24,18 @@ def texts_of(n, seed, bad=("zorkish", "blargful", "zorken", "blargs")):
 def test_learns_from_words_and_characters(spark, documents):
     rows = texts_of(300, 1)
     labels = spark.createDataFrame([(i, t, "x") for i, _, t in rows], "doc_id long, toxic int, text string")
-    unseen = [(1000 + i, text, t) for i, text, t in texts_of(90, 2, bad=("zorkissimo", "blargous"))]
+    fresh = [(1000 + i, text, t) for i, text, t in texts_of(90, 2)]
+    other = [(2100 + i, text, t) for i, text, t in texts_of(90, 3, bad=("zorkishes", "blargfuls"))]
     edges = [(2000, None), (2001, ""), (2002, "?!"), (None, "zorkish"), (2003, "al " * 60_000 + "zorkish blargful zorken")]
-    df = documents([(i, text) for i, text, _ in rows + unseen] + edges)
+    df = documents([(i, text) for i, text, _ in rows + fresh + other] + edges)
     out = toxicity.toxicity(df, labels, SMALL)
     assert out.columns == ["doc_id", "held_out", "score", "predicted"]
     got = {r.doc_id: r for r in out.collect()}
-    assert len(got) == len(rows) + len(unseen) + len(edges)
-    right = [got[i].predicted == t for i, _, t in rows + unseen]
-    assert np.mean(right) > 0.95
+    assert len(got) == len(rows) + len(fresh) + len(other) + len(edges)
+    assert np.mean([got[i].predicted == t for i, _, t in rows + fresh]) > 0.95
+    # Words not seen in training, but for their beginnings: toxic texts score higher.
+    toxic, clean = ([got[i].score for i, _, t in other if t == label] for label in (1, 0))
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.75
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
     assert got[2000].score == got[2001].score == got[2002].score < 0.5
     assert got[2003].predicted == 1 and got[None].held_out is False
