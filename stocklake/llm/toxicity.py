@@ -3,7 +3,8 @@
 A word's input is its own hashed embedding beside the mean of those of its character
 n-grams. The network reads windows of words from both ends, attention pools the
 states, and a document scores as its highest window. Windows overlap by a quarter and
-cover the whole text.
+cover the whole text. A run of letters longer than a word, as of a script without spaces,
+is read as overlapping pieces, so that none of its n-grams is missed.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from stocklake.llm.common import held_out, map_arrow, packed, with_fields
 
 TOKEN = re.compile(r"[^\W_]+")
 GRAMS = (3, 4, 5)
+#: Longest word, length of the pieces a longer one is read as, and of their overlap: an
+#: n-gram that one piece cuts lies in the next.
+LONGEST, PIECE, OVERLAP = 40, 12, max(GRAMS) - 1
 #: Weight of a standard error of evidence in an embedding.
 EVIDENCE = 0.3
 #: Texts of the sample that must hold a word or n-gram for it to count.
@@ -51,13 +55,23 @@ class Settings:
 
 
 def tokens(text: str | None) -> list[str]:
-    return TOKEN.findall(text.lower()) if text else []
+    """The words of a text, long ones in pieces."""
+    words = TOKEN.findall(text.lower()) if text else []
+    if not any(len(word) > LONGEST for word in words):
+        return words
+    return [piece for word in words for piece in _pieces(word)]
+
+
+def _pieces(word: str) -> list[str]:
+    if len(word) <= LONGEST:
+        return [word]
+    return [word[at : at + PIECE] for at in range(0, len(word) - OVERLAP, PIECE - OVERLAP)]
 
 
 def gram_ids(words: list[str], rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the character n-grams of each word with marked ends, one word after the
-    other, and how many each word has. Characters beyond the 40th are left to the word."""
-    marked = [f"<{word[:40]}>" for word in words]
+    other, and how many each word has."""
+    marked = [f"<{word}>" for word in words]
     points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     owner = np.repeat(np.arange(len(words)), [len(word) for word in marked])
     found, owners = [], []

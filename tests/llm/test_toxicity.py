@@ -55,6 +55,26 @@ def test_query_on_given_tables(spark):
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.9
 
 
+def test_text_without_spaces_is_read_to_its_end():
+    """Every n-gram of a long run of letters is read, and words inside it count."""
+    run = "".join(texts_of(1, 5)[0][1].split())
+    for n in (40, 41, 44, 45, 52, 53, len(run)):
+        read = set(toxicity.gram_ids(toxicity.tokens(run[:n]), 1 << 30)[0])
+        points = [ord(c) for c in run[:n]]
+        for size in toxicity.GRAMS:
+            for at in range(n - size + 1):
+                row = size
+                for point in points[at : at + size]:
+                    row = (row * 0x100000001B3 + point) % (1 << 64)
+                assert (row * 0x9E3779B97F4A7C15 % (1 << 64) >> 40) % (1 << 30) in read, (n, size, at)
+    network = toxicity.fit([t for _, t, _ in texts_of(300, 1)], [y for *_, y in texts_of(300, 1)], SMALL)
+    words = toxicity.Words(network)
+    clean = ["".join(t.split()) for _, t, y in texts_of(90, 6) if not y]
+    toxic = [t[:200] + "zorkishblargful" + t[200:] for t in clean]
+    low, high = (toxicity.score_texts(network, words, texts) for texts in (clean, toxic))
+    assert np.mean([b > a for a, b in zip(low, high, strict=True)]) > 0.9
+
+
 def test_gradients():
     """Backpropagation against differences, for every parameter."""
     settings = toxicity.Settings(word_rows=8, gram_rows=16, word_dim=2, gram_dim=3, hidden=2, attention=2, window=4)
