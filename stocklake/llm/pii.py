@@ -1,10 +1,11 @@
 """Personal data: pattern spans, and terms that reveal them by corpus co-occurrence.
 
 Pattern spans (e-mail, ip, card, phone) are protected values. For each value c and term t
-near it the corpus gives the pointwise mutual information, log2(N n(c,t) / (n(c) n(t))),
-and the information content of the value, log2(N / n(c)). PMI reaches the content when t
-never occurs without c; a term whose PMI is at least ``content / alpha`` says too much
-about the value and is generalised, from ``content / certain`` on it is removed.
+of a document with it the corpus gives the pointwise mutual information,
+log2(N n(c,t) / (n(c) n(t))), and the information content of the value, log2(N / n(c)); all
+counts are of documents. PMI reaches the content when t never occurs without c; a term
+whose PMI is at least ``content / alpha`` says too much about the value and is generalised,
+from ``content / certain`` on it is removed, wherever a document with the value has it.
 Everything is column expressions, joins and aggregates.
 """
 
@@ -38,10 +39,8 @@ SPANS = "array<struct<kind:string,start:long,end:long,value:string>>"
 
 @dataclass(frozen=True)
 class Settings:
-    """``window``: code points on each side of a value in which terms count as occurring
-    with it. ``min_docs``: documents a pair must occur in to be judged."""
+    """``min_docs``: documents a pair must occur in to be judged."""
 
-    window: int = 80
     min_docs: int = 3
     alpha: float = 1.25
     certain: float = 1.02
@@ -117,46 +116,69 @@ def find_spans(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.select(*columns, F.concat(*parts).alias("base"))
 
 
-def _near(text: Column, span: Column, base: Column, window: int) -> Column:
-    """The words around a span, cut ones and those inside spans left out."""
-    far = span["start"] > window
-    before = F.substring(
-        text, F.greatest(span["start"] - window, F.lit(0)).cast("int") + 1, F.least(span["start"], F.lit(window)).cast("int")
+def _masked(text: Column) -> Column:
+    """The text with zeros for the letters of its values, so that what is left of a word
+    beside or inside one is no word. Of the kinds only e-mails hold letters."""
+    pattern = PATTERNS["email"]
+    matches = F.transform(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.regexp_replace(m, "[A-Za-z]", "0")
     )
-    before = F.when(far, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
-    after = F.substring(text, span["end"].cast("int") + 1, F.lit(window))
-    after = F.when(F.length(after) == window, F.regexp_replace(after, r"[\p{L}\p{N}]+$", "")).otherwise(after)
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), matches.alias("match"))
+    parts = F.transform(pairs, lambda x: F.concat(x["piece"], F.coalesce(x["match"], F.lit(""))))
+    return F.when(F.contains(text, F.lit(NEEDS["email"])), F.array_join(parts, "")).otherwise(text)
 
-    def words(part, shift):
-        found = F.regexp_extract_all(part, F.lit(WORD), F.lit(0))
-        return _placed(found, F.split(part, WORD, -1), TERM, shift)
 
-    both = F.concat(words(before, span["start"] - F.length(before)), words(after, span["end"]))
-    clear = lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
-    return F.filter(both, clear)
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def revealing_terms(near: DataFrame, documents: DataFrame, settings: Settings, staging: Staging) -> DataFrame:
+def _terms(text: Column) -> Column:
+    """The distinct words of a masked text."""
+    return F.array_distinct(F.transform(_words(text), F.lower))
+
+
+def _marked(text: Column, removed: Column) -> Column:
+    """Places of the words of a masked text that are keys of the map ``removed``."""
+    item = "struct<start:long,end:long,value:string,removed:boolean>"
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{item}>").alias("out"))
+    words = _words(text)
+
+    def step(acc, pair):
+        begin = acc["at"] + F.length(pair["piece"])
+        end = begin + F.length(pair["word"])
+        how = F.try_element_at(removed, F.lower(pair["word"]))
+        place = F.struct(
+            begin.alias("start"), end.alias("end"), pair["word"].alias("value"), how.alias("removed")
+        )
+        out = F.when(how.isNotNull(), F.array_append(acc["out"], place)).otherwise(acc["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    pairs = F.arrays_zip(F.slice(F.split(text, WORD, -1), 1, F.size(words)).alias("piece"), words.alias("word"))
+    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+
+
+def revealing_terms(held: DataFrame, values: DataFrame, documents: DataFrame, settings: Settings, staging: Staging) -> DataFrame:
     """``entity, term, removed``: terms that exceed the threshold.
 
-    Counts are of documents, over the whole corpus. Pairs come from windows, so they grow
-    with the values found, not with the square of a document; every sum is taken map-side
-    first, so a value or term of a third of all rows is a few rows per task.
+    ``held`` has a row for each document with values of ``values``: those, and its masked
+    text. Counts are of documents, over the whole corpus. Every sum is taken map-side first,
+    so a value or term of a third of all rows is a few rows per task.
     """
-    pairs = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("n_both")
+    pairs = (
+        held.select("entities", F.explode(_terms(F.col("masked"))).alias("term"))
+        .select(F.explode("entities").alias("entity"), "term")
+        .groupBy("entity", "term")
+        .agg(F.count("*").alias("n_both"))
     )
-    values = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = staging.write(
         pairs.where(F.col("n_both") >= settings.min_docs).join(values, "entity"), "pairs"
     )
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    words = _terms(_masked(F.col("text")))
     terms = documents.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     total = documents.agg(F.count("*").alias("n")).first().n
     content = F.log2(F.lit(total) / F.col("n_entity"))
-    often = F.greatest(F.coalesce("n_term", "n_both"), "n_both")
-    pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * often))
-    judged = pairs.join(terms, "term", "left").select(
+    pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    judged = pairs.join(terms, "term").select(
         "entity", "term", pmi.alias("pmi"), content.alias("content")
     )
     return judged.where((F.col("content") > 0) & (F.col("pmi") >= F.col("content") / settings.alpha)).select(
@@ -176,26 +198,30 @@ def personal_data(documents: DataFrame, settings: Settings = Settings()) -> Data
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("row", F.xxhash64("doc_id", "text"))
     based = find_spans(texts)
-    around = F.transform(
-        "base",
-        lambda s: F.struct(
-            F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"),
-            _near(F.col("text"), s, F.col("base"), settings.window).alias("words"),
-        ),
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    masked = F.when(F.size("base") > 0, _masked(F.col("text")))
+    found = staging.write(
+        based.select("row", "doc_id", "base", entities.alias("entities"), masked.alias("masked")), "found"
     )
-    found = staging.write(based.select("row", "doc_id", "base", around.alias("around")), "found")
-    near = (
-        found.where(F.size("around") > 0)
-        .select("row", F.explode("around").alias("a"))
-        .select("row", F.col("a.entity").alias("entity"), F.explode("a.words").alias("w"))
-        .select("row", "entity", F.lower("w.value").alias("term"), "w")
+    holders = found.where(F.size("base") > 0).select("row", F.explode("entities").alias("entity")).distinct()
+    values = holders.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # No pair occurs in more documents than its value.
+    values = staging.write(values.where(F.col("n_entity") >= settings.min_docs), "values")
+    rows = holders.join(values, "entity").groupBy("row").agg(F.collect_list("entity").alias("entities"))
+    masked = found.where(F.size("base") > 0).select("row", "masked")
+    held = staging.write(masked.join(rows, "row").dropDuplicates(["row"]), "held")
+    risky = staging.write(revealing_terms(held, values, texts, settings, staging), "risky")
+    risks = (
+        held.select("row", F.explode("entities").alias("entity"))
+        .join(risky, "entity")
+        .groupBy("row", "term")
+        .agg(F.max("removed").alias("removed"))
+        .groupBy("row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "removed"))).alias("removed"))
     )
-    risky = staging.write(revealing_terms(near, texts, settings, staging), "risky")
-    marked = near.join(risky, ["entity", "term"]).groupBy("row", "w").agg(F.max("removed").alias("removed"))
-    item = F.struct(
-        F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col("w.value").alias("value"), "removed"
+    terms = held.select("row", "masked").join(risks, "row").select(
+        "row", _marked(F.col("masked"), F.col("removed")).alias("terms")
     )
-    terms = marked.groupBy("row").agg(F.sort_array(F.collect_list(item)).alias("terms"))
     shown = lambda kind, s: F.concat_ws(":", kind, s["start"].cast("string"), s["end"].cast("string"))
     base = F.transform("base", lambda s: shown(s["kind"], s))
     more = F.transform(

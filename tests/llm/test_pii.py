@@ -56,6 +56,19 @@ def test_revealing_terms(documents):
     assert all(got[10 + i].spans == "" for i in range(40))
 
 
+def test_terms_far_from_the_value(documents):
+    """A revealing word counts and is marked in the whole text of a document with the value,
+    not in one without; parts of values are no words."""
+    filler = "wort " * 100
+    rows = [(i, f"x@bank.org {filler}Zanzibarius {filler}zanzibarius") for i in range(4)]
+    rows += [(10 + i, f"wort bank org {i}") for i in range(60)] + [(90, f"+123456789 {filler}zanzibarius")]
+    texts = dict(rows)
+    got = {r.doc_id: r.terms or [] for r in pii.personal_data(documents(rows)).collect()}
+    for i in range(4):
+        assert [texts[i][t.start : t.end] for t in got[i]] == ["Zanzibarius", "zanzibarius"]
+    assert not any(got[i] for i in got if i >= 4)
+
+
 def test_words_are_placed_exactly(documents):
     """Marked words lie where the text has them, cut words at the window's ends do not count."""
     filler = "wort " * 40
