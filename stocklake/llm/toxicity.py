@@ -2,8 +2,8 @@
 
 A word's input is its own hashed embedding beside the mean of those of its character
 n-grams. The network reads windows of words from both ends, attention pools the
-states, and a document scores as its highest window. Windows overlap by a quarter and
-cover the whole text. A run of letters longer than a word, as of a script without spaces,
+states, and a document scores as its highest window. Windows overlap by half and cover
+the whole text. A run of letters longer than a word, as of a script without spaces,
 is read as overlapping pieces, so that none of its n-grams is missed.
 """
 
@@ -96,10 +96,11 @@ def word_id(word: str, rows: int) -> int:
 
 
 def window_starts(words: int, size: int) -> list[int]:
-    """Starts of windows that overlap by a quarter and reach the end."""
+    """Starts of windows that overlap by half and reach the end: a passage of half a window
+    lies whole in one."""
     if words <= size:
         return [0] if words else []
-    starts = list(range(0, words - size + 1, size * 3 // 4))
+    starts = list(range(0, words - size + 1, max(1, size // 2)))
     if starts[-1] + size < words:
         starts.append(words - size)
     return starts
@@ -443,6 +444,10 @@ def _calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None
     x, y = logits[some], labels[some] * 0.98 + 0.01
     spread = x.std() or 1.0
     x = (x - x.mean()) / spread
+    def loss(a, b):
+        z = a * x + b
+        return (np.logaddexp(0, z) - y * z).sum() + 5e-4 * a * a
+
     a, b = 1.0, 0.0
     for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
@@ -450,6 +455,9 @@ def _calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None
         gradient = np.array([((q - y) * x).sum() + 1e-3 * a, (q - y).sum()])
         hessian = np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-6]])
         move = np.linalg.solve(hessian, gradient)
+        # A whole step overshoots when few texts lie between the labels.
+        while loss(a - move[0], b - move[1]) > loss(a, b) and np.abs(move).max() >= 1e-8:
+            move = move / 2
         a, b = a - move[0], b - move[1]
         if np.abs(move).max() < 1e-8:
             break

@@ -75,6 +75,15 @@ def test_text_without_spaces_is_read_to_its_end():
     assert np.mean([b > a for a, b in zip(low, high, strict=True)]) > 0.9
 
 
+def test_calibration_of_separate_labels():
+    """Few toxic texts far from the others: the scores still tell them apart."""
+    network = toxicity.Network(toxicity.Settings())
+    rng = np.random.default_rng(1)
+    logits = np.concatenate((rng.normal(6.5, 0.4, 42), rng.normal(-5, 0.6, 1500), [5.7]))
+    toxicity._calibrate(network, logits, np.array([1.0] * 42 + [0.0] * 1501))
+    assert network.probability(6.5) > 0.5 > network.probability(-5.0) > network.probability(-7.0) > 0
+
+
 def test_gradients():
     """Backpropagation against differences, for every parameter."""
     settings = toxicity.Settings(word_rows=8, gram_rows=16, word_dim=2, gram_dim=3, hidden=2, attention=2, window=4)
@@ -114,6 +123,15 @@ def test_windows_cover_every_word():
     assert toxicity.window_starts(0, 32) == []
 
 
+def test_windows_hold_passages():
+    """Wherever a passage lies, a window holds all of it up to half a window, and three
+    quarters of one as long as a window."""
+    starts = toxicity.window_starts(200, 32)
+    for length, least in ((10, 10), (17, 17), (32, 24)):
+        for at in range(200 - length + 1):
+            assert max(min(s + 32, at + length) - max(s, at) for s in starts) >= least, (length, at)
+
+
 def test_score_does_not_depend_on_company():
     network = toxicity.fit([t for _, t, _ in texts_of(60, 3)], [y for *_, y in texts_of(60, 3)], SMALL)
     texts = [t for _, t, _ in texts_of(20, 4)]
