@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklake.llm.common import held_out, map_arrow, packed, with_fields
+from stocklake.llm.common import Staging, held_out, map_arrow, packed, with_fields
 
 TOKEN = re.compile(r"[^\W_]+")
 GRAMS = (3, 4, 5)
@@ -36,11 +36,13 @@ MIN_TEXTS = 4
 @dataclass(frozen=True)
 class Settings:
     """``sample``: at most about so many labelled rows of each label are learned from,
-    chosen by a hash of the id among texts of at most ``sample_chars``. ``hidden``: units
-    of each direction."""
+    chosen by a hash of the id among documents with text; of a longer text than
+    ``sample_chars``, ``passages`` spread evenly over it that are so long together.
+    ``hidden``: units of each direction."""
 
     sample: int = 1500
     sample_chars: int = 20_000
+    passages: int = 10
     window: int = 32
     word_rows: int = 1 << 14
     gram_rows: int = 1 << 15
@@ -469,16 +471,31 @@ def _calibrate(network: Network, logits: np.ndarray, labels: np.ndarray) -> None
 # ---- tables --------------------------------------------------------------------------
 
 
+def _excerpt(text: Column, settings: Settings) -> Column:
+    """The text, or evenly spread passages of a long one."""
+    size = max(1, settings.sample_chars // settings.passages)
+    step = (F.length(text) - size) / max(1, settings.passages - 1)
+    parts = F.transform(
+        F.sequence(F.lit(0), F.lit(settings.passages - 1)),
+        lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(size)),
+    )
+    return F.when(F.length(text) <= settings.sample_chars, text).otherwise(F.array_join(parts, "\n"))
+
+
 def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Network:
     """Learn ``labels.toxic`` (1 or 0; others and nulls are left out) on a bounded sample.
 
-    The sample is drawn from the labels alone, about ``2 * sample`` ids, one row each (a
-    document with both labels counts as toxic). So it is small enough to be broadcast, no
-    text is shuffled but those found, and the driver gets at most as many texts, of at
-    most ``sample_chars`` code points.
+    The sample is drawn from the labels of documents with text, about ``2 * sample`` ids,
+    one row each (a document with both labels counts as toxic). So it is small enough to be
+    broadcast, no text is shuffled but those found, and the driver gets at most as many
+    texts, of at most about ``sample_chars`` code points.
     """
     sound = labels.where("toxic in (0, 1) and doc_id is not null")
     known = sound.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = documents.where(F.length("text") > 0).select("doc_id", "text")
+    known = Staging(documents.sparkSession, "toxicity").write(
+        known.join(texts.select("doc_id"), "doc_id", "left_semi"), "known"
+    )
     sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     steps = 1 << 30
     share = F.coalesce(
@@ -486,8 +503,8 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings
         F.lit(0),
     )
     spot = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(steps))
-    texts = documents.where((F.length("text") <= settings.sample_chars) & (F.length("text") > 0))
-    rows = texts.select("doc_id", "text").join(F.broadcast(known.where(spot < share)), "doc_id")
+    rows = texts.join(F.broadcast(known.where(spot < share)), "doc_id")
+    rows = rows.withColumn("text", _excerpt(F.col("text"), settings))
     learned = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     learned.sort(key=lambda r: r.doc_id)
     return fit([r.text for r in learned], [r.toxic for r in learned], settings)

@@ -49,6 +49,18 @@ def test_nothing_to_learn(spark, documents):
     assert toxicity.toxicity(df.limit(0), labels.limit(0)).count() == 0
 
 
+def test_sample_is_drawn_from_documents_with_text(spark, documents, monkeypatch):
+    """Labels without a document take no place in the sample; long texts are learned from."""
+    learned = []
+    monkeypatch.setattr(toxicity, "fit", lambda *a: learned.extend(zip(*a[:2], strict=True)))
+    rows = [(i, text + " al" * 20_000 * t + " end") for i, text, t in texts_of(60, 1)]
+    labels = spark.range(6_000).selectExpr("id doc_id", "int(id % 3 = 0) toxic")
+    toxicity.train(documents([*rows, (60, None), (63, "")]), labels, toxicity.Settings(sample=20))
+    toxic = [text for text, label in learned if label]
+    assert len(toxic) == 20 and 5 <= len(learned) - 20 <= 35
+    assert all(19_900 < len(text) <= 20_020 and text.endswith(" end") for text in toxic)
+
+
 def test_query_on_given_tables(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = op9_toxicity(spark, SF).join(labels, "doc_id").where("not held_out").collect()
