@@ -29,8 +29,6 @@ GRAMS = (3, 4, 5)
 LONGEST, PIECE, OVERLAP = 40, 12, max(GRAMS) - 1
 #: Weight of a standard error of evidence in an embedding.
 EVIDENCE = 0.3
-#: Texts of the sample that must hold a word or n-gram for it to count.
-MIN_TEXTS = 4
 
 
 @dataclass(frozen=True)
@@ -38,11 +36,13 @@ class Settings:
     """``sample``: at most about so many labelled rows of each label are learned from,
     chosen by a hash of the id among documents with text; of a longer text than
     ``sample_chars``, ``passages`` spread evenly over it that are so long together.
+    ``min_texts``: sampled texts that must hold a word or n-gram for it to count.
     ``hidden``: units of each direction."""
 
     sample: int = 1500
     sample_chars: int = 20_000
     passages: int = 10
+    min_texts: int = 4
     window: int = 32
     word_rows: int = 1 << 14
     gram_rows: int = 1 << 15
@@ -293,7 +293,7 @@ class _Trainer:
             yes, no = held[1] + 0.5, held[0] + 0.5
             odds = np.log(yes / (toxic.sum() + 1)) - np.log(no / ((~toxic).sum() + 1))
             table[:, 0] = EVIDENCE * odds / np.sqrt(1 / yes + 1 / no)
-            self.silent[key] = held.sum(axis=0) < MIN_TEXTS
+            self.silent[key] = held.sum(axis=0) < self.network.settings.min_texts
             table[self.silent[key]] = 0
 
     def project(self, used: np.ndarray):

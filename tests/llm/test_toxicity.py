@@ -96,6 +96,15 @@ def test_calibration_of_separate_labels():
     assert network.probability(6.5) > 0.5 > network.probability(-5.0) > network.probability(-7.0) > 0
 
 
+def test_rare_words_count_by_setting():
+    for least, silent in ((1, False), (4, True)):
+        settings = toxicity.Settings(min_texts=least)
+        trainer = toxicity._Trainer(toxicity.Network(settings), ["common", "zorkish"])
+        trainer.prime([np.array([0, 1])] + [np.array([0])] * 9, np.array([1] * 4 + [0] * 6))
+        row = toxicity.word_id("zorkish", settings.word_rows)
+        assert trainer.silent["word"][row] == silent and (trainer.network.p["word"][row, 0] == 0) == silent
+
+
 def test_gradients():
     """Backpropagation against differences, for every parameter."""
     settings = toxicity.Settings(word_rows=8, gram_rows=16, word_dim=2, gram_dim=3, hidden=2, attention=2, window=4)
