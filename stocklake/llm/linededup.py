@@ -1,9 +1,9 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 A run is a table bucketed and sorted by line hash. A batch of documents is reduced to one
-row per hash, anti-joined with the runs, and becomes a run of level 0; ``fanout`` runs of
-a level are compacted into one of the next. All runs share the bucketing, so an anti
-join reads them in place; only a compaction deals their rows out again.
+row per hash, left-joined with the runs to mark the hashes they know, and becomes a run
+of level 0; ``fanout`` runs of a level are compacted into one of the next. All runs share
+the bucketing, so the join reads them in place; only a compaction deals their rows out again.
 """
 
 from __future__ import annotations
