@@ -90,9 +90,9 @@ def test_text_without_spaces_is_read_to_its_end():
 def test_calibration_of_separate_labels():
     """Few toxic texts far from the others: the scores still tell them apart."""
     network = toxicity.Network(toxicity.Settings())
-    rng = np.random.default_rng(1)
-    logits = np.concatenate((rng.normal(6.5, 0.4, 42), rng.normal(-5, 0.6, 1500), [5.7]))
-    toxicity._calibrate(network, logits, np.array([1.0] * 42 + [0.0] * 1501))
+    rng = np.random.default_rng(0)
+    logits = np.concatenate((rng.normal(6.6, 0.4, 42), np.minimum(rng.exponential(1.5, 1500) - 6.5, 5.7)))
+    toxicity._calibrate(network, logits, np.array([1.0] * 42 + [0.0] * 1500))
     assert network.probability(6.5) > 0.5 > network.probability(-5.0) > network.probability(-7.0) > 0
 
 
