@@ -103,4 +103,40 @@ WITH v AS (
 )
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5""",
+    "op13_filter_audit": """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM t),
+f AS (SELECT text, min(doc_id) AS first FROM t GROUP BY text),
+m AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(m.toxic, false) AS toxic,
+    (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 10 * length(w.text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(w.text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN f.first < w.doc_id THEN 'E' ELSE '' END) AS fails
+  FROM w JOIN f ON f.text = w.text LEFT JOIN m ON m.doc_id = w.doc_id
+), c AS (SELECT part, good, toxic, fails, count(*) AS n FROM d GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+o AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), s AS (
+  SELECT filter_order, step, filter_order[step] AS filter, filter_order[1:step - 1] AS before
+  FROM o, (SELECT unnest(generate_series(1, 5)) AS step)
+), x AS (
+  SELECT c.*, s.*, contains(fails, filter) AS hit,
+    before <> '' AND length(translate(fails, before, '')) < length(fails) AS gone
+  FROM c, s
+), r AS (
+  SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept,
+    coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails = filter), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (hit AND NOT gone AND good), 0) AS good_lost,
+    coalesce(sum(n) FILTER (hit AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM x GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM r""",
 }

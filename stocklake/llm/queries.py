@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from stocklake.llm import (
+    bytepair,
     chat,
     decontam,
+    filteraudit,
     langid,
     linededup,
     minhash,
@@ -21,11 +23,11 @@ from stocklake.llm import (
 from stocklake.llm.common import load
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The vocabulary file, by the package that brings it."""
     import public_tokenizers
 
-    return os.fspath(public_tokenizers.path("word_bpe_49k.json"))
+    return os.fspath(public_tokenizers.path(name))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +78,14 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load(spark, sf_dir, "embeddings"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepair.round_trip(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 REGISTERED = {
     run.__name__: run
     for run in (
@@ -89,5 +99,7 @@ REGISTERED = {
         op8_line_dedup,
         op9_toxicity,
         op10_top_k,
+        op11_byte_pairs,
+        op13_filter_audit,
     )
 }
