@@ -103,6 +103,34 @@ WITH v AS (
 )
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5""",
+    "op12_phrases": f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {LOWER}), '[.,;:!?\\n\\x0B\\f\\r]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+        FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), x AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+), s AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+d AS (
+  SELECT DISTINCT s.lang, s.phrase FROM s
+  JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3) t
+    ON t.lang = s.lang AND t.phrase = s.phrase AND 100 * t.a >= 50 * s.a
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank,
+  s.phrase, a, l, r, n, score::BIGINT AS score
+FROM s JOIN n ON n.lang = s.lang ANTI JOIN d ON d.lang = s.lang AND d.phrase = s.phrase
+QUALIFY rank <= 2000""",
     "op13_filter_audit": """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM t),

@@ -15,6 +15,7 @@ from stocklake.llm import (
     linededup,
     minhash,
     packing,
+    phrases,
     pii,
     topk,
     toxicity,
@@ -82,6 +83,10 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytepair.round_trip(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(load(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -100,6 +105,7 @@ REGISTERED = {
         op9_toxicity,
         op10_top_k,
         op11_byte_pairs,
+        op12_phrases,
         op13_filter_audit,
     )
 }
