@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # The formats of the landed payloads and of the exported rows.
 COMPACT_TS = "yyyyMMdd'T'HHmmss"
+COMPACT_SHAPE = "^[0-9]{8}T[0-9]{6}$"
 HTTP_DATE = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
 
 
@@ -22,8 +23,11 @@ def as_date(value) -> datetime.date:
 
 
 def parse_compact_ts(col: Column) -> Column:
-    """``20250915T093000`` to a timestamp; anything else to null."""
-    return F.try_to_timestamp(col, F.lit(COMPACT_TS))
+    """``20250915T093000`` to a timestamp; anything else to null.
+
+    A failed parse costs far more than a sound one, so only text of that shape is parsed.
+    """
+    return F.when(col.rlike(COMPACT_SHAPE), F.try_to_timestamp(col, F.lit(COMPACT_TS)))
 
 
 def millis_to_ts(col: Column) -> Column:

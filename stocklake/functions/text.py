@@ -40,13 +40,29 @@ def default_text(df: DataFrame, cols, default: str = "n/a") -> DataFrame:
     return df.withColumns({c: text_or_default(F.col(c), default) for c in cols})
 
 
+def lenient_double(col: Column) -> Column:
+    """Text as a double, null if it is none.
+
+    A failed cast costs as much as parsing a hundred numbers, so it is not tried on text
+    that cannot be one: without a digit it is not, unless it names infinity or NaN.
+    """
+    text = col.cast("string")
+    return F.when(text.rlike("[0-9]|(?i)inf|nan"), text.try_cast("double"))
+
+
 def clamp_score(col: Column) -> Column:
     """A score as a double: negative, null or unparseable gives 0.0."""
-    return F.greatest(F.coalesce(col.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    return F.greatest(F.coalesce(lenient_double(col), F.lit(0.0)), F.lit(0.0))
+
+
+def clamp_number(col: Column) -> Column:
+    """The same of a column that is a number already."""
+    return F.greatest(F.coalesce(col.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def clamp_scores(df: DataFrame, cols) -> DataFrame:
-    return df.withColumns({c: clamp_score(F.col(c)) for c in cols})
+    texts = set(string_columns(df))
+    return df.withColumns({c: (clamp_score if c in texts else clamp_number)(F.col(c)) for c in cols})
 
 
 def null_defaults(df: DataFrame, values: dict) -> DataFrame:

@@ -6,6 +6,7 @@ from stocklake.operators.explode import (
     explode_structs_outer,
     exploded_counts,
     split_explode,
+    stage_marked,
 )
 from stocklake.operators.feeds import label_windows
 from stocklake.operators.joins import (
@@ -52,6 +53,7 @@ __all__ = [
     "not_null_violations",
     "range_violations",
     "split_explode",
+    "stage_marked",
     "table_counts",
     "top_rows",
     "unique_violations",

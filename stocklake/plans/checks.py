@@ -5,18 +5,9 @@ Parquet enforces none of them, so a load is checked after the fact.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from stocklake.operators.quality import (
-    fk_violations,
-    length_violations,
-    not_null_violations,
-    range_violations,
-    unique_violations,
-)
+from stocklake.operators.constraints import Rule, longest, not_null, reference, report, unique, within
 
 # Columns that must be set.
 NOT_NULL = {
@@ -122,45 +113,20 @@ INTEGERS = [("fact_candles", "candle_volume"), ("fact_candles", "candle_num_of_t
 INT_RANGE = (-(2**31), 2**31 - 1)
 
 
+def declared_rules(tables) -> list[Rule]:
+    """The rules about the given tables; a reference needs both of its tables."""
+    rules = [not_null(t, c) for t, columns in NOT_NULL.items() for c in columns]
+    rules += [unique(t, keys) for t, keys in UNIQUE]
+    rules += [reference(*foreign) for foreign in FOREIGN]
+    rules += [longest(t, c, size) for (t, c), size in MAX_LENGTH.items()]
+    rules += [within(t, c, *INT_RANGE) for t, c in INTEGERS]
+    return [rule for rule in rules if all(table in tables for table in rule.roles)]
+
+
 def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, rule, n`` for every declared rule that some rows break.
 
     Rules about tables that are not given are skipped. For a unique rule ``n`` counts
     the repeated keys, else the rows.
     """
-
-    def counted(df: DataFrame, table: str, rule: str) -> DataFrame:
-        return df.agg(F.count("*").alias("n")).select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "n"
-        )
-
-    reports = [
-        not_null_violations(tables[table], columns).select(
-            F.lit(table).alias("table_name"),
-            F.concat(F.lit("not null "), "column_name").alias("rule"),
-            F.col("n_null").alias("n"),
-        )
-        for table, columns in NOT_NULL.items()
-        if table in tables
-    ]
-    reports += [
-        counted(unique_violations(tables[t], keys), t, f"unique {', '.join(keys)}")
-        for t, keys in UNIQUE
-        if t in tables
-    ]
-    reports += [
-        counted(fk_violations(tables[t], tables[to], col, key), t, f"{col} in {to}")
-        for t, col, to, key in FOREIGN
-        if t in tables and to in tables
-    ]
-    reports += [
-        counted(length_violations(tables[t], col, size), t, f"length of {col}")
-        for (t, col), size in MAX_LENGTH.items()
-        if t in tables
-    ]
-    reports += [
-        counted(range_violations(tables[t], col, *INT_RANGE), t, f"integer {col}")
-        for t, col in INTEGERS
-        if t in tables
-    ]
-    return reduce(DataFrame.unionAll, reports).where("n > 0")
+    return report(tables, declared_rules(tables))

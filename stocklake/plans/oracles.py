@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stocklake.plans import checks
+
 PLACES = """
     select n_nationkey, n_name, r_name from nation join region on n_regionkey = r_regionkey
 """
@@ -26,8 +28,13 @@ COMPANIES = f"""
     from customer join ({PLACES}) on c_nationkey = n_nationkey
 """
 
-# Articles, their tickers and their topics as the landed payload has them.
-ARTICLES = """
+# Articles, their tickers and their topics as the landed payload has them, copies included.
+LINES = """
+    select *, 1 as version from lineitem
+    union all select *, 1 from lineitem where l_quantity = 20
+    union all select *, 2 from lineitem where l_quantity = 30
+"""
+ARTICLES = f"""
     select 'Order ' || l_orderkey as news_title, '/orders/' || l_orderkey || '/' || l_linenumber as news_url,
         case when l_quantity > 2 then strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') else 'n/a' end
             as news_time_published,
@@ -36,8 +43,8 @@ ARTICLES = """
         greatest(l_tax - 0.04::double, 0.0::double) as news_overall_sentiment_score,
         l_returnflag as news_overall_sentiment_label,
         l_quantity >= 10 as has_topics, l_discount > 0 as has_tickers,
-        l_partkey, l_suppkey, l_discount, l_linestatus
-    from lineitem
+        l_partkey, l_suppkey, l_discount, l_linestatus, version
+    from ({LINES})
 """
 TICKERS = f"""
     select a.*, 'n/a' as news_ticker, 0.0::double as news_company_relevance_score,
@@ -48,8 +55,9 @@ TICKERS = f"""
     select a.*, 'C' || l_partkey, l_discount, news_overall_sentiment_score,
         news_overall_sentiment_label from ({ARTICLES}) a where has_tickers
     union all
-    select a.*, 'S' || l_suppkey, l_discount, news_overall_sentiment_score,
-        news_overall_sentiment_label from ({ARTICLES}) a where has_tickers
+    select a.*, case version when 1 then 'S' else 'X' end || l_suppkey, l_discount,
+        news_overall_sentiment_score, news_overall_sentiment_label
+    from ({ARTICLES}) a where has_tickers
 """
 
 
@@ -58,7 +66,8 @@ def topics_of(rows: str) -> str:
     select t.*, 'n/a' as topic_name, 0.0::double as news_topic_relevance_score
     from ({rows}) t where not has_topics
     union all
-    select t.*, news_overall_sentiment_label, l_discount from ({rows}) t where has_topics
+    select t.*, case version when 1 then news_overall_sentiment_label else 'more' end, l_discount
+    from ({rows}) t where has_topics
     union all
     select t.*, l_linestatus, 0.0::double from ({rows}) t where has_topics
 """
@@ -108,7 +117,7 @@ SILVER_CANDLES = """
         date_trunc('second', o_orderdate + to_milliseconds(o_orderkey)) as candle_time_stamp,
         case when o_orderstatus <> 'O' then o_custkey else 0 end as candle_num_of_trades,
         o_orderpriority = '5-LOW' as candle_is_otc
-    from orders
+    from (select * from orders union all select * from orders where o_orderstatus = 'P')
 """
 NORMALISED_COMPANIES = f"""
     select distinct e.exchange_id as company_exchange_id, i.industry_id as company_industry_id,
@@ -140,6 +149,73 @@ COMPANY_SNAPSHOT = """
     left join region s on c_acctbal <= 9000 and s.r_regionkey = c_custkey % 7
 """
 
+# The tables of the constraint report, by the columns they have; all others are null.
+CHECKED = {
+    "regions": "select cast(r_regionkey as bigint) as region_id, r_name as region_name from region",
+    "industries": """
+        select cast(n_nationkey as bigint) as industry_id, n_name as industry_name,
+            'S ' || n_regionkey as industry_sector from nation""",
+    "sic_industries": """
+        select r_regionkey as sic_id, r_name as sic_industry, lower(r_name) as sic_sector from region""",
+    "exchanges": """
+        select n_nationkey as exchange_id, case when n_nationkey >= 5 then n_regionkey end as exchange_region_id,
+            'X ' || n_name as exchange_name from nation""",
+    "companies": """
+        select c_name as company_name, 'C' || c_custkey as company_ticker, c_acctbal > 5000 as company_is_delisted,
+            c_mktsegment as company_category, case when c_acctbal < 0 then 'EUR' else 'USD' end as company_currency,
+            c_nationkey as company_exchange_id, case when c_acctbal >= 0 then c_nationkey end as company_industry_id,
+            case when c_acctbal <= 9000 then c_custkey % 7 end as company_sic_id from customer""",
+    "dim_time": "select distinct quarter(o_orderdate) as time_key from orders where quarter(o_orderdate) < 4",
+    "dim_companies": """
+        select c_custkey as company_key, 'C' || c_custkey as company_ticker, c_acctbal > 5000 as company_is_delisted,
+            case when c_acctbal >= 0 then 'USD' end as company_currency, c_mktsegment as company_region_name
+        from customer where c_mktsegment <> 'FURNITURE'""",
+    "fact_candles": """
+        select o_orderkey // 2 as candle_key, o_custkey as candle_company_key,
+            cast(floor(o_totalprice * 10000) as bigint) as candle_volume,
+            case when o_orderstatus <> 'P' then o_custkey end as candle_num_of_trades,
+            o_totalprice as candle_volume_weighted, o_totalprice as candle_open, o_totalprice as candle_close,
+            o_totalprice as candle_high, o_totalprice as candle_low, quarter(o_orderdate) as candle_time_key
+        from orders""",
+}
+NULL_COLUMNS = {
+    "regions": ["region_local_open", "region_local_close"],
+    "companies": ["company_id", "company_location"],
+    "dim_time": ["time_date"],
+}
+
+
+def constraints() -> str:
+    """One query per declared rule that the tables take part in."""
+    ctes, rules = [], []
+    for name, sql in CHECKED.items():
+        nulls = "".join(f", null as {c}" for c in NULL_COLUMNS.get(name, []))
+        ctes.append(f"{name} as (select *{nulls} from ({sql}))")
+
+    def rule(table: str, name: str, count: str) -> None:
+        if table in CHECKED:
+            rules.append(f"select '{table}' as table_name, '{name}' as rule, ({count}) as n")
+
+    for table, columns in checks.NOT_NULL.items():
+        for c in columns:
+            rule(table, f"not null {c}", f"select count(*) from {table} where {c} is null")
+    for table, keys in checks.UNIQUE:
+        k = ", ".join(keys)
+        known = " and ".join(f"{c} is not null" for c in keys)
+        groups = f"select 1 from {table} where {known} group by {k} having count(*) > 1"
+        rule(table, f"unique {k}", f"select count(*) from ({groups})")
+    for table, c, to, key in checks.FOREIGN:
+        if to in CHECKED:
+            known = f"select {key} from {to} where {key} is not null"
+            rule(table, f"{c} in {to}", f"select count(*) from {table} where {c} is not null and {c} not in ({known})")
+    for (table, c), size in checks.MAX_LENGTH.items():
+        rule(table, f"length of {c}", f"select count(*) from {table} where length({c}::varchar) > {size}")
+    for table, c in checks.INTEGERS:
+        low, high = checks.INT_RANGE
+        rule(table, f"integer {c}", f"select count(*) from {table} where {c} not between {low} and {high}")
+    return f"with {', '.join(ctes)} select * from ({' union all '.join(rules)}) where n > 0"
+
+
 ORACLES = {
     "roundtrip_json_array": """
         select * from orders""",
@@ -278,6 +354,7 @@ ORACLES = {
     "range_violations": """
         select o_orderkey, cast(floor(o_totalprice * 10000) as bigint) as candle_volume
         from orders where floor(o_totalprice * 10000) > 2147483647""",
+    "constraint_report": constraints(),
     "normalise_regions": f"""
         select distinct region as region_name, local_open as region_local_open,
             local_close as region_local_close from ({MARKETS}) where trim(region) <> ''""",

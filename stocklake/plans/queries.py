@@ -34,10 +34,10 @@ from stocklake.operators import (
     table_counts,
     unique_violations,
 )
-from stocklake.plans import daily, gold, serving, silver, source_db
+from stocklake.plans import checks, daily, gold, serving, silver, source_db
 from stocklake.plans import standins as given
 from stocklake.plans.standins import table
-from stocklake.session import staging_path
+from stocklake.session import stage, staging_path
 from stocklake.sources import (
     append_table,
     candle_envelope,
@@ -463,6 +463,42 @@ def q_range_violations(spark, sf):
     return range_violations(volumes, "candle_volume", -(2**31), 2**31 - 1)
 
 
+def _checked_tables(spark, sf) -> dict[str, DataFrame]:
+    """Tables that break many of the declared rules: the source tables below, companies of
+    which some are left out, and orders as candles, two to a key, with volumes beyond an
+    integer. Columns that the given tables have nothing for are null."""
+    customer, price = table(spark, sf, "customer"), F.col("o_totalprice")
+    companies = customer.where("c_mktsegment <> 'FURNITURE'").select(
+        F.col("c_custkey").alias("company_key"),
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("company_ticker"),
+        (F.col("c_acctbal") > 5000).alias("company_is_delisted"),
+        F.when(F.col("c_acctbal") >= 0, "USD").alias("company_currency"),
+        F.col("c_mktsegment").alias("company_region_name"),
+    )
+    candles = table(spark, sf, "orders").select(
+        F.floor(F.col("o_orderkey") / 2).alias("candle_key"),
+        F.col("o_custkey").alias("candle_company_key"),
+        F.floor(price * 10000).alias("candle_volume"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("candle_num_of_trades"),
+        *[price.alias(f"candle_{c}") for c in ("volume_weighted", "open", "close", "high", "low")],
+        F.quarter("o_orderdate").cast("long").alias("candle_time_key"),
+    )
+    days = table(spark, sf, "orders").select(F.quarter("o_orderdate").cast("long").alias("time_key"))
+    made = {**_source_tables(spark, sf), "dim_companies": companies, "fact_candles": candles}
+    made["dim_time"] = days.where("time_key < 4").distinct()
+    all_schemas = {**schemas.SOURCE_TABLES, **schemas.WAREHOUSE_TABLES}
+    return {
+        name: df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in all_schemas[name].fields if f.name not in df.columns])
+        for name, df in made.items()
+    }
+
+
+@query
+def constraint_report(spark, sf):
+    """All declared rules over eight tables, each scanned once."""
+    return checks.constraint_report(_checked_tables(spark, sf))
+
+
 # Source tables ----------------------------------------------------------------------
 
 
@@ -616,13 +652,35 @@ def silver_ohlcs(spark, sf):
     )
 
 
+#: Bronze tables landed beforehand, by application and folder of the given tables.
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def land_news(spark: SparkSession, sf: str) -> str:
+    """Write the stand-in articles as a bronze table of many files, as payloads land; the
+    given table is one file of few row groups, which few tasks could read."""
+    path = staging_path(spark, "bronze-news")
+    given.news(spark, sf).repartition(4 * spark.sparkContext.defaultParallelism, "url").write.parquet(path)
+    return path
+
+
+def land_beforehand(spark: SparkSession, sf: str) -> None:
+    """Land the articles now, for all queries of this application: ``bench.py`` times
+    landing on its own. Otherwise each query lands what it reads."""
+    _LANDED[spark.sparkContext.applicationId, sf] = land_news(spark, sf)
+
+
 def _bronze_news(spark, sf):
     """The articles as the bronze table the jobs read."""
-    path = staging_path(spark, "bronze-news")
-    given.news(spark, sf).write.parquet(path)
+    path = _LANDED.get((spark.sparkContext.applicationId, sf)) or land_news(spark, sf)
     return read_table(spark, path, schemas.NEWS)
 
 
+def _silver_articles(spark, sf):
+    """The distinct articles as the silver table that gold reads."""
+    return stage(silver.silver_articles(_bronze_news(spark, sf)), "silver-articles")
+
+
 @query
 def silver_news(spark, sf):
     rows = silver.silver_news(_bronze_news(spark, sf))
@@ -694,27 +752,27 @@ def _dim_topics(spark, topics):
 
 @query
 def dim_news(spark, sf):
-    rows = _dim_news(spark, sf, silver.clean_articles(_bronze_news(spark, sf)))
+    rows = _dim_news(spark, sf, _silver_articles(spark, sf))
     return rows.withColumn("news_authors", F.array_join("news_authors", "|"))
 
 
 @query
 def dim_news_compat(spark, sf):
     """How many article rows a load without deduplication would write per title."""
-    rows = silver.news_copies(_bronze_news(spark, sf))
+    (rows,) = silver.news_copies(_bronze_news(spark, sf), None)
     return rows.groupBy("news_title").agg(F.sum("copies").alias("n_copies"))
 
 
 @query
 def dim_topics(spark, sf):
-    topics = silver.news_topics(silver.clean_articles(_bronze_news(spark, sf)))
+    topics = silver.news_topics(_silver_articles(spark, sf))
     known = _dim_topics(spark, topics.where("topic_name in ('R', 'F')"))
     return known.unionAll(gold.build_dim_topics(topics, known))
 
 
 @query
 def fact_news_topics(spark, sf):
-    articles = silver.clean_articles(_bronze_news(spark, sf))
+    articles = _silver_articles(spark, sf)
     dim = _dim_topics(spark, silver.news_topics(articles))
     keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
     facts = gold.build_fact_news_topics(silver.news_topics(keyed, by=["news_key"]), dim, 7)
@@ -724,7 +782,7 @@ def fact_news_topics(spark, sf):
 @query
 def fact_news_topics_either(spark, sf):
     """Only articles labelled R and topics of articles labelled A are known."""
-    articles = silver.clean_articles(_bronze_news(spark, sf))
+    articles = _silver_articles(spark, sf)
     label = F.col("news_overall_sentiment_label")
     some_topics = silver.news_topics(articles.where(label == "A"))
     return gold.link_topics_either(
@@ -736,15 +794,14 @@ def fact_news_topics_either(spark, sf):
 
 @query
 def fact_news_topics_compat(spark, sf):
-    bronze = _bronze_news(spark, sf)
-    topics, rows = silver.news_copies(bronze, "topics"), silver.news_copies(bronze)
+    topics, rows = silver.news_copies(_bronze_news(spark, sf), "topics", None)
     values = ["topic_name", "news_topic_relevance_score"]
     return gold.title_join_counts(topics, rows, values, "copies")
 
 
 @query
 def fact_news_companies(spark, sf):
-    articles = silver.clean_articles(_bronze_news(spark, sf))
+    articles = _silver_articles(spark, sf)
     keyed = gold.key_articles(articles, _dim_news(spark, sf, articles))
     mentions = silver.news_mentions(keyed, by=["news_key"])
     companies = gold.latest_companies(given.dim_companies(spark, sf))
@@ -754,8 +811,7 @@ def fact_news_companies(spark, sf):
 
 @query
 def fact_news_companies_compat(spark, sf):
-    bronze = _bronze_news(spark, sf)
-    mentions, rows = silver.news_copies(bronze, "ticker_sentiment"), silver.news_copies(bronze)
+    mentions, rows = silver.news_copies(_bronze_news(spark, sf), "ticker_sentiment", None)
     known = lookup(
         mentions,
         gold.latest_companies(given.dim_companies(spark, sf)),

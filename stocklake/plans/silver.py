@@ -23,6 +23,7 @@ from stocklake.operators.explode import (
     explode_distinct,
     explode_structs_outer,
     exploded_counts,
+    stage_marked,
 )
 
 # Silver names of the landed fields.
@@ -123,16 +124,16 @@ def silver_articles(bronze: DataFrame) -> DataFrame:
 
 
 def silver_news(bronze: DataFrame) -> DataFrame:
-    """Distinct rows of article x ticker x topic."""
-    url = text_or_default(F.col("url"))
-    return explode_distinct(bronze, clean_articles, ARRAYS, identity=url)
+    """Distinct rows of article x ticker x topic, from one scan of bronze."""
+    return explode_distinct(stage_marked(clean_articles(bronze), ARRAYS, "articles"), ARRAYS)
 
 
-def news_copies(bronze: DataFrame, keep: str | None = None) -> DataFrame:
+def news_copies(bronze: DataFrame, *keeps: str | None) -> list[DataFrame]:
     """Titles, with the items of one array if asked for, and how many rows of
-    ``silver_news`` each stands for (``copies``)."""
-    url = text_or_default(F.col("url"))
-    return exploded_counts(bronze, clean_articles, ARRAYS, url, ["news_title"], keep)
+    ``silver_news`` each stands for (``copies``): a frame per entry of ``keeps``, all from
+    one scan of bronze."""
+    marked = stage_marked(clean_articles(bronze), ARRAYS, "titles", keep=["news_title"])
+    return exploded_counts(marked, ARRAYS, ["news_title"], list(keeps))
 
 
 def news_mentions(articles: DataFrame, by=tuple(ARTICLE_KEY)) -> DataFrame:

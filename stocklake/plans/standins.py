@@ -73,9 +73,21 @@ def companies(spark, sf_dir) -> DataFrame:
     )
 
 
+def landed_again(rows: DataFrame, versions: Column) -> DataFrame:
+    """Each row as often as ``versions`` (an array) has items, with its ``version``."""
+    return rows.select("*", F.explode(versions).alias("version"))
+
+
 def news(spark, sf_dir) -> DataFrame:
-    """One article per order line: up to two tickers and two topics each."""
-    line = table(spark, sf_dir, "lineitem")
+    """One article per order line: up to two tickers and two topics each.
+
+    Lines of quantity 20 land twice as they are, those of 30 again as a second version
+    that shares one ticker and one topic with the first.
+    """
+    again = F.when(F.col("l_quantity") == 20, F.lit(1)).when(F.col("l_quantity") == 30, F.lit(2))
+    versions = F.array_compact(F.array(F.lit(1), again))
+    line = landed_again(table(spark, sf_dir, "lineitem"), versions)
+    second = F.col("version") == 2
     published = F.date_format("l_shipdate", "yyyyMMdd'T'HHmmss")
     discount, quantity = text("l_discount"), F.col("l_quantity")
     sentiment = (F.col("l_tax") - 0.04).cast("string")
@@ -91,8 +103,14 @@ def news(spark, sf_dir) -> DataFrame:
     def topic(name: str, score: Column) -> Column:
         return F.struct(F.col(name).alias("topic"), score.alias("relevance_score"))
 
-    mentions = F.array(mention("C", "l_partkey"), mention("S", "l_suppkey"))
-    topics = F.array(topic("l_returnflag", discount), topic("l_linestatus", F.lit("x")))
+    own_topic = topic("l_linestatus", F.lit("x"))
+    more_topic = F.struct(F.lit("more").alias("topic"), discount.alias("relevance_score"))
+    mentions = F.when(second, F.array(mention("C", "l_partkey"), mention("X", "l_suppkey"))).otherwise(
+        F.array(mention("C", "l_partkey"), mention("S", "l_suppkey"))
+    )
+    topics = F.when(second, F.array(own_topic, more_topic)).otherwise(
+        F.array(topic("l_returnflag", discount), own_topic)
+    )
     return line.select(
         F.concat(F.lit("Order "), text("l_orderkey")).alias("title"),
         F.concat_ws("/", F.lit("/orders"), "l_orderkey", "l_linenumber").alias("url"),
@@ -113,7 +131,8 @@ def news(spark, sf_dir) -> DataFrame:
 
 
 def candle_payloads(spark, sf_dir) -> DataFrame:
-    """One payload text per order, its record with a field T and a field t."""
+    """One payload text per order, its record with a field T and a field t; those of orders
+    with status P land twice."""
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
     record = {
         "T": F.concat(F.lit(" C"), text("o_custkey"), F.lit(" ")),
@@ -130,7 +149,9 @@ def candle_payloads(spark, sf_dir) -> DataFrame:
     pairs = [part for k, v in record.items() for part in (F.lit(k), v.cast("string"))]
     results = F.array(F.create_map(*pairs))
     payload = F.create_map(F.lit("results"), results)
-    return table(spark, sf_dir, "orders").select(F.to_json(payload).alias("value"))
+    versions = F.array_compact(F.array(F.lit(1), F.when(status == "P", F.lit(2))))
+    orders = landed_again(table(spark, sf_dir, "orders"), versions)
+    return orders.select(F.to_json(payload).alias("value"))
 
 
 def dim_companies(spark, sf_dir) -> DataFrame:

@@ -13,9 +13,11 @@ from stocklake.operators import (
     assign_keys,
     bucketed_keys,
     clean_rows,
+    constraints,
     denormalise,
     explode_distinct,
     explode_structs_outer,
+    exploded_counts,
     fanout_counts,
     fk_violations,
     insert_ignore,
@@ -28,6 +30,7 @@ from stocklake.operators import (
     not_null_violations,
     range_violations,
     split_explode,
+    stage_marked,
     table_counts,
     unique_violations,
     within_bounds,
@@ -75,13 +78,23 @@ def test_explode_distinct_equals_distinct_of_explode(spark, rows):
     ]
     df = spark.createDataFrame(data + data[:30], ARTICLE)
     arrays = {"tickers": {"t": "ticker"}, "topics": {"p": "topic"}}
-    split = explode_distinct(df, lambda d: d, arrays, F.col("id"))
+    split = explode_distinct(stage_marked(df, arrays, "rows"), arrays)
     expected = {
         (i, t, p)
         for i, ts, ps in data
         for (t,), (p,) in itertools.product(ts or [(None,)], ps or [(None,)])
     }
     assert rows(split) == sorted(expected, key=repr)
+    # The counts of the same rows, without them; hashes stand for the other columns.
+    kept = df.withColumn("other", F.col("id") * 2)
+    marked = stage_marked(kept, arrays, "counted", keep=["id"])
+    per_id, per_topic = exploded_counts(marked.fillna(0), arrays, ["id"], [None, "topics"])
+    want, by_topic = Counter(i for i, _, _ in expected), Counter((i, p) for i, _, p in expected)
+    filled = {i for i, t, p in expected if t is None or p is None}
+    counted = {r.id: r.n for r in per_id.groupBy("id").agg(F.sum("copies").alias("n")).collect()}
+    assert {i: n for i, n in counted.items() if i not in filled} == {i: n for i, n in want.items() if i not in filled}
+    got = {(r.id, r.topic): r.n for r in per_topic.groupBy("id", "topic").agg(F.sum("copies").alias("n")).collect()}
+    assert {k: n for k, n in got.items() if k[0] not in filled} == {k: n for k, n in by_topic.items() if k[0] not in filled}
 
 
 def test_windows_against_brute_force(spark):
@@ -275,3 +288,39 @@ def test_cleaning_and_splitting_agree_with_pandas(spark):
     assert sorted(map(tuple, cleaned.collect())) == sorted(map(tuple, kept.values))
     exploded = split_explode(cleaned, "v")
     assert sorted(map(tuple, exploded.collect())) == sorted(map(tuple, pieces.values))
+
+
+def test_constraints_in_one_pass(spark, rows):
+    """Every kind of rule, with keys of different types, nulls and a hot key."""
+    parent = spark.createDataFrame([(n, f"p{n}") for n in range(5)] + [(None, "none")], "id INT, name STRING")
+    child = [(n, None if n % 7 == 0 else n % 6, "hot" if n % 3 else f"k{n}", 2**31 * (n % 2)) for n in range(60)]
+    child = spark.createDataFrame(child, "n BIGINT, parent BIGINT, key STRING, size BIGINT")
+    rules = [
+        constraints.reference("child", "parent", "parent", "id"),
+        constraints.reference("child", "n", "child", "size"),
+        constraints.unique("child", ["key"]),
+        constraints.unique("child", ["n"]),
+        constraints.unique("child", ["parent", "key"]),
+        constraints.not_null("child", "parent"),
+        constraints.not_null("parent", "name"),
+        constraints.longest("child", "key", 2),
+        constraints.within("child", "size", 0, 2**31 - 1),
+    ]
+    tables = {"parent": parent, "child": child, "unused": child}
+    data = child.collect()
+    pairs = Counter((r.parent, r.key) for r in data if r.parent is not None)
+    want = [
+        ("child", "integer size", 30),
+        ("child", "length of key", sum(len(r.key) > 2 for r in data)),
+        ("child", "n in child", 59),
+        ("child", "not null parent", 9),
+        ("child", "parent in parent", sum(r.parent == 5 for r in data)),
+        ("child", "unique key", 1),
+        ("child", "unique parent, key", sum(n > 1 for n in pairs.values())),
+    ]
+    report = constraints.report(tables, rules)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    # Each table is read once, and nothing is joined.
+    assert plan.count("Scan ") == 2 and "Join" not in plan
+    assert rows(report) == want
+    assert constraints.report({"child": child.limit(0), "parent": parent}, rules).count() == 0

@@ -86,3 +86,30 @@ def test_compat_counts_build_no_pairs(spark):
     plan = plan_of(QUERIES["fact_news_topics_compat"](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert re.search(r"FileScan parquet \[news_title#\d+,_right#", plan)
+
+
+def test_constraint_report_scans_each_table_once(spark):
+    """Eight tables, eight scans, and no join."""
+    plan = plan_of(QUERIES["constraint_report"](spark, SF))
+    assert plan.count("FileScan") == 8 and "Join" not in plan
+
+
+NEWS = ["silver_news", "dim_news_compat", "fact_news_topics_compat", "silver_ohlcs", "fact_candles"]
+
+
+@pytest.mark.parametrize("name", NEWS)
+def test_red_without_its_distinct(spark, conn, monkeypatch, name):
+    """Copies land in every feed, so a job that forgets to drop them is found out."""
+    from stocklake.operators import explode
+    from stocklake.plans import silver
+
+    monkeypatch.setattr(silver, "dedup_rows", lambda df: df)
+    monkeypatch.setattr(explode, "_distinct_product", explode._explode_all)
+    assert differences(QUERIES[name](spark, SF), conn, ORACLES[name]) is not None
+
+
+def test_articles_are_read_from_bronze_once(spark):
+    """What is built of the cleaned articles reads the staged table, not bronze."""
+    for name in ("silver_news", "dim_news_compat", "fact_news_topics_compat", "dim_topics", "fact_news_topics"):
+        files = {path.split("/")[-2].rsplit("-", 1)[0] for path in QUERIES[name](spark, SF).inputFiles()}
+        assert files and "bronze-news" not in files, (name, files)
