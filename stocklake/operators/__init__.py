@@ -9,6 +9,7 @@ from stocklake.operators.explode import (
     stage_marked,
 )
 from stocklake.operators.feeds import label_windows
+from stocklake.operators.incremental import CurrentVersions, KeyIndex, Ledger, load_dimension
 from stocklake.operators.joins import (
     absent_from,
     denormalise,
@@ -30,6 +31,9 @@ from stocklake.operators.quality import (
 from stocklake.operators.upsert import append_snapshot, insert_ignore
 
 __all__ = [
+    "CurrentVersions",
+    "KeyIndex",
+    "Ledger",
     "absent_from",
     "append_snapshot",
     "assign_keys",
@@ -47,6 +51,7 @@ __all__ = [
     "latest_by",
     "latest_versions",
     "length_violations",
+    "load_dimension",
     "lookup",
     "next_key",
     "not_in",

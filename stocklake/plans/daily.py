@@ -189,7 +189,9 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
     )
     time_key = gold.time_key(dim("dim_time"), news_day)
 
-    latest = gold.latest_companies(dim("dim_companies"))
+    latest = gold.current_companies(
+        spark, paths.gold("current_companies"), dim("dim_companies"), stamp
+    )
     candles = read_partition(
         spark, paths.silver("ohlcs"), news_day, schemas.SILVER_CANDLES, missing_ok
     ).drop("dt")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stocklake import schemas
 from stocklake.functions.dates import as_date, calendar_columns
 from stocklake.operators.clean import dedup_rows
+from stocklake.operators.incremental import CurrentVersions
 from stocklake.operators.joins import absent_from, fanout_counts, lookup, not_in, within_bounds
 from stocklake.operators.keys import bucketed_keys
 from stocklake.operators.latest import latest_by
@@ -53,6 +54,22 @@ def latest_companies(dim: DataFrame) -> DataFrame:
     return stage(latest.select("company_ticker", "company_key"), "companies")
 
 
+def current_companies(
+    spark: SparkSession, path: str, dim: DataFrame, load_ts: Column
+) -> DataFrame:
+    """Ticker and key of the newest version, from a table that is kept up with each load.
+
+    Only the snapshot of this load is merged into it; the first time, all of them are. The
+    same rows as ``latest_companies`` gives of the whole history.
+    """
+    identity, order = ["company_ticker"], ["company_update_time_stamp", "company_key"]
+    schema = dim.select(*identity, *order).schema
+    current = CurrentVersions(spark, path, schema, identity, order)
+    loaded = dim.where(F.to_date("company_update_time_stamp") == F.to_date(load_ts))
+    newest = current.merge(dim if current.ledger.read() is None else loaded)
+    return newest.select("company_ticker", "company_key")
+
+
 def dates_frame(spark: SparkSession, run_date) -> DataFrame:
     return spark.range(1).select(F.lit(as_date(run_date)).alias("time_date"))
 

@@ -324,6 +324,22 @@ ORACLES = {
             select *, row_number() over (
                 partition by p_brand, p_type order by p_size > 10, p_partkey) as rn
             from part) where rn = 1""",
+    "incremental_dimension": """
+        with o as (
+            select o_custkey, cast(o_orderdate as date) as o_day, o_orderkey,
+                case when o_orderpriority[1] = '1' then 1 when o_orderpriority[1] <= '3' then 2 else 3 end as batch
+            from orders)
+        select row_number() over (order by batch, o_custkey, o_day) as day_key, o_custkey, o_day, o_orderkey
+        from (select *, row_number() over (partition by o_custkey, o_day order by batch, o_orderkey) as rn from o)
+        where rn = 1""",
+    "current_companies": f"""
+        select ticker as company_ticker,
+            case when ticker[1] = 'C' and balance > 5000 then timestamp '2024-03-01 00:00:00'
+                when balance >= 0 then timestamp '2024-02-01 00:00:00' else timestamp '2024-01-01 00:00:00' end
+                as company_update_time_stamp,
+            case when ticker[1] = 'C' and balance > 5000 then key - 1000000000 + 3000000000000
+                when balance >= 0 then key + 1000000000000 else key end as company_key
+        from ({VERSIONS})""",
     "append_snapshot": """
         select row_number() over (order by load_day, company_name) as company_key, * from (
             select s_name as company_name, date '2024-01-01' as load_day from supplier

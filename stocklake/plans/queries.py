@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocklake import schemas
 from stocklake.functions import (
@@ -15,6 +16,7 @@ from stocklake.functions import (
     http_date,
 )
 from stocklake.operators import (
+    CurrentVersions,
     absent_from,
     append_snapshot,
     assign_keys,
@@ -26,6 +28,7 @@ from stocklake.operators import (
     label_windows,
     latest_by,
     latest_versions,
+    load_dimension,
     lookup,
     not_in,
     not_null_violations,
@@ -392,6 +395,39 @@ def q_insert_ignore(spark, sf):
     return loaded.unionAll(insert_ignore(large, loaded, conflict, ["p_partkey"]))
 
 
+@query
+def incremental_dimension(spark, sf):
+    """Customers' days with orders, in three loads by priority of which the last holds all;
+    keys known from before are found in the index beside the dimension."""
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", F.to_date("o_orderdate").alias("o_day"), "o_orderkey", "o_orderpriority"
+    )
+    schema = T.StructType([T.StructField("day_key", T.LongType()), *orders.drop("o_orderpriority").schema.fields])
+    path, urgent = staging_path(spark, "days"), F.col("o_orderpriority").substr(1, 1).cast("int")
+    for batch in (orders.where(urgent == 1), orders.where(urgent <= 3), orders):
+        load_dimension(batch, path, schema, "day_key", ["o_custkey", "o_day"], buckets=16)
+    return read_table(spark, path, schema)
+
+
+@query
+def current_companies(spark, sf):
+    """Three loads of companies, each with fewer of them under new keys, merged one after
+    the other into the table of current ones."""
+    first = given.dim_companies(spark, sf).select("company_ticker", "company_update_time_stamp", "company_key")
+    richest = table(spark, sf, "customer").where("c_acctbal > 5000 and c_mktsegment <> 'FURNITURE'").select(
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("company_ticker"),
+        given.stamp("2024-03-01").alias("company_update_time_stamp"),
+        (F.col("c_custkey") + 3_000_000_000_000).alias("company_key"),
+    )
+    current = CurrentVersions(
+        spark, staging_path(spark, "current"), first.schema, ["company_ticker"], ["company_update_time_stamp", "company_key"]
+    )
+    for load in (first.where("company_key < 1000000000000"), first.where("company_key >= 1000000000000"), richest):
+        current.merge(load)
+    stamp = F.col("company_update_time_stamp").cast("timestamp_ntz")
+    return current.frame().withColumn("company_update_time_stamp", stamp)
+
+
 @query
 def q_append_snapshot(spark, sf):
     """Suppliers as the first snapshot, customers appended after them."""
