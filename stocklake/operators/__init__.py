@@ -8,7 +8,7 @@ from stocklake.operators.explode import (
     split_explode,
     stage_marked,
 )
-from stocklake.operators.feeds import label_windows
+from stocklake.operators.feeds import halve_minutes, label_windows
 from stocklake.operators.incremental import CurrentVersions, KeyIndex, Ledger, load_dimension
 from stocklake.operators.joins import (
     absent_from,
@@ -47,6 +47,7 @@ __all__ = [
     "exploded_counts",
     "fanout_counts",
     "fk_violations",
+    "halve_minutes",
     "insert_ignore",
     "latest_by",
     "latest_versions",

@@ -149,6 +149,27 @@ COMPANY_SNAPSHOT = """
     left join region s on c_acctbal <= 9000 and s.r_regionkey = c_custkey % 7
 """
 
+def windows(cap: int) -> str:
+    """Every event with the window of a feed of at most so many rows."""
+    return f"""
+    with e as (
+        select event_id, ts, cast(ts as date) as base_date,
+            case when strftime(ts, '%H:%M') <= '12:00' then 2 else 3 end as half from events),
+    n as (
+        select *, count(*) over (partition by base_date) as day_n,
+            count(*) over (partition by base_date, half) as half_n,
+            count(*) over (partition by base_date, hour(ts)) as hour_n from e),
+    g as (
+        select base_date, case when max(day_n) < {cap} then 1 when max(half_n) < {cap} then 2
+            when max(hour_n) < {cap} then 4 else 5 end as grain from n group by base_date)
+    select event_id, ts, e.base_date, cast(case when grain = 2 then half else grain end as int) as time_zone,
+        case when grain = 1 or grain = 2 and half = 2 then date_trunc('day', ts)
+            when grain = 2 then date_trunc('day', ts) + interval 721 minutes
+            when grain = 4 then date_trunc('hour', ts) else date_trunc('minute', ts) end
+            ::timestamp as window_start
+    from e join g on g.base_date = e.base_date"""
+
+
 # The tables of the constraint report, by the columns they have; all others are null.
 CHECKED = {
     "regions": "select cast(r_regionkey as bigint) as region_id, r_name as region_name from region",
@@ -230,23 +251,22 @@ ORACLES = {
         union all select 'supplier', l_suppkey from lineitem""",
     "event_properties": """
         select cast(json_extract(props, '$.k') as int) as k, count(*) as n from events group by 1""",
-    "capped_window_fetch": """
-        with e as (
-            select event_id, ts, cast(ts as date) as base_date,
-                case when strftime(ts, '%H:%M') <= '12:00' then 2 else 3 end as half from events),
-        n as (
-            select *, count(*) over (partition by base_date) as day_n,
-                count(*) over (partition by base_date, half) as half_n,
-                count(*) over (partition by base_date, hour(ts)) as hour_n from e),
-        g as (
-            select base_date, case when max(day_n) < 150 then 1 when max(half_n) < 150 then 2
-                when max(hour_n) < 150 then 4 else 5 end as grain from n group by base_date)
-        select event_id, e.base_date, cast(case when grain = 2 then half else grain end as int) as time_zone,
-            case when grain = 1 or grain = 2 and half = 2 then date_trunc('day', ts)
-                when grain = 2 then date_trunc('day', ts) + interval 721 minutes
-                when grain = 4 then date_trunc('hour', ts) else date_trunc('minute', ts) end
-                ::timestamp as window_start
-        from e join g on g.base_date = e.base_date""",
+    "capped_window_fetch": f"select * exclude (ts) from ({windows(150)})",
+    "windows_below_a_minute": f"""
+        with w as (select * from ({windows(2)})),
+        p as (
+            select event_id, window_start, level, (epoch_us(ts) - epoch_us(window_start)) * (1::bigint << level)
+                // 60000000 as part
+            from (select *, unnest(generate_series(0, 26)) as level from w where time_zone = 5)),
+        d as (
+            select event_id, case when bool_or(n >= 2) then least(max(level) filter (n >= 2) + 1, 26) end as halvings
+            from (select *, count(*) over (partition by window_start, level, part) as n from p) group by event_id)
+        select w.event_id, case when d.halvings is null then time_zone else 6 end as time_zone,
+            case when d.halvings is null then w.window_start else w.window_start + to_microseconds(
+                (part * 60000000 + (1::bigint << d.halvings) - 1) // (1::bigint << d.halvings)) end as window_start,
+            coalesce(d.halvings, 0)::int as halvings
+        from w left join d on d.event_id = w.event_id
+        left join p on p.event_id = w.event_id and p.level = d.halvings""",
     "export_json": """
         select to_json(struct_pack(o_custkey := o_custkey,
             o_orderdate := strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S GMT'),
@@ -478,6 +498,31 @@ ORACLES = {
         select f.news_title, company_key, f.news_company_relevance_score, count(*) as n_rows
         from s f join s d on d.news_title = f.news_title
         join ({LATEST_COMPANIES}) on ticker = f.news_ticker group by 1, 2, 3""",
+    "export_warehouse": f"""
+        with companies as (
+            select ticker, industry, row_number() over (order by ticker) as company_key from ({COMPANIES})
+            where currency = 'USD' and sector <> chr(160) and exchange <> 'OTC' and exchange in (
+                select unnest(string_split(primary_exchanges, ', ')) from ({MARKETS}) where trim(region) <> '')),
+        news as (select * exclude (news_time_key) from ({DIM_NEWS})),
+        topic_rows as (select distinct * from ({TOPIC_ROWS})),
+        topics as (
+            select topic_name, row_number() over (order by topic_name) as topic_key
+            from (select distinct topic_name from topic_rows))
+        select 'dim_time' as table_name, 1 as a, null::bigint as b, 'Thu, 29 Feb 2024 00:00:00 GMT' as s,
+            'Thursday' as t, null::double as x, null::double as y
+        union all select 'dim_companies', company_key, null, ticker, industry, null, null from companies
+        union all select 'dim_topics', topic_key, null, topic_name, null, null, null from topics
+        union all select 'dim_news', news_key, 1, news_url, news_time_published, news_overall_sentiment_score, null from news
+        union all select 'fact_candles', company_key, 1, strftime(candle_time_stamp, '%a, %d %b %Y %H:%M:%S GMT'),
+            candle_is_otc::varchar, candle_open, candle_volume
+        from (select distinct * from ({SILVER_CANDLES})) join companies on ticker = company_ticker
+        union all select 'fact_news_companies', company_key, news_key, news_company_ticker_sentiment_label, null,
+            news_company_relevance_score, news_company_ticker_sentiment_score
+        from (select distinct news_title, news_url, news_time_published, news_ticker, news_company_relevance_score,
+                news_company_ticker_sentiment_score, news_company_ticker_sentiment_label from ({TICKERS}))
+        join news using (news_title, news_url, news_time_published) join companies on ticker = news_ticker
+        union all select 'fact_news_topics', news_key, topic_key, null, null, news_topic_relevance_score, null
+        from topic_rows join news using (news_title, news_url, news_time_published) join topics using (topic_name)""",
     "warehouse_profile": f"""
         with companies as (
             select * from ({COMPANIES}) where currency = 'USD' and sector <> chr(160)

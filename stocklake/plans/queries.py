@@ -24,6 +24,7 @@ from stocklake.operators import (
     dedup_rows,
     denormalise,
     fk_violations,
+    halve_minutes,
     insert_ignore,
     label_windows,
     latest_by,
@@ -189,6 +190,14 @@ def capped_window_fetch(spark, sf):
     return labelled.select("event_id", "base_date", "time_zone", start)
 
 
+@query
+def windows_below_a_minute(spark, sf):
+    """Every event with its window under a cap of one row, so minutes of two are cut."""
+    labelled = halve_minutes(table(spark, sf, "events").select("event_id", "ts"), "ts", cap=2)
+    start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return labelled.select("event_id", "time_zone", start, "halvings")
+
+
 @query
 def export_json(spark, sf):
     """Orders with their date in HTTP form and their price."""
@@ -881,3 +890,41 @@ def warehouse_profile(spark, sf):
     land_payloads(spark, sf, paths, run_date)
     daily.run_all(spark, run_date, paths, "2024-03-01 01:00:00")
     return serving.profile(daily.warehouse_tables(spark, paths))
+
+
+#: Of each exported table: two keys, two texts and two numbers.
+EXPORTED = {
+    "dim_time": ("time_key", None, "time_date", "time_day_of_week", None, None),
+    "dim_companies": ("company_key", None, "company_ticker", "company_industry_name", None, None),
+    "dim_topics": ("topic_key", None, "topic_name", None, None, None),
+    "dim_news": ("news_key", "news_time_key", "news_url", "news_time_published", "news_overall_sentiment_score", None),
+    "fact_candles": (
+        "candle_company_key", "candle_time_key", "candle_time_stamp", "candle_is_otc", "candle_open", "candle_volume"),
+    "fact_news_companies": (
+        "news_company_company_key", "news_company_news_key", "news_company_ticker_sentiment_label", None,
+        "news_company_relevance_score", "news_company_ticker_sentiment_score"),
+    "fact_news_topics": (
+        "news_topic_news_key", "news_topic_topic_key", None, None, "news_topic_relevance_score", None),
+}
+
+
+@query
+def export_warehouse(spark, sf):
+    """Every row of the seven tables as a run leaves them and the export writes them."""
+    paths = daily.Paths(staging_path(spark, "run"))
+    run_date = datetime.date(2024, 3, 1)
+    land_payloads(spark, sf, paths, run_date)
+    daily.run_all(spark, run_date, paths, "2024-03-01 01:00:00")
+    out = staging_path(spark, "export")
+    serving.export_warehouse(daily.warehouse_tables(spark, paths), out)
+
+    def exported(name: str) -> DataFrame:
+        kinds = ("bigint", "bigint", "string", "string", "double", "double")
+        texts = spark.read.text(f"{out}/{name}")
+        fields = [
+            (F.get_json_object("value", f"$.{column}") if column else F.lit(None)).cast(kind).alias(made)
+            for column, kind, made in zip(EXPORTED[name], kinds, "abstxy", strict=True)
+        ]
+        return texts.select(F.lit(name).alias("table_name"), *fields)
+
+    return union_sources(*map(exported, EXPORTED))

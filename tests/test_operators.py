@@ -20,6 +20,7 @@ from stocklake.operators import (
     exploded_counts,
     fanout_counts,
     fk_violations,
+    halve_minutes,
     insert_ignore,
     label_windows,
     latest_by,
@@ -324,3 +325,25 @@ def test_constraints_in_one_pass(spark, rows):
     assert plan.count("Scan ") == 2 and "Join" not in plan
     assert rows(report) == want
     assert constraints.report({"child": child.limit(0), "parent": parent}, rules).count() == 0
+
+
+def test_halved_minutes_against_brute_force(spark):
+    """Equal times, neighbours one microsecond apart, and minutes below the cap."""
+    rng = random.Random(9)
+    cap, data = 4, []
+    for minute, n, spread in ((0, 3, 60_000_000), (1, 40, 60_000_000), (2, 60, 50), (3, 9, 1), (4, 4, 60_000_000)):
+        data += [minute * 60_000_000 + 30_000_000 * (spread < 100) + rng.randrange(spread) for _ in range(n)]
+    df = spark.createDataFrame(list(enumerate(data)), "id INT, micros BIGINT").select(
+        "id", F.timestamp_micros("micros").alias("ts")
+    )
+    got = halve_minutes(df, "ts", cap).select("id", "time_zone", F.unix_micros("window_start").alias("at"), "halvings")
+    rows = {r.id: r for r in got.collect()}
+    assert len(rows) == len(data)
+    for i, micros in enumerate(data):
+        minute, at = divmod(micros, 60_000_000)
+        own = [m % 60_000_000 for m in data if m // 60_000_000 == minute]
+        level = 0
+        while level < 26 and sum(m * 2**level // 60_000_000 == at * 2**level // 60_000_000 for m in own) >= cap:
+            level += 1
+        start = minute * 60_000_000 - (-(at * 2**level // 60_000_000) * 60_000_000 // 2**level)
+        assert (rows[i].time_zone, rows[i].at, rows[i].halvings) == (6 if level else 5, start, level)
