@@ -26,12 +26,13 @@ MIN_REVISIT = 1000
 RECORDS_PER_FILE = 1000
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+BLANK_LINE = re.compile(rb"\r\n\r\n")
 MEMBER = b"\x1f\x8b\x08"
 #: A gzip member that holds nothing, written between records as the line separator of
 #: Spark's text files; its bytes as Latin-1 characters.
 EMPTY_MEMBER = gzip.compress(b"", mtime=0).decode("latin-1")
-#: A member that unpacks to more is damaged or hostile.
-MAX_RECORD = 1 << 30
+#: A member is unpacked in slices of so many bytes, so that what follows it is not copied.
+SLICE = 1 << 14
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -89,13 +90,13 @@ class Damaged(Exception):
     pass
 
 
-def _parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
+def _parse(data: bytes, start: int, blank_lines: _Places) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at ``start``, checked."""
     version = VERSION_LINE.match(data, start)
     if not version:
         raise Damaged("no version line")
-    close = data.find(b"\r\n\r\n", version.end() - 2)
-    if close < 0:
+    close = blank_lines.after(version.end() - 2)
+    if close == len(data):
         raise Damaged("header does not end")
     headers = {}
     for line in data[version.end() : close].split(b"\r\n"):
@@ -119,34 +120,50 @@ def _parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
 
 def _unpack(data: bytes, start: int) -> tuple[bytes, int]:
     """Contents and end of the gzip member at ``start``, checksum and length checked."""
-    stream = zlib.decompressobj(31)
+    stream, out, at = zlib.decompressobj(31), [], start
     try:
-        out = stream.decompress(memoryview(data)[start:], MAX_RECORD)
+        while not stream.eof and at < len(data):
+            out.append(stream.decompress(data[at : at + SLICE]))
+            at += SLICE
     except zlib.error as error:
         raise Damaged(f"member: {error}") from None
     if not stream.eof:
         raise Damaged("member does not end")
-    return out, len(data) - len(stream.unused_data)
+    return b"".join(out), min(at, len(data)) - len(stream.unused_data)
+
+
+class _Places:
+    """The next places of a pattern, for questions that go forward: what was found, or
+    found missing, is not searched for again, so a whole archive is searched once."""
+
+    def __init__(self, data: bytes, pattern: re.Pattern):
+        self.data, self.pattern, self.place = data, pattern, -1
+
+    def after(self, at: int) -> int:
+        """The first place from ``at`` on, the end of the data if there is none."""
+        if self.place < at:
+            found = self.pattern.search(self.data, at)
+            self.place = found.start() if found else len(self.data)
+        return self.place
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """Records and gaps of an archive in order. Compressed and plain records may be mixed."""
     at = gap = 0
     reason = ""
+    starts = [_Places(data, re.compile(re.escape(MEMBER))), _Places(data, VERSION_LINE)]
+    blank_lines = _Places(data, BLANK_LINE)
     while at < len(data):
         try:
             if data.startswith(MEMBER, at):
                 inner, end = _unpack(data, at)
                 found = list(_inner(inner, at, end - at))
             else:
-                headers, block, end = _parse(data, at)
+                headers, block, end = _parse(data, at, blank_lines)
                 found = [Record(at, end - at, headers, block)]
         except Damaged as error:
             reason = reason or str(error)
-            starts = [data.find(MEMBER, at + 1)]
-            if later := VERSION_LINE.search(data, at + 1):
-                starts.append(later.start())
-            at = min((s for s in starts if s >= 0), default=len(data))
+            at = min(places.after(at + 1) for places in starts)
             continue
         if gap < at:
             yield Gap(gap, at - gap, reason)
@@ -160,13 +177,13 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
 def _inner(data: bytes, offset: int, length: int) -> Iterator[Record | Gap]:
     """The records of one member; what fails in it is a gap with the member's place."""
     at, reason = 0, ""
+    starts, blank_lines = _Places(data, VERSION_LINE), _Places(data, BLANK_LINE)
     while at < len(data):
         try:
-            headers, block, at = _parse(data, at)
+            headers, block, at = _parse(data, at, blank_lines)
         except Damaged as error:
             reason = reason or str(error)
-            later = VERSION_LINE.search(data, at + 1)
-            at = later.start() if later else len(data)
+            at = starts.after(at + 1)
             continue
         yield Record(offset, length, headers, block)
     if reason:
@@ -240,7 +257,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row per record, and per quarantined gap, of the archives below ``path``.
 
     Of gaps only ``file, offset, length, quarantined`` (the reason) are set. An archive is
-    read whole by one task; the writer bounds how large one gets. Empty files give no rows.
+    read whole by one task, so it must be below 2 GB, the limit of a binary value; the
+    writer bounds how large one gets. Time is linear in its bytes, damaged or not. Empty
+    files give no rows.
     """
 
     def run(batches):
@@ -280,7 +299,8 @@ def archive_pages(pages: DataFrame) -> DataFrame:
 
     A null html is an empty payload, a null url leaves the target out, a null ``page_id``
     comes back null. Repeated rows give a record each; those of the largest ``page_id``
-    are all responses. Other columns are not stored; an empty table gives no rows.
+    are all responses. Other columns are not stored; an empty table gives no rows. A gap
+    in what was just written is an error.
     """
     staging = Staging(pages.sparkSession, "warc")
     path = staging.path("archives")
@@ -288,7 +308,10 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
     number = lambda c: F.when(page(c) != "", page(c).cast("long"))
     records = read_archives(pages.sparkSession, path)
-    return records.where("quarantined is null").select(
+    # Nothing is passed over in silence: these archives were written just now.
+    lost = F.raise_error(F.concat(F.lit("gap in an archive just written: "), "file", F.lit(" "), "quarantined"))
+    whole = F.when(F.col("quarantined").isNull(), True).otherwise(lost.cast("boolean"))
+    return records.where(whole).select(
         number("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",

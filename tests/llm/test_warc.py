@@ -106,3 +106,66 @@ def test_gaps_are_reported_by_the_reader(spark, tmp_path):
     rows = warc.read_archives(spark, f"file://{tmp_path}").collect()
     assert [(r.offset, r.length) for r in rows if r.quarantined] == [(len(parts[0]), 7)]
     assert sorted(r.record_id for r in rows if r.record_id) == named(0, 1)
+
+
+def test_time_is_linear_in_the_bytes(monkeypatch):
+    """Bytes handed to the decompressor and to searches, for one archive and one twice as long."""
+    counted = {"bytes": 0}
+    real = warc.zlib.decompressobj
+
+    class Counting:
+        def __init__(self, bits):
+            self.own = real(bits)
+
+        def decompress(self, part):
+            counted["bytes"] += len(part)
+            return self.own.decompress(part)
+
+        eof = property(lambda self: self.own.eof)
+        unused_data = property(lambda self: self.own.unused_data)
+
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+    monkeypatch.setattr(warc, "SLICE", 64)
+    rng = random.Random(8)
+    for damaged in (False, True):
+        for n in (200, 400):
+            parts = archive(n)
+            if damaged:
+                parts = [p if i % 3 else p[: len(p) // 2] for i, p in enumerate(parts)]
+                parts.append(bytes(rng.randrange(256) for _ in range(5000)))
+            data = b"".join(parts)
+            counted["bytes"] = 0
+            assert len(ids(warc.salvage(data))) >= n * 2 // 3 - 1
+            assert counted["bytes"] <= len(data) + (n + len(parts) + data.count(warc.MEMBER)) * warc.SLICE
+
+
+def test_patterns_are_searched_for_once():
+    data = b"WARC/1.1\r\n" * 3000
+    searches = []
+
+    class Pattern:
+        def search(self, text, at):
+            searches.append(at)
+            return warc.BLANK_LINE.search(text, at)
+
+    places = warc._Places(data, Pattern())
+    assert all(places.after(at) == len(data) for at in range(0, 3000, 7)) and len(searches) == 1
+    found = list(warc.salvage(data))
+    assert [type(f) for f in found] == [warc.Gap] and found[0].length == len(data)
+
+
+def test_a_large_record_is_no_damage():
+    """There is no limit on what a sound member holds."""
+    payload = b"0123456789abcdef" * (5 << 16)
+    data = b"".join(gzip.compress(warc.record_bytes(i, "u", payload), 1, mtime=0) for i in range(2))
+    found = list(warc.salvage(data))
+    assert ids(found) == named(0, 1) and all(f.block.endswith(payload) for f in found)
+    assert not hasattr(warc, "MAX_RECORD")
+
+
+def test_a_gap_in_an_own_archive_is_an_error(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(warc, "write_archives", lambda pages, path: spark.createDataFrame([("WARC/1.1 cut",)], "v string").write.text(path))
+    with pytest.raises(Exception, match="gap in an archive just written"):
+        warc.archive_pages(pages_of(spark, [(1, "u", "x")])).collect()
