@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stocklake.llm.common import map_arrow, packed, with_fields
 
@@ -125,7 +127,8 @@ def decontaminate(
     A word is hit if an occurrence of a window of a benchmark item covers it; an item
     counts if one of its windows occurs; ``items_sha256`` is of the items' ids, sorted as
     strings and joined by commas. A null text has no words; benchmark rows without id or
-    text take no part; rows of one id are one item. Columns of the documents with the
+    text take no part; rows of one id are one item, whatever
+    the id's type. Columns of the documents with the
     names of results are replaced. Repeated rows are all searched.
 
     The windows are broadcast, ``table_windows`` at most at a time. A larger benchmark
@@ -141,11 +144,12 @@ def decontaminate(
         "contaminated": pa.bool_(),
     }
     columns = [c for c in documents.columns if c not in results]
+    item_type = benchmark.schema["item_id"].dataType
     state = documents.select(
         packed(documents, columns),
         "text",
         F.lit(None).cast("binary").alias("hit"),
-        F.lit(None).cast("array<long>").alias("items"),
+        F.lit(None).cast(T.ArrayType(item_type)).alias("items"),
     )
 
     def search(held, batch):
@@ -160,7 +164,7 @@ def decontaminate(
             for batch in batches:
                 found = [(np.packbits(hit).tobytes(), list(items)) for hit, items in search(held, batch)]
                 bits = pa.array([bits for bits, _ in found], pa.binary())
-                items = pa.array([items for _, items in found], pa.list_(pa.int64()))
+                items = pa.array([items for _, items in found], pa.list_(to_arrow_type(item_type)))
                 yield pa.record_batch([batch["row"], batch["text"], bits, items], names=batch.schema.names)
 
         return run

@@ -48,3 +48,12 @@ def test_shift_tables_skip(monkeypatch):
     assert len(table.shift) == 9 and max(table.shift.values()) == 8 and min(table.shift.values()) == 0
     hit, items = found.search(b"x x x a b c d e f g h i j x".split())
     assert hit.tolist() == [False] * 3 + [True] * 10 + [False] and items == {1}
+
+
+def test_ids_that_are_no_numbers(spark, documents):
+    """Items named by text, in one table and in several."""
+    items = [("b-2", "one two three"), ("a,1", "two three four"), ("é", "nine"), ("b-2", "ten")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(1, "zero one two three four nine"), (2, "none"), (3, "ten one two three"), (4, None)]
+    for limit in (1, 2, 1000):
+        check(documents(rows), benchmark, rows, items, table_windows=limit)
