@@ -56,31 +56,46 @@ def _fold_table() -> np.ndarray:
     return _FOLD
 
 
-def gram_buckets(text: str, buckets: int) -> np.ndarray:
-    """Buckets of all 1-, 2- and 3-grams of a text; runs of non-letters count as one blank."""
+def _folded(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     table = _fold_table()
-    points = np.where(points < len(table), table[np.minimum(points, len(table) - 1)], points)
-    blank = points == 32
-    if len(points) > 1:
-        points = points[~(blank & np.concatenate(([False], blank[:-1])))]
+    return np.where(points < len(table), table[np.minimum(points, len(table) - 1)], points)
+
+
+def gram_chunks(text: str, buckets: int, chunk: int | None = None):
+    """Buckets of all 1-, 2- and 3-grams of a text, a piece of it at a time; runs of
+    non-letters count as one blank.
+
+    The last two points of a piece go before the next one, so the n-grams are those of
+    the whole text, and a very long one needs no more memory than a piece.
+    """
+    tail = np.zeros(0, np.uint32)
+    size = chunk or CHUNK
+    for start in range(0, len(text), size):
+        points = _folded(text[start : start + size])
+        blank = points == 32
+        before = np.concatenate((tail[-1:] == 32 if len(tail) else [False], blank[:-1]))
+        points = np.concatenate((tail, points[~(blank & before)]))
+        yield _buckets_of(points.astype(np.uint64), len(tail), buckets)
+        tail = points[-2:]
+
+
+def _buckets_of(points: np.ndarray, old: int, buckets: int) -> np.ndarray:
+    """Buckets of the n-grams that end behind the first ``old`` points."""
     shift = np.uint64(64 - int(buckets).bit_length() + 1)
-    points = points.astype(np.uint64)
     out, rolled = [], np.zeros(len(points), np.uint64)
     for order in ORDERS:
         keep = len(points) - order + 1
         if keep <= 0:
             break
         rolled = rolled[:keep] * np.uint64(0x100000001B3) + points[order - 1 :] + np.uint64(order)
-        out.append((rolled * np.uint64(0x9E3779B97F4A7C15)) >> shift)
+        out.append((rolled[max(0, old - order + 1) :] * np.uint64(0x9E3779B97F4A7C15)) >> shift)
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
-def chunks(text: str):
-    """Pieces of a text, so that a very long one needs no more memory than a piece. Only
-    n-grams over a cut, one in a million characters, are not counted."""
-    for start in range(0, len(text), CHUNK):
-        yield text[start : start + CHUNK]
+def gram_buckets(text: str, buckets: int) -> np.ndarray:
+    """The buckets of all pieces of a text."""
+    return np.concatenate([*gram_chunks(text, buckets), np.zeros(0, np.int64)])
 
 
 def has_letter(text: str | None) -> bool:
@@ -113,8 +128,8 @@ def train(df: DataFrame, settings: Settings = Settings()) -> Model:
         total = np.zeros((len(languages), buckets), np.int64)
         for batch in batches:
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), strict=True):
-                for piece in chunks(text):
-                    total[index[lang]] += np.bincount(gram_buckets(piece, buckets), minlength=buckets)
+                for grams in gram_chunks(text, buckets):
+                    total[index[lang]] += np.bincount(grams, minlength=buckets)
         rows, cols = np.nonzero(total)
         yield pa.record_batch(
             [pa.array(rows.astype(np.int32)), pa.array(cols.astype(np.int32)), pa.array(total[rows, cols])],
@@ -133,21 +148,55 @@ def train(df: DataFrame, settings: Settings = Settings()) -> Model:
     )
 
 
+#: Counts of so many buckets are scored at a time.
+SCORED = 1 << 18
+
+
+def _sparse_counts(text: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets a text holds and how often."""
+    total = np.zeros(buckets, np.int64)
+    for grams in gram_chunks(text, buckets):
+        total += np.bincount(grams, minlength=buckets)
+    held = np.flatnonzero(total)
+    return held, total[held]
+
+
+def log_scores(model: Model, texts: list[str]) -> np.ndarray:
+    """A row per text with the log-probability of each language and the text.
+
+    The texts' counts are the rows of a sparse matrix (bucket numbers, counts and where
+    each row begins); many rows at a time are multiplied with the model's matrix.
+    """
+    out: list[np.ndarray] = []
+    held, counts, begins, size = [], [], [], 0
+
+    def multiply() -> None:
+        weighted = model.log_prob[np.concatenate(held)] * np.concatenate(counts)[:, None].astype(np.float64)
+        out.append(np.add.reduceat(weighted, begins, axis=0) + model.log_prior)
+
+    for text in texts:
+        buckets, number = _sparse_counts(text, len(model.log_prob))
+        if held and size + len(buckets) > SCORED:
+            multiply()
+            held, counts, begins, size = [], [], [], 0
+        held.append(buckets)
+        counts.append(number)
+        begins.append(size)
+        size += len(buckets)
+    if held:
+        multiply()
+    return np.concatenate(out) if out else np.zeros((0, len(model.languages)))
+
+
 def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and posterior of each text."""
-    langs, scores = [], []
-    buckets = len(model.log_prob)
-    for text in texts:
-        if not model.languages or not has_letter(text):
-            langs.append(UNKNOWN)
-            scores.append(0.0)
-            continue
-        total = model.log_prior.copy()
-        for piece in chunks(text):
-            total += model.log_prob[gram_buckets(piece, buckets)].sum(axis=0, dtype=np.float64)
-        best = int(np.argmax(total))
-        langs.append(model.languages[best])
-        scores.append(float(1.0 / np.exp(total - total[best]).sum()))
+    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    known = [k for k, text in enumerate(texts) if model.languages and has_letter(text)]
+    total = log_scores(model, [texts[k] for k in known])
+    for k, row in zip(known, total, strict=True):
+        best = int(np.argmax(row))
+        langs[k] = model.languages[best]
+        scores[k] = float(1.0 / np.exp(row - row[best]).sum())
     return langs, scores
 
 
