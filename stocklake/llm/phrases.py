@@ -49,7 +49,7 @@ class Settings:
     contained: int = 50
     top: int = 2000
     shard_words: int = 2_000_000
-    range_bytes: int = 12 << 20
+    range_bytes: int = 6 << 20
     sample: int = 2_000
     united_nodes: int = 4_000_000
 
