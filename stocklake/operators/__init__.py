@@ -21,6 +21,8 @@ from stocklake.operators.joins import (
 from stocklake.operators.keys import assign_keys, bucketed_keys, next_key
 from stocklake.operators.latest import latest_by, latest_versions, top_rows
 from stocklake.operators.quality import (
+    column_bounds,
+    file_counts,
     fk_violations,
     length_violations,
     not_null_violations,
@@ -31,6 +33,8 @@ from stocklake.operators.quality import (
 from stocklake.operators.upsert import append_snapshot, insert_ignore
 
 __all__ = [
+    "column_bounds",
+    "file_counts",
     "CurrentVersions",
     "KeyIndex",
     "Ledger",

@@ -285,6 +285,10 @@ ORACLES = {
         f"select '{t}' as table_name, count(*) as n_rows from {t}"
         for t in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents")
     ),
+    "footer_bounds": """
+        select count(*) as n_rows, min(o_orderkey) as min_o_orderkey, max(o_orderkey) as max_o_orderkey,
+            min(o_custkey) as min_o_custkey, max(o_custkey) as max_o_custkey,
+            min(o_totalprice) as min_o_totalprice, max(o_totalprice) as max_o_totalprice from orders""",
     "dim_projection": """
         select c_custkey as company_key, c_name as company_name,
             c_mktsegment as company_industry_name from customer""",

@@ -42,6 +42,19 @@ def build_session(app_name="stocklake", master=None, settings=None) -> SparkSess
     return builder.getOrCreate()
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application that answers counts and bounds of whole Parquet
+    tables from the files' footers.
+
+    Only Spark's second Parquet reader can; it is set on a session of its own, since it
+    lacks other things the first one has (bucketed tables, file metadata columns).
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

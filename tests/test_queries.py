@@ -113,3 +113,10 @@ def test_articles_are_read_from_bronze_once(spark):
     for name in ("silver_news", "dim_news_compat", "fact_news_topics_compat", "dim_topics", "fact_news_topics"):
         files = {path.split("/")[-2].rsplit("-", 1)[0] for path in QUERIES[name](spark, SF).inputFiles()}
         assert files and "bronze-news" not in files, (name, files)
+
+
+@pytest.mark.parametrize("name, pushed", [("table_counts", "COUNT(*)"), ("footer_bounds", "MIN(o_totalprice)")])
+def test_counts_and_bounds_come_from_footers(spark, name, pushed):
+    plan = plan_of(QUERIES[name](spark, SF))
+    aggregations = re.findall(r"PushedAggregation: \[(.*?)\]", plan)
+    assert aggregations and all("COUNT(*)" in a for a in aggregations) and any(pushed in a for a in aggregations)
