@@ -246,6 +246,10 @@ ORACLES = {
         where cast(ts as date) <> date '2024-01-15' or event_type = 'click'""",
     "daily_partition_scan": """
         select event_id, user_id, value from events where cast(ts as date) = date '2024-01-15'""",
+    "fetched_again": """
+        select case when o_orderkey % 3 <> 0 then 2 else 1 end as fetch, o_orderkey as key,
+            case when o_orderkey % 3 <> 0 then o_totalprice + 1 else o_totalprice end as price
+        from orders where o_orderkey % 5 <> 0 or o_orderkey % 3 <> 0""",
     "unnest_envelope": """
         select 'part' as kind, l_partkey as key from lineitem
         union all select 'supplier', l_suppkey from lineitem""",

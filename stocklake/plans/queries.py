@@ -49,6 +49,7 @@ from stocklake.sources import (
     candles_from_text,
     export_rows,
     latest_file,
+    merge_fetches,
     read_json_array,
     read_json_lines,
     read_partition,
@@ -162,6 +163,25 @@ def q_rejected_payloads(spark, sf):
     return rejected.unionByName(sound.withColumn("reason", F.lit("sound")))
 
 
+@query
+def fetched_again(spark, sf):
+    """Orders fetched twice, each time without some of them and the second time at another
+    price; a third fetch was cut short."""
+    orders, key = table(spark, sf, "orders"), F.col("o_orderkey")
+
+    def fetched(number: int, rows: DataFrame, price: Column) -> DataFrame:
+        record = F.struct(key.alias("key"), price.alias("price"))
+        payload = F.to_json(F.struct(F.array(record).alias("results")))
+        return rows.select(F.lit(number).alias("fetch"), payload.alias("value"))
+
+    first = fetched(1, orders.where(key % 5 != 0), F.col("o_totalprice"))
+    second = fetched(2, orders.where(key % 3 != 0), F.col("o_totalprice") + 1)
+    third = fetched(3, orders, F.col("o_totalprice") + 2)
+    cut = third.withColumn("value", F.expr("substring(value, 1, length(value) - 3)"))
+    landed = union_sources(first, second, cut)
+    return merge_fetches(landed, "results", "struct<results: array<struct<key: bigint, price: double>>>", ["key"])
+
+
 @query
 def q_unnest_envelope(spark, sf):
     """Order lines as payload texts of two records each, and back to rows."""

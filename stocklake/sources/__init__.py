@@ -13,6 +13,7 @@ from stocklake.sources.payloads import (
     candle_envelope,
     candles_from_text,
     import_raw_candles,
+    merge_fetches,
     rejected_payloads,
     union_sources,
     unnest_envelope,
@@ -35,6 +36,7 @@ __all__ = [
     "export_rows",
     "import_raw_candles",
     "latest_file",
+    "merge_fetches",
     "read_jdbc",
     "read_json_array",
     "read_json_lines",

@@ -17,6 +17,7 @@ from stocklake.sources import (
     export_rows,
     import_raw_candles,
     latest_file,
+    merge_fetches,
     read_json_array,
     read_json_lines,
     read_latest_json_array,
@@ -216,3 +217,20 @@ def test_shared_dir_comes_from_the_session():
     assert staging_path(Conf({"spark.checkpoint.dir": "/s"}), "keys").startswith("/s/stocklake/keys-")
     with pytest.raises(ValueError):
         shared_dir(Conf({"spark.master": "yarn"}))
+
+
+def test_fetches_of_one_day(spark, rows):
+    """Newest wins per key, rows of one fetch stay, incomplete payloads stand for nothing."""
+    landed = [
+        (1, '{"results": [{"k": "a", "v": 1}, {"k": "b", "v": 1}]}'),
+        (1, '{"results": [{"k": "c", "v": 1}]}'),
+        (2, '{"results": [{"k": "a", "v": 2}, {"k": "d", "v": 2}, {"k": "d", "v": 3}]}'),
+        (2, '{"results": []}'),
+        (3, '{"results": [{"k": "a", "v": 9}, {"k": "c"'),
+        (3, '{"error": "limit"}'),
+        (4, None),
+    ]
+    df = spark.createDataFrame(landed, "fetch INT, value STRING")
+    merged = merge_fetches(df, "results", "struct<results: array<struct<k: string, v: int>>>", ["k"])
+    assert rows(merged, "fetch", "k", "v") == [(1, "b", 1), (1, "c", 1), (2, "a", 2), (2, "d", 3)]
+    assert merge_fetches(df.limit(0), "results", "struct<results: array<struct<k: string, v: int>>>", ["k"]).count() == 0
