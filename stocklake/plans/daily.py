@@ -21,7 +21,12 @@ from stocklake.sources.files import (
     read_texts,
 )
 from stocklake.sources.payloads import candles_from_text, unnest_envelope
-from stocklake.sources.writers import append_table, write_json_lines, write_partition
+from stocklake.sources.writers import (
+    append_key_ranges,
+    append_table,
+    write_json_lines,
+    write_partition,
+)
 
 
 @dataclass(frozen=True)
@@ -172,16 +177,15 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
     stamp = F.lit(load_ts).cast("timestamp")
 
     def dim(name: str) -> DataFrame:
-        return read_table(
-            spark, paths.gold(name), schemas.WAREHOUSE_TABLES[name], missing_ok=True
-        )
+        return _warehouse_table(spark, paths, name, missing_ok=True)
 
     companies = read_partition(
         spark, paths.silver("companies"), company_day, schemas.SILVER_COMPANIES, missing_ok
     )
-    append_table(
+    append_key_ranges(
         gold.build_dim_companies(companies, dim("dim_companies"), stamp),
         paths.gold("dim_companies"),
+        *schemas.KEY_RANGES["dim_companies"],
     )
     append_table(
         gold.build_dim_time(gold.dates_frame(spark, news_day), dim("dim_time")),
@@ -209,8 +213,10 @@ def load_gold(spark: SparkSession, run_date, paths: Paths, load_ts, missing_ok=F
     append_table(
         gold.build_dim_topics(topics, dim("dim_topics")), paths.gold("dim_topics")
     )
-    append_table(
-        gold.build_dim_news(articles, dim("dim_news"), time_key), paths.gold("dim_news")
+    append_key_ranges(
+        gold.build_dim_news(articles, dim("dim_news"), time_key),
+        paths.gold("dim_news"),
+        *schemas.KEY_RANGES["dim_news"],
     )
     keyed = gold.key_articles(articles, gold.known_news(dim("dim_news"), articles))
     write_partition(
@@ -250,6 +256,9 @@ def init_warehouse(spark: SparkSession, paths: Paths, replace=False) -> None:
         column = schemas.PARTITIONS.get(name)
         if column == "dt":
             empty = empty.withColumn("dt", F.lit(None).cast("date"))
+        if name in schemas.KEY_RANGES:
+            column = f"{schemas.KEY_RANGES[name][0]}_range"
+            empty = empty.withColumn(column, F.lit(None).cast("long"))
         writer = empty.write.mode(mode)
         (writer.partitionBy(column) if column else writer).parquet(paths.gold(name))
 
@@ -264,10 +273,13 @@ def source_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
 
 def warehouse_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     """All warehouse tables; one that was never written is an error."""
-    return {
-        name: read_table(spark, paths.gold(name), schema)
-        for name, schema in schemas.WAREHOUSE_TABLES.items()
-    }
+    return {name: _warehouse_table(spark, paths, name) for name in schemas.WAREHOUSE_TABLES}
+
+
+def _warehouse_table(spark: SparkSession, paths: Paths, name: str, missing_ok=False) -> DataFrame:
+    """One warehouse table; a range of keys is no column of its rows."""
+    rows = read_table(spark, paths.gold(name), schemas.WAREHOUSE_TABLES[name], missing_ok)
+    return rows.drop(f"{schemas.KEY_RANGES[name][0]}_range") if name in schemas.KEY_RANGES else rows
 
 
 def _days(run_date) -> tuple[datetime.date, datetime.date]:

@@ -278,6 +278,9 @@ ORACLES = {
             o_orderstatus := o_orderstatus, o_totalprice := o_totalprice))::varchar as json_row
         from orders""",
     "pretty_documents": "select * from supplier",
+    "split_documents": """
+        select o_orderkey, o_totalprice,
+            '}, {"' || o_orderstatus || '\\" ][' || o_orderpriority as note from orders""",
     "latest_document": "select * from nation",
     "rejected_payloads": """
         select case o_orderkey % 7 when 0 then 'broken' when 1 then 'no array' else 'sound' end
@@ -461,6 +464,9 @@ ORACLES = {
         from (select distinct * from ({SILVER_CANDLES}) where not candle_is_otc) c
         join ({LATEST_COMPANIES}) on ticker = company_ticker""",
     "dim_news": DIM_NEWS,
+    "served_news": f"""
+        select news_key, news_title, news_url, news_time_published, news_overall_sentiment_score,
+            news_overall_sentiment_label, news_time_key from ({DIM_NEWS}) where news_key = 42""",
     "dim_news_compat": f"""
         select news_title, count(*) as n_copies from ({SILVER_NEWS}) group by 1""",
     "dim_topics": f"""

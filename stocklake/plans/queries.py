@@ -44,6 +44,7 @@ from stocklake.plans import standins as given
 from stocklake.plans.standins import table
 from stocklake.session import stage, staging_path
 from stocklake.sources import (
+    append_key_ranges,
     append_table,
     candle_envelope,
     candles_from_text,
@@ -53,6 +54,7 @@ from stocklake.sources import (
     read_json_array,
     read_json_lines,
     read_partition,
+    read_split_array,
     read_table,
     rejected_payloads,
     union_sources,
@@ -136,6 +138,26 @@ def pretty_documents(spark, sf):
     return read_json_array(spark, f"{folder}/*", rows.schema)
 
 
+@query
+def split_documents(spark, sf):
+    """Orders as documents of up to 50,000 nested records with brackets and quotes in their
+    texts; a document is read by as many tasks as it has splits."""
+    orders, key = table(spark, sf, "orders"), F.col("o_orderkey")
+    note = F.concat(F.lit('}, {"'), "o_orderstatus", F.lit('\\" ]['), "o_orderpriority")
+    record = F.to_json(F.struct(key, F.struct(F.col("o_totalprice"), note.alias("note")).alias("more")))
+    rows = orders.select(F.floor(key / 200_000).alias("document"), key, record.alias("value"))
+    order = Window.partitionBy("document").orderBy("o_orderkey")
+    head = F.when(F.row_number().over(order) == 1, "[").otherwise(",")
+    foot = F.when(F.lead("o_orderkey").over(order).isNull(), "]").otherwise("")
+    lines = rows.withColumn("value", F.concat(head, "value", foot)).sortWithinPartitions("document", "o_orderkey")
+    folder = staging_path(spark, "documents")
+    lines.drop("o_orderkey").write.partitionBy("document").text(folder)
+    read = read_split_array(
+        spark, f"{folder}/*", "o_orderkey BIGINT, more STRUCT<o_totalprice: DOUBLE, note: STRING>"
+    )
+    return read.select("o_orderkey", "more.*")
+
+
 @query
 def latest_document(spark, sf):
     """The nations' document lands after many of suppliers; the newest one is read."""
@@ -828,6 +850,14 @@ def dim_news(spark, sf):
     return rows.withColumn("news_authors", F.array_join("news_authors", "|"))
 
 
+@query
+def served_news(spark, sf):
+    """One article by its key, from a dimension that lies in ranges of keys."""
+    path = staging_path(spark, "dim-news")
+    append_key_ranges(_dim_news(spark, sf, _silver_articles(spark, sf)), path, *schemas.KEY_RANGES["dim_news"])
+    return serving.serve_key(spark, path, "dim_news", " 42 ")
+
+
 @query
 def dim_news_compat(spark, sf):
     """How many article rows a load without deduplication would write per title."""

@@ -182,3 +182,8 @@ PARTITIONS = {
     "fact_news_companies": "dt",
     "fact_news_topics": "dt",
 }
+# Dimensions that lie in ranges of their key: the key, and how many keys a range has.
+KEY_RANGES = {
+    "dim_companies": ("company_key", 1 << 20),
+    "dim_news": ("news_key", 1 << 20),
+}

@@ -1,9 +1,11 @@
 """Readers and writers: JSON, daily Parquet partitions, JDBC."""
 
+from stocklake.sources.documents import read_split_array
 from stocklake.sources.files import (
     latest_file,
     read_json_array,
     read_json_lines,
+    read_key,
     read_latest_json_array,
     read_partition,
     read_table,
@@ -19,6 +21,7 @@ from stocklake.sources.payloads import (
     unnest_envelope,
 )
 from stocklake.sources.writers import (
+    append_key_ranges,
     append_table,
     export_all,
     export_rows,
@@ -29,6 +32,7 @@ from stocklake.sources.writers import (
 )
 
 __all__ = [
+    "append_key_ranges",
     "append_table",
     "candle_envelope",
     "candles_from_text",
@@ -40,8 +44,10 @@ __all__ = [
     "read_jdbc",
     "read_json_array",
     "read_json_lines",
+    "read_key",
     "read_latest_json_array",
     "read_partition",
+    "read_split_array",
     "read_table",
     "rejected_payloads",
     "union_sources",

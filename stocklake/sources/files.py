@@ -111,6 +111,18 @@ def read_partition(
     return _read_or_empty(spark, lambda: reader.parquet(leaf), full, missing_ok)
 
 
+def read_key(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, value: int, width: int
+) -> DataFrame:
+    """The rows with one key of a table written by ``append_key_ranges``.
+
+    Only the folder of the key's range is listed and read; no such folder, no rows.
+    """
+    leaf = f"{path}/{key}_range={value // width}"
+    rows = _read_or_empty(spark, lambda: spark.read.schema(schema).parquet(leaf), schema, True)
+    return rows.where(F.col(key) == F.lit(value))
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, missing_ok=False
 ) -> DataFrame:

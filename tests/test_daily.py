@@ -12,7 +12,7 @@ from stocklake import schemas
 from stocklake.__main__ import main as command
 from stocklake.operators import latest_by
 from stocklake.plans import checks, daily, gold, serving, silver, source_db
-from stocklake.sources import read_partition
+from stocklake.sources import append_key_ranges, read_partition
 
 RUN = datetime.date(2025, 9, 16)
 DAY = datetime.date(2025, 9, 15)
@@ -360,6 +360,32 @@ def test_constraints(spark, run, rows):
     ]
 
 
+def test_a_key_is_read_from_its_range_alone(spark, tmp_path, monkeypatch):
+    """Dimensions in ranges of two keys: one folder is opened, whatever it holds."""
+    path = str(tmp_path / "dim")
+    monkeypatch.setitem(schemas.KEY_RANGES, "dim_news", ("news_key", 2))
+    for keys in ((1, 4), (4, 8)):
+        rows = spark.range(*keys).select(
+            *[
+                (F.col("id") if f.name == "news_key" else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in schemas.DIM_NEWS.fields
+            ]
+        )
+        append_key_ranges(rows, path, *schemas.KEY_RANGES["dim_news"])
+    served = serving.serve_key(spark, path, "dim_news", "5")
+    assert [r.news_key for r in served.collect()] == [5] and served.columns == serving.VIEWS["dim_news"]
+    assert {file.split("/")[-2] for file in served.inputFiles()} == {"news_key_range=2"}
+    assert serving.serve_key(spark, path, "dim_news", 99).count() == 0
+    with pytest.raises(ValueError, match="must be an integer"):
+        serving.serve_key(spark, path, "dim_news", "x")
+
+
+def test_runs_write_ranges_of_keys(spark, run):
+    served = serving.serve_key(spark, run[1].gold("dim_news"), "dim_news", 1)
+    want = serving.serve(daily.warehouse_tables(spark, run[1]), "dim_news", news_key=1)
+    assert served.collect() == want.collect() != []
+
+
 def test_served_candles_are_pruned_to_their_day(spark, run):
     tables = daily.warehouse_tables(spark, run[1])
     plan = serving.serve(tables, "fact_candles", candle_time_key=1)._jdf.queryExecution().toString()

@@ -22,6 +22,7 @@ from stocklake.sources import (
     read_json_lines,
     read_latest_json_array,
     read_partition,
+    read_split_array,
     rejected_payloads,
     union_sources,
     unnest_envelope,
@@ -47,6 +48,54 @@ def test_pretty_json_array(spark, tmp_path, rows):
     assert rows(read_json_array(spark, str(path), schema)) == [(1, "a"), (2, None)]
 
 
+TRICKY = ["", "}", "a } b", '\\"}', "[{", "]", "\\\\", '\\\\"', "\n},\n{", "ä}€", "x" * 90, '"' * 5 + "{", "}}]"]
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "150")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_split_documents_equal_whole_ones(spark, tmp_path, rows, tiny_splits, indent):
+    schema = "id INT, v STRING, more ARRAY<STRUCT<k: STRING, z: STRUCT<n: INT>>>, gone INT"
+    for number in range(3):
+        records = [
+            {"id": 100 * number + i, "v": v, "more": [{"k": TRICKY[-i % 13], "z": {"n": i}}] * (i % 3), "extra": {v: {}}}
+            for i, v in enumerate(TRICKY * (number + 1))
+        ]
+        (tmp_path / f"{number}.json").write_text(json.dumps(records, indent=indent, ensure_ascii=number == 1))
+    (tmp_path / "none.json").write_text(" [ ] \n")
+    (tmp_path / "empty.json").write_text("")
+    got = read_split_array(spark, str(tmp_path), schema)
+    assert rows(got) == rows(read_json_array(spark, str(tmp_path), schema))
+    assert got.count() == 6 * len(TRICKY)
+
+
+def test_split_document_is_read_by_many_tasks(spark, tmp_path, tiny_splits):
+    (tmp_path / "x.json").write_text(json.dumps([{"id": i} for i in range(500)]))
+    read = spark.read.option("lineSep", "}").text(str(tmp_path))
+    assert read.rdd.getNumPartitions() > 20
+    assert read_split_array(spark, str(tmp_path), "id INT").agg(F.sum("id")).first()[0] == 500 * 499 // 2
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['[{"id": 1}, {"id": 2}', '[{"id": 1}, {"id"', '[{"id": 1}] {"id": 2}', '[{"id": 1} {"id": 2}]', '{"error": {}}',
+     '[1, {"id": 1}]', '[{"id": 1}, 2]', '[{"id": "]}]', '[{"id": x}]'],
+)
+def test_broken_split_documents_are_an_error(spark, tmp_path, tiny_splits, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(Exception, match="no array of objects|MALFORMED_RECORD"):
+        read_split_array(spark, str(tmp_path), "id INT").collect()
+
+
 def test_json_roundtrips(spark, tmp_path, rows, pairs):
     for write, read in (
         (write_json_lines, read_json_lines),
