@@ -1,20 +1,20 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 A run is a table bucketed and sorted by line hash. A batch of documents is reduced to one
-row per hash, left-joined with the runs to mark the hashes they know, and becomes a run
-of level 0; ``fanout`` runs of a level are compacted into one of the next. All runs share
-the bucketing, so the join reads them in place; only a compaction deals their rows out again.
+row per hash and merge-anti-joined with the runs: the hashes none of them has become a run
+of level 0. Of the others only counts are kept, beside the runs. ``fanout`` runs of a level
+are compacted into one of the next. All share the bucketing, so the joins read them in place.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocklake.llm.common import Staging, map_arrow, packed, with_fields
 
@@ -62,19 +62,25 @@ def line_hashes(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """The index: ``hash``, in how many documents of the run, and the line's holder.
+    """The index: runs of ``hash, docs, holder, settled`` and counts of ``hash, docs``.
 
-    The holder is the largest document of the first batch that had the line, so with
-    batches in descending order of ids it is the largest of all. Rows of later batches
-    only count. Runs live as bucketed tables in the shared folder until ``drop()``.
+    Every hash is in one run, that of the first batch which had it: ``holder`` is that
+    batch's largest document, the largest of all if batches come in descending order of ids,
+    and ``docs`` that batch's documents. Later batches add to the counts alone, and nothing
+    once a compaction has found the hash settled: in ``min_docs`` documents. Runs and counts
+    live as bucketed tables in the shared folder until ``drop()``.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
+    def __init__(
+        self, spark: SparkSession, fanout: int = 4, buckets: int | None = None, min_docs: int = MIN_DOCS
+    ):
         self.spark = spark
         self.fanout = fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.min_docs = min_docs
         self.staging = Staging(spark, "line-runs")
         self.levels: list[list[str]] = []
+        self.counts: list[str] = []
         self.written = 0
 
     def _write(self, rows: DataFrame) -> str:
@@ -88,6 +94,17 @@ class LineRuns:
         )
         return name
 
+    def _files(self, names: list[str]) -> DataFrame:
+        # Read as plain files: a union of bucketed scans claims a partitioning it does not
+        # have, and sums over it come out in parts.
+        schema = self.spark.table(names[0]).schema
+        return self.spark.read.schema(schema).parquet(*[self.staging.path(n) for n in names])
+
+    def _forget(self, names: list[str]) -> None:
+        # From the catalog only: files stay until what is read from them is done.
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
@@ -100,68 +117,90 @@ class LineRuns:
     def add(self, lines: DataFrame) -> None:
         """Take in a batch of ``hash, doc`` rows, each pair once. A document must not
         come in two batches."""
-        batch = lines.groupBy("hash").agg(
-            F.count("*").alias("docs"), F.max("doc").alias("holder")
-        )
-        # The anti join with a mark in place of the loss: known hashes keep their count only.
-        for name in self.runs():
-            known = self.spark.table(name).select("hash", F.lit(True).alias("_known"))
-            batch = batch.join(known.hint("merge"), "hash", "left").select(
-                "hash", "docs", F.when(F.col("_known").isNull(), F.col("holder")).alias("holder")
-            )
-        self._push(0, self._write(batch))
+        rows = lines.groupBy("hash").agg(F.count("*").alias("docs"), F.max("doc").alias("holder"))
+        name = self._write(rows)
+        batch = self.spark.table(name)
+        # Each hash is in one run, so no row of the batch is counted twice.
+        for run in self.runs():
+            open_ = self.spark.table(run).where("not settled").select("hash").hint("merge")
+            self.counts.append(self._write(batch.select("hash", "docs").join(open_, "hash", "left_semi")))
+        fresh = self.unseen(batch).withColumn("settled", F.col("docs") >= self.min_docs)
+        self._push(0, self._write(fresh))
+        self._forget([name])
 
     def _push(self, level: int, name: str) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
         if len(self.levels[level]) >= self.fanout:
-            merged = self._write(self._merge(self.levels[level]))
-            for old in self.levels[level]:
-                self.spark.sql(f"DROP TABLE {old}")
+            old = self.levels[level]
+            merged = self._write(self._compacted(old))
             self.levels[level] = []
+            self._forget(old)
             self._push(level + 1, merged)
 
-    def _merge(self, names: list[str]) -> DataFrame:
-        # Read as plain files: a union of bucketed scans claims a partitioning it does not
-        # have, and sums over it come out in parts.
-        schema = self.spark.table(names[0]).schema
-        rows = self.spark.read.schema(schema).parquet(*[self.staging.path(n) for n in names])
-        return rows.groupBy("hash").agg(
-            F.sum("docs").alias("docs"), F.max("holder").alias("holder")
+    def _compacted(self, names: list[str]) -> DataFrame:
+        """Runs of one level as one; the counts, made one as well, tell what is settled."""
+        rows = self._files(names)
+        if not self.counts:
+            return rows
+        old = self.counts
+        summed = self._files(old).groupBy("hash").agg(F.sum("docs").alias("docs"))
+        self.counts = [self._write(summed)]
+        self._forget(old)
+        more = self.spark.table(self.counts[0]).withColumnRenamed("docs", "_more")
+        total = F.col("docs") + F.coalesce(F.col("_more"), F.lit(0))
+        return rows.join(more, "hash", "left").select(
+            "hash", "docs", "holder", (F.col("settled") | (total >= self.min_docs)).alias("settled")
         )
 
     def merged(self) -> DataFrame | None:
-        """All runs as one: ``hash, docs, holder``."""
+        """All hashes with their counts: ``hash, docs, holder``. A settled hash has at least
+        ``min_docs`` documents, but not all of them are counted."""
         names = self.runs()
-        if len(names) == 1:
-            return self.spark.table(names[0])
-        return self._merge(names) if names else None
+        if not names:
+            return None
+        rows = self._files(names).select("hash", "docs", "holder")
+        if not self.counts:
+            return rows
+        counts = self._files(self.counts).select("hash", "docs", F.lit(None).cast("long").alias("holder"))
+        return rows.unionAll(counts).groupBy("hash").agg(
+            F.sum("docs").alias("docs"), F.max("holder").alias("holder")
+        )
 
     def drop(self) -> None:
-        for name in self.runs():
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.levels = []
+        self._forget([*self.runs(), *self.counts])
+        self.levels, self.counts = [], []
+
+
+#: A batch has about so many bytes of text, but a table is dealt to ``BATCHES`` at least.
+BATCH_BYTES = 1 << 36
+BATCHES = 4
+#: A run has a bucket for so many bytes of all texts, but one per shuffle partition at least.
+BUCKET_BYTES = 1 << 30
 
 
-def _id_ranges(documents: DataFrame, batches: int) -> Iterator:
-    """Conditions that deal the documents to batches, the largest ids first."""
-    low, high = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
+def _dealt(documents: DataFrame, batches: int | None) -> tuple[int, int, Column]:
+    """The number of batches, the bytes of all texts, and a document's batch by its id: 0 is
+    that of the largest ids, a null id is in the last."""
+    extent = documents.agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(F.octet_length("text")).alias("size")
+    ).first()
+    low, high, size = extent.low, extent.high, extent.size or 0
+    batches = batches or max(BATCHES, -(-size // BATCH_BYTES))
     if low is None:
-        yield F.lit(True)
-        return
-    doc = F.col("doc_id")
+        return 1, size, F.lit(0)
     width = (high - low) // batches + 1
-    for start in range(low + width * (batches - 1), low - 1, -width):
-        inside = (doc >= start) & (doc < start + width)
-        yield inside | doc.isNull() if start <= low else inside
+    below = F.lit(int(high)).cast("decimal(20,0)") - F.col("doc")
+    number = F.floor(below / F.lit(width)).cast("int")
+    return batches, size, F.when(F.col("doc") >= int(low), number).otherwise(batches - 1)
 
 
 def dedup_lines(
     documents: DataFrame,
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
-    batches: int = 4,
+    batches: int | None = None,
     fanout: int = 4,
 ) -> DataFrame:
     """All columns of the documents with the text less its repeated lines, and ``n_lines``
@@ -173,21 +212,26 @@ def dedup_lines(
     becomes an empty one. Rows of one id are one document; a null id is one document
     below all others. Columns with the names of the three added ones are replaced.
 
-    Ids come in ranges, so a batch reads the files of its range only, where files are in
-    the order of ids. A hash is 128 bits long. A line that a third of all documents hold
-    is one row per task and run after the map-side sum; the join of lines with
-    repeated hashes splits such a key.
+    Ids come in ranges of about ``BATCH_BYTES`` of text (``batches``: so many ranges). Texts
+    are read for their hashes once, which are staged by batch. A hash is 128 bits long. A
+    line that a third of all documents hold is one row per task and batch after the map-side
+    sum; the join of lines with repeated hashes splits such a key.
     """
     spark = documents.sparkSession
-    runs = LineRuns(spark, fanout)
-    for part in _id_ranges(documents, batches):
-        runs.add(line_hashes(documents.where(part), min_chars).distinct())
-    # The table is dropped from the catalog only: its files stay until the result is read.
+    batches, size, number = _dealt(documents, batches)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    runs = LineRuns(spark, fanout, buckets, min_docs)
+    hashes = line_hashes(documents, min_chars)
+    path = runs.staging.path("hashes")
+    hashes.withColumn("batch", number).write.partitionBy("batch").parquet(path)
+    staged = spark.read.schema(T.StructType([*hashes.schema, T.StructField("batch", T.IntegerType())])).parquet(path)
+    for batch in range(batches):
+        runs.add(staged.where(F.col("batch") == batch).select("hash", "doc").distinct())
     repeated = runs.merged().where(F.col("docs") >= min_docs).select("hash", "holder")
     repeated = runs.staging.write(repeated, "repeated")
     runs.drop()
     lost = (
-        line_hashes(documents, min_chars)
+        staged.select("hash", "doc")
         .join(repeated, "hash")
         .where("doc <> holder")
         .groupBy("doc")
