@@ -25,11 +25,14 @@ CHUNK = 1 << 20
 class Settings:
     """``buckets``: width of the hashed feature space, a power of two. ``sample``: at most
     about so many labelled documents of each language are learned from, chosen by a hash
-    of the id; rarer languages are learned from whole. ``alpha``: additive smoothing."""
+    of the id; rarer languages are learned from whole. ``alpha``: additive smoothing.
+    ``strictness``: where between a text without sense (0) and the learned ones (1) the mean
+    log-probability of an n-gram must lie at least for a text to be in a known language."""
 
     buckets: int = 1 << 15
     sample: int = 4000
     alpha: float = 0.5
+    strictness: float = 0.6
 
 
 @dataclass(frozen=True)
@@ -37,6 +40,7 @@ class Model:
     languages: tuple[str, ...]
     log_prior: np.ndarray
     log_prob: np.ndarray  # bucket x language
+    floor: np.ndarray | None = None  # per language the least mean log-probability of its texts
 
 
 _FOLD: np.ndarray | None = None
@@ -141,13 +145,25 @@ def train(df: DataFrame, settings: Settings = Settings()) -> Model:
     counted = counted.groupBy("lang_no", "bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((buckets, len(languages)))
     table[counted["bucket"], counted["lang_no"]] = counted["n"]
-    table += settings.alpha
+    smooth = table + settings.alpha
+    log_prob = np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
     prior = np.array([sizes[lang] for lang in languages], float)
     return Model(
-        languages, np.log(prior / prior.sum()), np.log(table / table.sum(axis=0)).astype(np.float32)
+        languages, np.log(prior / prior.sum()), log_prob, _floors(table, log_prob, settings)
     )
 
 
+def _floors(counts: np.ndarray, log_prob: np.ndarray, settings: Settings) -> np.ndarray:
+    """The background model has all buckets alike; a language's floor lies between its
+    mean log-probability and that of the n-grams learned from, and nearer to the
+    background's the fewer these are beside the smoothing."""
+    background = -np.log(settings.buckets)
+    learned = counts.sum(axis=0)
+    own = (counts * log_prob).sum(axis=0) / np.maximum(learned, 1)
+    weight = learned / (learned + settings.alpha * settings.buckets)
+    return background + settings.strictness * weight * (own - background)
+
+
 #: Counts of so many buckets are scored at a time.
 SCORED = 1 << 18
 
@@ -162,20 +178,27 @@ def _sparse_counts(text: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_scores(model: Model, texts: list[str]) -> np.ndarray:
-    """A row per text with the log-probability of each language and the text.
+    """A row per text with the log-probability of each language and the text."""
+    return _scored(model, texts)[0]
+
+
+def _scored(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The log-probabilities, and how many n-grams each text has.
 
     The texts' counts are the rows of a sparse matrix (bucket numbers, counts and where
     each row begins); many rows at a time are multiplied with the model's matrix.
     """
     out: list[np.ndarray] = []
     held, counts, begins, size = [], [], [], 0
+    grams = np.zeros(len(texts))
 
     def multiply() -> None:
         weighted = model.log_prob[np.concatenate(held)] * np.concatenate(counts)[:, None].astype(np.float64)
         out.append(np.add.reduceat(weighted, begins, axis=0) + model.log_prior)
 
-    for text in texts:
+    for k, text in enumerate(texts):
         buckets, number = _sparse_counts(text, len(model.log_prob))
+        grams[k] = number.sum()
         if held and size + len(buckets) > SCORED:
             multiply()
             held, counts, begins, size = [], [], [], 0
@@ -185,42 +208,54 @@ def log_scores(model: Model, texts: list[str]) -> np.ndarray:
         size += len(buckets)
     if held:
         multiply()
-    return np.concatenate(out) if out else np.zeros((0, len(model.languages)))
+    return (np.concatenate(out) if out else np.zeros((0, len(model.languages)))), grams
 
 
 def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and posterior of each text."""
-    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    return _judged(model, texts)[:2]
+
+
+def _judged(model: Model, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+    """Language, posterior, and whether the text reads like those the language was learned from."""
+    langs, scores, fits = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
     known = [k for k, text in enumerate(texts) if model.languages and has_letter(text)]
-    total = log_scores(model, [texts[k] for k in known])
-    for k, row in zip(known, total, strict=True):
+    total, grams = _scored(model, [texts[k] for k in known])
+    for k, row, n in zip(known, total, grams, strict=True):
         best = int(np.argmax(row))
         langs[k] = model.languages[best]
         scores[k] = float(1.0 / np.exp(row - row[best]).sum())
-    return langs, scores
+        mean = (row[best] - model.log_prior[best]) / n
+        fits[k] = model.floor is None or bool(mean >= model.floor[best])
+    return langs, scores, fits
 
 
 def identify(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``df``'s columns ``keep`` (at least one; those named as the results are replaced) with ``lang_pred`` and ``score``, a row for each row.
+    """``df``'s columns ``keep`` (at least one; those named as the results are replaced) with
+    ``lang_pred``, ``score`` and ``known``, a row for each row.
+
+    ``known`` is false if the text's n-grams are too improbable in the language found: it is
+    in none of the learned ones, or without sense. The posterior alone cannot tell, as some
+    language is always the likeliest by far.
 
     A null text or one without a letter is ``und`` with score 0; so is any text if there
     was nothing to learn from. Ties go to the language that sorts first. The model is of
     fixed size (buckets x languages) and is broadcast; no shuffle.
     """
-    keep = [c for c in keep if c not in ("lang_pred", "score")]
+    keep = [c for c in keep if c not in ("lang_pred", "score", "known")]
     held = df.sparkSession.sparkContext.broadcast(model)
     source = df.select(packed(df, keep), F.col(f"`{text}`").alias("text"))
 
     def run(batches):
         for batch in batches:
-            langs, scores = predict_texts(held.value, batch["text"].to_pylist())
+            langs, scores, fits = _judged(held.value, batch["text"].to_pylist())
             yield pa.record_batch(
-                [batch["row"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["row", "lang_pred", "score"],
+                [batch["row"], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.bool_())],
+                names=["row", "lang_pred", "score", "known"],
             )
 
-    made = map_arrow(source, run, with_fields(source, ["row"], "lang_pred string, score double"))
-    return made.select("row.*", "lang_pred", "score")
+    made = map_arrow(source, run, with_fields(source, ["row"], "lang_pred string, score double, known boolean"))
+    return made.select("row.*", "lang_pred", "score", "known")
 
 
 def language_id(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -232,4 +267,4 @@ def language_id(documents: DataFrame, settings: Settings = Settings()) -> DataFr
     """
     model = train(documents.where(~held_out()), settings)
     rows = documents.select("doc_id", held_out().alias("held_out"), "text")
-    return identify(rows, model, keep=["doc_id", "held_out"])
+    return identify(rows, model, keep=["doc_id", "held_out"]).drop("known")

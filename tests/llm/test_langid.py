@@ -1,6 +1,7 @@
 import numpy as np
 from brute import fold_out
 from conftest import SF
+from pyspark.sql import functions as F
 from stocklake.llm import langid
 from stocklake.llm.queries import op1_language_id
 
@@ -122,3 +123,25 @@ def test_batches_do_not_change_scores(monkeypatch):
         monkeypatch.setattr(langid, "SCORED", limit)
         langs, scores = langid.predict_texts(model, texts)
         assert langs == [x[0][0] for x in alone] and np.allclose(scores, [x[1][0] for x in alone])
+
+
+UNSEEN = [
+    "Il governo italiano ha deciso di aumentare le tasse sulle imprese che non rispettano le norme ambientali "
+    "e questo cambiamento avrà conseguenze per molte famiglie",
+    "De Nederlandse regering heeft besloten dat de belasting voor bedrijven omhoog gaat en dat heeft gevolgen "
+    "voor veel gezinnen in het hele land",
+    "Polski rząd zdecydował się podnieść podatki dla przedsiębiorstw które nie przestrzegają przepisów ochrony środowiska",
+    "中国政府决定提高不遵守环境规定的企业的税收这将影响许多家庭的生活",
+    "Правительство решило повысить налоги для предприятий которые не соблюдают экологические нормы",
+    "asdfkj qwepoi zxcmnv lkjhasd poiqwe mnzxbv qpwoei rutyal skdjfh gzmxnc bvqwer",
+]
+
+
+def test_unseen_languages_and_noise_are_not_known(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(documents.where(~langid.held_out()))
+    rows = documents.where(langid.held_out() & F.col("lang").isNotNull()).select("lang", "text")
+    judged = langid.identify(rows, model, keep=["lang"]).groupBy("lang").agg(F.avg(F.col("known").cast("int")))
+    assert {lang: share >= 0.98 for lang, share in judged.collect()} == dict.fromkeys(model.languages, True)
+    frame = spark.createDataFrame([(i, text) for i, text in enumerate(UNSEEN)], "n int, text string")
+    assert [r.n for r in langid.identify(frame, model, keep=["n"]).where("known").collect()] == []
