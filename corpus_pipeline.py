@@ -20,15 +20,24 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a known language; a model is learned from the labelled ones."""
+    """Keep documents in a known language; a model is learned from the labelled ones.
+
+    Documents whose text reads like none of the learned languages go, as do those between two
+    of them, without a letter, empty or null; ties go to the language that sorts first.
+    Repeated rows are judged alike, an empty table gives none.
+    """
     whole = docs.select(packed_row(docs, docs.columns), "text")
     named = langid.identify(whole, langid.train(docs), keep=["row"])
-    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    sure = (F.col("lang_pred") != langid.UNKNOWN) & F.col("known") & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return named.where(sure).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop repeated lines; ``n_chars`` follows the text."""
+    """Drop repeated lines; ``n_chars`` follows the text.
+
+    No row is lost: a null text becomes an empty one, rows of one id are one document, a null
+    id is below all others.
+    """
     others = [c for c in docs.columns if c != "text"]
     out = linededup.dedup_lines(docs.select(packed_row(docs, others), "doc_id", "text"))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
@@ -36,20 +45,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the least id of each group of near duplicates."""
+    """Keep the least id of each group of near duplicates.
+
+    Rows of one id stay or go together; a null id, and texts without words, stay.
+    """
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
+    """Drop documents that hold a passage of the benchmark; each row is judged by its own
+    text, null and empty ones stay."""
     whole = docs.select(packed_row(docs, docs.columns), "text")
     searched = decontam.decontaminate(whole, load(spark, sf_dir, "benchmark"))
     return searched.where("not contaminated").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens."""
+    """Sequences of at most 2048 tokens; every row is packed, a null text as an empty one."""
     return packing.pack(docs, tokenizer_path())
 
 
