@@ -35,6 +35,8 @@ TERM = "term"
 WORD = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?!\p{N})"
 
 SPANS = "array<struct<kind:string,start:long,end:long,value:string>>"
+#: Sizes summed up at a time, and how often sums are summed in blocks again.
+BLOCK, DEPTH = 32, 2
 
 
 @dataclass(frozen=True)
@@ -75,24 +77,60 @@ def _dialled(value: Column) -> Column:
 CHECKS = {"email": lambda v: F.lit(True), "ip": _octets, "card": _luhn, "phone": _dialled}
 
 
-def _placed(matches: Column, pieces: Column, kind: str, shift: Column) -> Column:
-    """Spans of matches, from the lengths of the pieces between them."""
-    start = F.struct(shift.cast("long").alias("at"), F.array().cast(SPANS).alias("out"))
+def _with(value: Column, made) -> Column:
+    """``made(value)`` with the value worked out once; inside lambda functions an
+    expression is evaluated anew for every element."""
+    return F.transform(F.array(value), made)[0]
 
-    def step(acc, pair):
-        begin = acc["at"] + F.length(pair["piece"])
-        end = begin + F.length(pair["match"])
-        span = F.struct(
-            F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), pair["match"].alias("value")
+
+def _before(sizes: Column, first: Column, depth: int = DEPTH) -> Column:
+    """For each size ``first`` and the sum of the sizes before it.
+
+    An array that grows by an element is copied, so sums are taken in blocks, and those of
+    blocks in blocks of blocks: the work of n sizes is that of n * BLOCK copies.
+    """
+    if not depth:
+        start = F.struct(first.alias("at"), F.array().cast("array<long>").alias("out"))
+        return F.aggregate(
+            sizes,
+            start,
+            lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
+            lambda acc: acc["out"],
         )
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+    last = F.floor((F.size(sizes) - 1) / BLOCK).cast("int")
+    numbers = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+    blocks = F.transform(numbers, lambda i: F.slice(sizes, i * BLOCK + 1, BLOCK))
+    total = lambda block: F.aggregate(block, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def summed(blocks):
+        firsts = _with(F.transform(blocks, total), lambda totals: _before(totals, first, depth - 1))
+        return F.flatten(F.zip_with(blocks, firsts, lambda block, at: _before(block, at, 0)))
+
+    return _with(blocks, summed)
+
+
+def _placed(matches: Column, pieces: Column, **more) -> Column:
+    """``start, end, value`` of the matches, from the lengths of the pieces between them,
+    and the columns that the functions ``more`` make of a value."""
+    def placed(pairs):
+        sizes = F.transform(pairs, lambda p: (F.length(p["piece"]) + F.length(p["match"])).cast("long"))
+        befores = _with(sizes, lambda sizes: _before(sizes, F.lit(0).cast("long")))
+
+        def place(pair, before):
+            begin = before + F.length(pair["piece"])
+            end = begin + F.length(pair["match"])
+            made = [make(pair["match"]).alias(name) for name, make in more.items()]
+            return F.struct(begin.alias("start"), end.alias("end"), pair["match"].alias("value"), *made)
+
+        return F.zip_with(pairs, befores, place)
 
     pairs = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    return _with(pairs, placed)
 
 
 def _valid(spans: Column, kind: str) -> Column:
-    return F.filter(spans, lambda s: CHECKS[kind](s["value"]))
+    valid = F.filter(spans, lambda s: CHECKS[kind](s["value"]))
+    return F.transform(valid, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"], s["end"], s["value"])).cast(SPANS)
 
 
 def _count(kind: str) -> Column:
@@ -111,7 +149,7 @@ def find_spans(rows: DataFrame, text: str = "text") -> DataFrame:
     parts = []
     for kind in KINDS:
         found = F.col(f"_{kind}")
-        spans = _placed(found, F.split(F.col(text), PATTERNS[kind], -1), kind, F.lit(0))
+        spans = _placed(found, F.split(F.col(text), PATTERNS[kind], -1))
         parts.append(F.when(F.size(found) > 0, _valid(spans, kind)).otherwise(F.array().cast(SPANS)))
     return rows.select(*columns, F.concat(*parts).alias("base"))
 
@@ -139,22 +177,9 @@ def _terms(text: Column) -> Column:
 
 def _marked(text: Column, removed: Column) -> Column:
     """Places of the words of a masked text that are keys of the map ``removed``."""
-    item = "struct<start:long,end:long,value:string,removed:boolean>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{item}>").alias("out"))
-    words = _words(text)
-
-    def step(acc, pair):
-        begin = acc["at"] + F.length(pair["piece"])
-        end = begin + F.length(pair["word"])
-        how = F.try_element_at(removed, F.lower(pair["word"]))
-        place = F.struct(
-            begin.alias("start"), end.alias("end"), pair["word"].alias("value"), how.alias("removed")
-        )
-        out = F.when(how.isNotNull(), F.array_append(acc["out"], place)).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
-
-    pairs = F.arrays_zip(F.slice(F.split(text, WORD, -1), 1, F.size(words)).alias("piece"), words.alias("word"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    how = lambda word: F.try_element_at(removed, F.lower(word))
+    places = _with(_words(text), lambda words: _placed(words, F.split(text, WORD, -1), removed=how))
+    return F.filter(places, lambda s: s["removed"].isNotNull())
 
 
 def revealing_terms(held: DataFrame, values: DataFrame, documents: DataFrame, settings: Settings, staging: Staging) -> DataFrame:
@@ -176,6 +201,14 @@ def revealing_terms(held: DataFrame, values: DataFrame, documents: DataFrame, se
     words = _terms(_masked(F.col("text")))
     terms = documents.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     total = documents.agg(F.count("*").alias("n")).first().n
+    # PMI is at most log2(N / n(t)), so a word of more documents than this tells nothing of
+    # any value. Such words are paired with nearly all values; they go before the join.
+    most = values.agg(F.max("n_entity").alias("most")).first().most or total
+    limit = total / (total / most) ** (1 / settings.alpha) * (1 + 1e-9) if most else 0
+    terms = staging.write(terms, "terms")
+    common = staging.write(terms.where(F.col("n_term") > limit).select("term"), "common")
+    pairs = pairs.join(common, "term", "left_anti")
+    terms = terms.where(F.col("n_term") <= limit)
     content = F.log2(F.lit(total) / F.col("n_entity"))
     pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     judged = pairs.join(terms, "term").select(
@@ -186,17 +219,22 @@ def revealing_terms(held: DataFrame, values: DataFrame, documents: DataFrame, se
     )
 
 
+def _row(doc_id: Column, text: Column) -> Column:
+    """Two hashes that stand for a document: with one, two of 10^10 would share theirs."""
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit("row"), doc_id, text).alias("b"))
+
+
 def personal_data(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``row, doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, base, terms``.
 
     ``spans`` lists ``kind:start:end`` of all spans, in code points, by kind (terms last)
-    and place. A null text is empty. ``row`` is a hash of id and text: rows that repeat are
+    and place. A null text is empty. ``row`` holds two hashes of id and text: rows that repeat are
     one document in the counts and are each in the result. A null ``doc_id`` stays null;
     other columns are not looked at; an empty table gives no rows.
     """
     staging = Staging(documents.sparkSession, "pii")
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("row", F.xxhash64("doc_id", "text"))
+    texts = texts.withColumn("row", _row(F.col("doc_id"), F.col("text")))
     based = find_spans(texts)
     entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
     masked = F.when(F.size("base") > 0, _masked(F.col("text")))
@@ -276,7 +314,7 @@ def sanitised(documents: DataFrame, found: DataFrame) -> DataFrame:
         F.concat_ws("", acc["out"]), F.substring(text, acc["at"].cast("int") + 1, F.length(text))
     )
     rest_of = [c for c in documents.columns if c != "text"]
-    rows = documents.select(packed(documents, rest_of), "text", F.xxhash64("doc_id", text).alias("key"))
+    rows = documents.select(packed(documents, rest_of), "text", _row(F.col("doc_id"), text).alias("key"))
     spans = found.select(F.col("row").alias("key"), "base", "terms").dropDuplicates(["key"])
     made = rows.join(spans, "key").withColumn("text", F.aggregate(marks, start, step, rest))
     return made.select("row.*", "text").select(*[f"`{c}`" for c in documents.columns])

@@ -1,5 +1,6 @@
 import brute
 from conftest import SF, table
+from pyspark.sql import functions as F
 from stocklake.llm import pii
 
 CARD = "4111 1111 1111 1111"
@@ -94,3 +95,29 @@ def test_sanitised(documents):
 def test_native(documents):
     plan = pii.personal_data(documents([(1, "a@b.c")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_many_spans_in_one_text(documents):
+    """Places are right within blocks, across them, and beyond blocks of blocks."""
+    sizes = (0, 1, 31, 32, 33, 1023, 1024, 1025, 50_000)
+    rows = [(n, "".join(f"é{i} u{i}@x.yz +1234567{i} " for i in range(n))) for n in sizes]
+    for r in pii.personal_data(documents(rows)).collect():
+        want = brute.base_spans(dict(rows)[r.doc_id])
+        assert r.base_sha256 == brute.sha(brute.spans_text(want))
+        assert (r.n_email, r.n_phone) == (r.doc_id, r.doc_id)
+
+
+def test_sums_before(spark):
+    """Sums before each size, of sizes that need all depths."""
+    n = 3 * pii.BLOCK**2 + 5
+    got = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("long")).alias("s"))
+    got = got.select(pii._before(F.col("s"), F.lit(7).cast("long")).alias("b")).first().b
+    assert got == [7 + i * (i + 1) // 2 for i in range(n)]
+
+
+def test_words_of_most_documents_are_no_terms(documents):
+    """A word of nearly all documents is dropped by its count, one value in a third of them
+    or not; the result is that of judging every pair."""
+    rows = [(i, f"often {'x@y.zz' if i % 3 == 0 else 'nothing'} {'sesame' if i % 3 == 0 else ''} {i}") for i in range(60)]
+    got = {r.doc_id: [t.value for t in r.terms or []] for r in pii.personal_data(documents(rows)).collect()}
+    assert all(got[i] == (["sesame"] if i % 3 == 0 else []) for i in got)
