@@ -2,7 +2,8 @@
 
 Each task keeps an array of how many open windows there are of each fill level. A piece
 goes where the sum of the squared counts of partly filled windows grows least, which
-spreads the levels out so that later pieces find a window they fill up.
+spreads the levels out so that later pieces find a window they fill up. What is open at a
+task's end goes through the rule once more, in few tasks.
 """
 
 from __future__ import annotations
@@ -17,13 +18,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from stocklake.llm.common import map_arrow
+from stocklake.llm.common import Staging, map_arrow
 
 WINDOW = 2048
 END_ID = 1
 #: Sequence ids hold the number of the task above so many bits.
 TASK_BITS = 40
+#: Set in the sequence ids of the second pass.
+SECOND = 1 << 62
+#: Pieces of open windows that make a task of the second pass.
+TAILS = 100_000
 CACHED_PIECES = 400_000
 #: The tokenizer's own token that stands between words encoded together.
 BETWEEN, BETWEEN_ID = "<|startoftext|>", 49406
@@ -178,13 +184,21 @@ class _Rows:
             offset += len(ids)
         self.sequence += 1
 
-    def take(self) -> pa.RecordBatch:
-        columns = list(zip(*self.rows, strict=True)) or [[]] * 7
+    def leave(self, window: list) -> None:
+        """The pieces of a window that is still open, with their ids and in no sequence."""
+        for doc, start, ids, total in window:
+            self.rows.append((doc, start, len(ids), None, total, None, None, ids.tobytes()))
+
+    def take(self, ids: bool = False) -> pa.RecordBatch:
+        """The rows since the last call, with the ``ids`` of open windows if asked for."""
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        columns = [[row[i] for row in self.rows] for i in range(len(names))]
+        arrays = [pa.array(column, pa.int64()) for column in columns]
+        if ids:
+            names = [*names, "ids"]
+            arrays.append(pa.array([row[7] if len(row) > 7 else None for row in self.rows], pa.binary()))
         self.rows = []
-        return pa.record_batch(
-            [pa.array(column, pa.int64()) for column in columns],
-            names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-        )
+        return pa.record_batch(arrays, names=names)
 
 
 def _relay(windows: Iterator[list], size: int) -> Iterator[list]:
@@ -204,23 +218,43 @@ def _relay(windows: Iterator[list], size: int) -> Iterator[list]:
                 room, window = min(size, 1 << max(0, left.bit_length() - 1)), []
 
 
-def pack(documents: DataFrame, tokenizer: str, size: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+PIECES = (
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    "sequence_id long, offset long"
+)
+
+
+def pack(
+    documents: DataFrame, tokenizer: str, size: int = WINDOW, end_id: int = END_ID, tails: int = TAILS
+) -> DataFrame:
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset``.
 
     A document's tokens are its text's ids and ``end_id``; a null text has the last only.
     Whole windows are cut off long documents; the rest is placed by the sum-of-squares
-    rule. Windows still open when a task has read its rows (at most one per level is
-    usual) are cut anew into full ones and powers of two, so nothing is padded. Sequence
-    ids are unique: the task's number and a count. Rows are packed in the order they are
-    read, so a task run again makes the same sequences. Repeated rows are packed each;
-    a null ``doc_id`` stays null; no other column than ``doc_id`` and ``text`` is read; an
-    empty table gives no rows. Needs ids below 2**16.
-
-    No shuffle. A task holds a slice of its texts and the ids of its open windows.
+    rule. What lies in windows still open when a task has read its rows is dealt to a
+    second pass by the same rule, of one task per about ``tails`` such pieces; only what is
+    open then is cut anew into full windows and powers of two, so nothing is padded. Sequence
+    ids are unique: the pass, the task's number and a count. Rows are packed in the order they
+    are read, in the second pass by a hash, id and place, so a task run again makes the same
+    sequences. Repeated rows are packed each; a null ``doc_id`` stays null; no other column
+    than ``doc_id`` and ``text`` is read; an empty table gives no rows. Needs ids below 2**16.
+
+    Only the ids of open windows are shuffled. A task holds a slice of its texts and those ids.
     """
+    spark = documents.sparkSession
+    staging = Staging(spark, "packing")
+
+    def place(bins: SumOfSquares, out: _Rows, piece: tuple) -> None:
+        length = len(piece[2])
+        level, window = bins.place(length)
+        window.append(piece)
+        if level + length == size:
+            out.close(window)
+        else:
+            bins.put(level + length, window)
 
-    def run(batches):
+    def first(batches):
         words = tokenizer_at(tokenizer)
         bins = SumOfSquares(size)
         out = _Rows(TaskContext.get().partitionId() << TASK_BITS)
@@ -233,20 +267,31 @@ def pack(documents: DataFrame, tokenizer: str, size: int = WINDOW, end_id: int =
                     out.close([(doc, at, ids[at : at + size], total)])
                     at += size
                 if at < total:
-                    level, window = bins.place(total - at)
-                    window.append((doc, at, ids[at:].copy(), total))
-                    if level + total - at == size:
-                        out.close(window)
-                    else:
-                        bins.put(level + total - at, window)
+                    place(bins, out, (doc, at, ids[at:].copy(), total))
+            yield out.take(ids=True)
+        for window in bins.drain():
+            out.leave(window)
+            if len(out.rows) >= 1024:
+                yield out.take(ids=True)
+        yield out.take(ids=True)
+
+    def second(batches):
+        bins = SumOfSquares(size)
+        out = _Rows(SECOND | TaskContext.get().partitionId() << TASK_BITS)
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")]
+            for doc, start, ids, total in zip(*columns, strict=True):
+                place(bins, out, (doc, start, np.frombuffer(ids, "<u2"), total))
             yield out.take()
         for window in _relay(bins.drain(), size):
             out.close(window)
         yield out.take()
 
-    schema = (
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-        "sequence_id long, offset long"
-    )
     rows = documents.selectExpr("cast(doc_id as long) as doc_id", "text")
-    return map_arrow(rows, run, schema)
+    placed = staging.write(map_arrow(rows, first, PIECES + ", ids binary"), "placed")
+    left = placed.where("ids is not null").select("doc_id", "start", "doc_tokens", "ids")
+    tasks = max(1, -(-left.count() // tails))
+    spread = F.xxhash64("doc_id", "start", "ids")
+    left = left.withColumn("spread", spread).repartition(tasks, "spread")
+    left = left.sortWithinPartitions("spread", "doc_id", "start", "doc_tokens").drop("spread")
+    return placed.where("ids is null").drop("ids").union(map_arrow(left, second, PIECES))

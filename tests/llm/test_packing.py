@@ -51,6 +51,20 @@ def test_edges(documents, tokenizer):
         assert filled.max() <= size and all(n & (n - 1) == 0 for n in filled)
 
 
+def test_open_windows_meet_in_a_second_pass(spark, tokenizer):
+    """With many small tasks most pieces are placed by the rule all the same, in few tasks."""
+    df = spark.read.parquet(f"{SF}/documents.parquet").repartition(16, "doc_id")
+    filled = check(df, tokenizer)
+    short = filled[filled < 2048]
+    assert len(short) <= 11 and short.is_unique
+    for tails in (1, 20):
+        pieces = packing.pack(df, tokenizer_path(), tails=tails).toPandas()
+        assert (pieces.groupby("sequence_id").length.sum() <= 2048).all()
+    again = packing.pack(df, tokenizer_path()).toPandas().sort_values(["doc_id", "start"])
+    once = packing.pack(df, tokenizer_path()).toPandas().sort_values(["doc_id", "start"])
+    assert again.reset_index(drop=True).equals(once.reset_index(drop=True))
+
+
 def test_empty(documents):
     assert packing.pack(documents([(1, "a")]).limit(0), tokenizer_path()).count() == 0
 
