@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklake.session import stage
-
 # How a window is labelled.
 WHOLE_DAY, FIRST_HALF, SECOND_HALF, HOUR, MINUTE = 1, 2, 3, 4, 5
 #: Ours, beyond the labels of the feed: a part of a minute.
@@ -71,8 +69,11 @@ def halve_minutes(df: DataFrame, ts: str, cap: int = 1000) -> DataFrame:
     the part, ``halvings`` how often the minute was halved (0 for all other windows) and
     ``time_zone`` 6.
 
-    Works on counts of equal times in such minutes, 27 rows each before they are combined
-    on the map side; rows meet only the number of halvings of their own time.
+    A part is full if ``cap`` rows that follow each other in time lie in it. So the times of
+    a minute are put in order, each up to ``cap`` times; the bits that the finest parts of the
+    first and the last of ``cap`` rows have in common name the deepest part around them, and a
+    time's deepest full part is the deepest of those around the ``cap`` runs it is in. Rows
+    meet only the number of halvings of their own time.
     """
     labelled = label_windows(df, ts, cap)
     minute = F.unix_micros(F.col("window_start").cast("timestamp"))
@@ -83,13 +84,15 @@ def halve_minutes(df: DataFrame, ts: str, cap: int = 1000) -> DataFrame:
         }
     )
     times = rows.where("_minute is not null").groupBy("_minute", "_at").agg(F.count("*").alias("_n"))
-    times = stage(times, "times")
-    parts = times.select("*", F.explode(F.sequence(F.lit(0), F.lit(HALVINGS))).alias("_level"))
-    parts = parts.withColumn("_part", _part(F.col("_at"), F.col("_level")))
-    place = ["_minute", "_level", "_part"]
-    full = parts.groupBy(*place).agg(F.sum("_n").alias("_all")).where(F.col("_all") >= cap).select(*place)
-    # A part above the cap lies in parts above it, so the deepest one tells all.
-    deepest = parts.join(full, place, "left_semi").groupBy("_minute", "_at").agg(F.max("_level").alias("_deepest"))
+    copies = F.sequence(F.lit(1).cast("long"), F.least(F.col("_n"), F.lit(cap).cast("long")))
+    each = times.select("_minute", "_at", F.explode(copies)).drop("col")
+    in_order = Window.partitionBy("_minute").orderBy("_at")
+    finest = _part(F.col("_at"), F.lit(HALVINGS))
+    apart = finest.bitwiseXOR(F.lead(finest, cap - 1).over(in_order))
+    level = HALVINGS - F.when(apart == 0, 0).otherwise(F.length(F.bin(apart)))
+    around = F.max("_level").over(in_order.rowsBetween(1 - cap, 0))
+    levels = each.withColumn("_level", level).withColumn("_level", around)
+    deepest = levels.groupBy("_minute", "_at").agg(F.max("_level").alias("_deepest"))
     found = rows.join(deepest, ["_minute", "_at"], "left")
     deeper = F.least(F.col("_deepest") + 1, F.lit(HALVINGS))
     halvings = F.when(F.col("_deepest").isNull(), 0).otherwise(deeper)
