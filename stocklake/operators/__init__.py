@@ -30,7 +30,7 @@ from stocklake.operators.quality import (
     table_counts,
     unique_violations,
 )
-from stocklake.operators.upsert import append_snapshot, insert_ignore
+from stocklake.operators.upsert import append_new, append_snapshot, insert_ignore
 
 __all__ = [
     "column_bounds",
@@ -39,6 +39,7 @@ __all__ = [
     "KeyIndex",
     "Ledger",
     "absent_from",
+    "append_new",
     "append_snapshot",
     "assign_keys",
     "bucketed_keys",

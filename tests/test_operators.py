@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stocklake.operators import (
     absent_from,
+    append_new,
     append_snapshot,
     assign_keys,
     bucketed_keys,
@@ -347,3 +348,28 @@ def test_halved_minutes_against_brute_force(spark):
             level += 1
         start = minute * 60_000_000 - (-(at * 2**level // 60_000_000) * 60_000_000 // 2**level)
         assert (rows[i].time_zone, rows[i].at, rows[i].halvings) == (6 if level else 5, start, level)
+
+
+def test_halved_minutes_repeat_no_row_per_level(spark):
+    """Shuffled rows follow the events, not the 27 levels of a minute."""
+    micros = (F.col("id") % 90 * 1_000_000).alias("micros")
+    df = spark.range(9000).select("id", F.timestamp_micros(micros).alias("ts"))
+    halved = halve_minutes(df, "ts", 3)
+    assert "sequence(0, 26" not in halved._jdf.queryExecution().optimizedPlan().toString()
+    # A hundred rows at each time: no part of a minute is small enough.
+    assert {tuple(r) for r in halved.select("time_zone", "halvings").distinct().collect()} == {(6, 26)}
+    assert halved.count() == 9000
+
+
+def test_append_new_numbers_the_first_of_each_key(spark, rows):
+    """Ten versions a key, known keys, keys with a null: as insert_ignore, then append_snapshot."""
+    data = [(k, n * 7 % 10, f"t{n}") for k in ["b", "a", "c", None] for n in range(10)]
+    new = spark.createDataFrame(data, "k STRING, n INT, t STRING")
+    target = spark.createDataFrame([(5, "c", 0, "old", "x")], "key BIGINT, k STRING, n INT, t STRING, at STRING")
+    at = {"at": F.lit("now")}
+    got = rows(append_new(new, target, target, "key", ["k"], ["n"], at))
+    want = rows(append_snapshot(insert_ignore(new, target, ["k"], ["n", "t"]), target, "key", ["k"], at))
+    assert {r[0] for r in got} == {r[0] for r in want} == set(range(6, 18))
+    assert [r for r in got if r[1]] == [r for r in want if r[1]] == [(16, "a", 0, "t0", "now"), (17, "b", 0, "t0", "now")]
+    # Rows without a key are all kept; they come first.
+    assert {r[1:] for r in got if not r[1]} == {r[1:] for r in want if not r[1]} and len(got) == 12
