@@ -461,3 +461,19 @@ def test_clean_articles_keep_distinct_items(spark):
     row = silver.clean_articles(full).first()
     assert [tuple(t) for t in row.topics] == [("a", 1.0), ("n/a", 0.0)]
     assert [tuple(t) for t in row.ticker_sentiment] == [("n/a", 0.0, 0.0, "n/a")]
+
+
+def test_landed_texts_are_packed_and_in_files_of_so_many_rows(spark, tmp_path, monkeypatch):
+    """Neither the size of a landed file nor the plain text on disk grows with the input."""
+    from stocklake.plans import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 1000)
+    sf, paths = "/root/testdata/sf0.001", daily.Paths(str(tmp_path))
+    queries.land_payloads(spark, sf, paths, datetime.date(2024, 3, 1))
+    for name, made in (("news", queries.given.news), ("ohlcs", queries.given.candle_payloads)):
+        landed = spark.read.text(paths.landing(name))
+        assert landed.count() == made(spark, sf).count()
+        files = landed.inputFiles()
+        assert all(f.endswith(".gz") for f in files) and len(files) >= landed.count() / 1000
+    bronze = spark.read.parquet(queries.land_news(spark, sf))
+    assert len(bronze.inputFiles()) >= bronze.count() / 1000
