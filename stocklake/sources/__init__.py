@@ -21,6 +21,7 @@ from stocklake.sources.payloads import (
     unnest_envelope,
 )
 from stocklake.sources.writers import (
+    PACKED,
     append_key_ranges,
     append_table,
     export_all,
@@ -32,6 +33,7 @@ from stocklake.sources.writers import (
 )
 
 __all__ = [
+    "PACKED",
     "append_key_ranges",
     "append_table",
     "candle_envelope",

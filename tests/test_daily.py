@@ -12,7 +12,7 @@ from stocklake import schemas
 from stocklake.__main__ import main as command
 from stocklake.operators import latest_by
 from stocklake.plans import checks, daily, gold, serving, silver, source_db
-from stocklake.sources import append_key_ranges, read_partition
+from stocklake.sources import append_key_ranges, export_all, read_partition
 
 RUN = datetime.date(2025, 9, 16)
 DAY = datetime.date(2025, 9, 15)
@@ -477,3 +477,18 @@ def test_landed_texts_are_packed_and_in_files_of_so_many_rows(spark, tmp_path, m
         assert all(f.endswith(".gz") for f in files) and len(files) >= landed.count() / 1000
     bronze = spark.read.parquet(queries.land_news(spark, sf))
     assert len(bronze.inputFiles()) >= bronze.count() / 1000
+
+
+def test_exported_records_are_parsed_once(spark, tmp_path, rows):
+    from stocklake.plans import queries
+
+    facts = [(1, 2, 3, 0.25, 1e-7, "Bullish"), (2, 3, 4, 0.0, float("nan"), None)]
+    table = spark.createDataFrame(facts, schemas.FACT_NEWS_COMPANIES)
+    export_all({"fact_news_companies": table}, str(tmp_path))
+    exported = queries.read_exported(spark, str(tmp_path), "fact_news_companies")
+    plan = exported._jdf.queryExecution().toString()
+    assert "get_json_object" not in plan and "from_json" not in plan
+    assert [str(r) for r in rows(exported)] == [
+        "('fact_news_companies', 2, 3, 'Bullish', None, 0.25, 1e-07)",
+        "('fact_news_companies', 3, 4, None, None, 0.0, nan)",
+    ]
