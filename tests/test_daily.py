@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from stocklake import schemas
 from stocklake.__main__ import main as command
 from stocklake.operators import latest_by
+from stocklake.operators.joins import may_match
 from stocklake.plans import checks, daily, gold, serving, silver, source_db
-from stocklake.sources import append_key_ranges, export_all, read_partition
+from stocklake.sources import append_key_ranges, export_all, read_partition, read_table
 
 RUN = datetime.date(2025, 9, 16)
 DAY = datetime.date(2025, 9, 15)
@@ -479,6 +480,76 @@ def test_landed_texts_are_packed_and_in_files_of_so_many_rows(spark, tmp_path, m
     assert len(bronze.inputFiles()) >= bronze.count() / 1000
 
 
+def articles_of(spark, rows):
+    """Silver articles of (title, summary, topics)."""
+    made = spark.createDataFrame(rows, "title STRING, summary STRING, topics ARRAY<STRUCT<topic: STRING, relevance_score: DOUBLE>>")
+    given = {
+        "news_title": F.col("title"),
+        "news_url": F.lit("u"),
+        "news_time_published": F.lit("2024-01-01 00:00:00"),
+        "news_summary": F.col("summary"),
+        "topics": F.col("topics"),
+    }
+    return made.select(
+        *[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schemas.SILVER_ARTICLES.fields]
+    )
+
+
+def test_a_batch_gets_its_keys_from_the_sort_that_finds_new_articles(spark, rows):
+    """As the dimension's rows and a join with them give; new articles are not joined with it."""
+    batch = articles_of(
+        spark,
+        [
+            ("c", "1", [("x", 1.0), ("y", -0.0)]),
+            ("b", "2", [("x", 1.0), ("z", 2.0)]),
+            ("b", "1", [("x", 1.0)]),
+            ("b", "1", [("x", 3.0)]),
+            ("a", "1", [("x", 1.0)]),
+            ("k", "9", [("x", 1.0)]),
+            (None, "1", [("x", 1.0)]),
+            (None, "2", [("x", 1.0)]),
+        ],
+    )
+    known = articles_of(spark, [("k", "0", [])]).drop("topics", "ticker_sentiment")
+    dim = known.select(F.lit(5).cast("long").alias("news_key"), "*", F.lit(1).cast("long").alias("news_time_key"))
+    for before in (dim, dim.where(F.lit(False))):
+        new, single, rest = gold.key_batch(batch, before, 7)
+        want = gold.build_dim_news(batch, before, 7)
+        columns = [c for c in want.columns if c != "news_authors"]
+        null_title = F.col("news_title").isNull()
+        assert rows(new.where(~null_title), *columns) == rows(want.where(~null_title), *columns)
+        assert new.where(null_title).count() == want.where(null_title).count() == 2
+        whole = gold.key_articles(batch, before.unionByName(want))
+        keyed = ["news_key", "topics"]
+        assert rows(single.unionByName(rest), *keyed) == rows(whole, *keyed)
+        keys = {r.news_key for r in single.collect()}
+        assert keys.isdisjoint({r.news_key for r in rest.collect()}) and len(keys) >= 2
+        plan = single._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == 1 and "_offset" in plan, "only with the sizes of the files"
+        topics = gold.build_dim_topics(silver.news_topics(batch), spark.createDataFrame([], schemas.DIM_TOPICS))
+        by = ["news_key"]
+        facts = gold.build_fact_news_topics(
+            silver.news_topics(rest, by), topics, 3, silver.news_topics(single, by)
+        )
+        # The keys too are those of one table, and -0.0 is 0.0.
+        assert rows(facts) == rows(gold.build_fact_news_topics(silver.news_topics(whole, by), topics, 3))
+
+
+def test_a_batch_without_new_articles_gets_the_known_keys(spark, rows):
+    batch = articles_of(spark, [("a", "1", [("x", 1.0)])])
+    dim = gold.build_dim_news(batch, spark.createDataFrame([], schemas.DIM_NEWS), 7)
+    new, single, rest = gold.key_batch(batch, dim, 8)
+    assert new.count() == single.count() == 0
+    assert rows(rest, "news_key") == [(1,)]
+
+
+def test_unknown_tickers_are_left_out_before_the_lookup(spark, rows):
+    known = spark.range(0, 3000, 3).select(F.concat(F.lit("C"), "id").alias("t"))
+    found = may_match(spark.range(3000).select(F.concat(F.lit("C"), "id").alias("ticker"), "id"), "ticker", known)
+    assert found.where("id % 3 = 0").count() == 1000 and found.count() < 1100
+    assert found.columns == ["ticker", "id"]
+
+
 def test_exported_records_are_parsed_once(spark, tmp_path, rows):
     from stocklake.plans import queries
 
@@ -492,3 +563,10 @@ def test_exported_records_are_parsed_once(spark, tmp_path, rows):
         "('fact_news_companies', 2, 3, 'Bullish', None, 0.25, 1e-07)",
         "('fact_news_companies', 3, 4, None, None, 0.0, nan)",
     ]
+
+
+def test_a_missing_table_is_planned_as_empty(spark, tmp_path):
+    none = read_table(spark, str(tmp_path / "none"), schemas.DIM_TOPICS, missing_ok=True)
+    joined = spark.range(5).join(none, F.col("id") == F.col("topic_key"), "left_anti")
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 5 and none.columns == schemas.DIM_TOPICS.names

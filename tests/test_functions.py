@@ -14,6 +14,7 @@ from stocklake.functions import (
     replace_text,
     trim_columns,
 )
+from stocklake.functions.text import lenient_double
 
 
 def test_blank_to_null_knows_every_space(spark):
@@ -75,3 +76,10 @@ def test_calendar_and_http_date(spark):
         2025,
         "Mon, 15 Sep 2025 00:00:00 GMT",
     )
+
+
+def test_any_text_is_read_as_a_plain_cast_reads_it(spark, rows):
+    texts = ["1", "-0.04", "+2", ".5", "-.5", " 3 ", "1e3", "x", "", "-", ":", "n/a", "NaN", "-Infinity", "1d", "\t4", "~5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = df.select("t", lenient_double(F.col("t")).cast("string"))
+    assert rows(got) == rows(df.select("t", F.col("t").try_cast("double").cast("string")))
